@@ -4,20 +4,84 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
+
+from .hpy_lm import score_texts
+from .line_dedup import LEAST_PAGES, RATIO, dedup_lines
+from .mixing import mix_sources
 from .ngram_join import near_duplicates
+from .packing import pack_documents
+from .quality import judge_quality
+from .rp_forest import nearest
+from .token_counts import token_counts
+from .toxicity import fit_lexicon, in_training, score_toxicity
+from .url_rules import judge_urls, rules_frame
+
+URL_RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
+
+
+def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_documents(spark, sf_dir, "doc_id", "source"))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return near_duplicates(spark, _documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    packed = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_documents(spark, sf_dir, "doc_id", "source", "text")).select("doc_id", "n_lines", "n_dropped_lines", "text")
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return judge_urls(pages, rules_frame(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    lexicon = fit_lexicon(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, lexicon).select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "score", "predicted", "n_hits")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(spark, _documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    return token_counts(_documents(spark, sf_dir, "doc_id", "text"), *paths, public_tokenizers.PATTERN)
+
+
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return score_texts(spark, _documents(spark, sf_dir, "doc_id", "text"), held_out)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
-}
+    f.__name__: f for f in (op1_source_mixing, op2_ngram_jaccard_join, op3_packing, op4_line_dedup, op5_url_rules, op6_nearest_vectors, op7_toxicity, op8_quality_rules, op9_token_counts, op10_lm_scores)
+} | {"pipeline": corpus_pipeline.run}
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+_RULES = ", ".join(f"('{r}', '{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for r, v in URL_RULES)
+_LINE = "trim(regexp_replace(line, '[\\t\\r]', ' ', 'g'))"
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": f"""
@@ -31,4 +95,24 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.y AS component_id
         FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(y) AS y FROM reach GROUP BY 1) m ON m.x = d.doc_id
     """,
+    "op4_line_dedup": f"""
+        WITH p AS (SELECT row_number() OVER () AS id, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+        l AS (SELECT id, source, i, line, {_LINE} AS bare FROM (SELECT id, source, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM p)),
+        t AS (SELECT source, count(*) AS pages FROM p GROUP BY 1),
+        f AS (SELECT source, bare FROM (SELECT DISTINCT id, source, bare FROM l WHERE bare <> '') JOIN t USING (source)
+              GROUP BY source, bare, pages HAVING count(*) >= {LEAST_PAGES} AND count(*) > {RATIO} * pages),
+        k AS (SELECT l.*, f.bare IS NULL AS stays FROM l LEFT JOIN f ON l.source = f.source AND l.bare = f.bare)
+        SELECT p.doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (NOT stays)::BIGINT AS n_dropped_lines,
+               coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '') AS text
+        FROM p JOIN k USING (id) GROUP BY id, p.doc_id
+    """,
+    "op5_url_rules": f"""
+        WITH r(rule, verdict, h, p) AS (VALUES {_RULES}),
+        u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+        s AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                     coalesce(regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*'), '') AS path FROM u),
+        b AS (SELECT page_id, host, path, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) AS n
+              FROM s LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM b WHERE n = 1
+    """,
 }
