@@ -2,9 +2,30 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def flagship(spark, sf_dir):
-    return QUERIES["flagship"](spark, sf_dir)
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["ag01_roll_funnel"](spark, sf_dir)
+
+
+from . import relational, science  # noqa: E402, F401  they register their queries
