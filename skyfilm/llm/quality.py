@@ -21,7 +21,8 @@ from .words import U64, mix, sized, word_hashes
 _BLANK = re.compile("[\x20\x09-\x0d]")
 _WORD = re.compile("[^\x20\x09-\x0d]")
 _SYMBOLS = "#*$%&|<>"
-_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_short", "n_distinct", "n_letters")
+_IS_SYMBOL = np.isin(np.arange(256), list(_SYMBOLS.encode()))
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_short", "n_distinct", "n_letters", "n_marked", "n_alpha")
 
 
 def repeated_words(words: np.ndarray, k: int = 3) -> int:
@@ -62,7 +63,9 @@ def text_counts(docs: DataFrame) -> DataFrame:
                 space = np.isin(raw, (0x20, 9, 10, 11, 12, 13))
                 edge = np.flatnonzero(np.diff(~space, prepend=False, append=False))
                 short = int((edge[1::2] - edge[::2] <= 3).sum())
-                rows.append((b - a, len(t) - blanks, int(seen[list(_SYMBOLS.encode())].sum()), dup, repeated_words(own), lines, upper, int(seen[33] + seen[63]), short, len(np.unique(own)), upper + lower))
+                marked = len(np.unique(np.searchsorted(edge[::2], np.flatnonzero(_IS_SYMBOL[raw]), side="right")))
+                alpha = upper + lower + len(t) - int(seen[:128].sum())
+                rows.append((b - a, len(t) - blanks, int(seen[list(_SYMBOLS.encode())].sum()), dup, repeated_words(own), lines, upper, int(seen[33] + seen[63]), short, len(np.unique(own)), upper + lower, marked, alpha))
             columns = np.array(rows, dtype=np.int64).reshape(-1, len(_COUNTS)).T
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c) for c in columns)], ["doc_id", *_COUNTS])
 
@@ -77,6 +80,8 @@ def rule_votes() -> dict[str, Column]:
     """Each rule's vote, 1 good, -1 bad, 0 none, over the columns of text_counts."""
     return {
         "symbols": _vote("n_symbols > 0.1 * n_words", "n_symbols <= 0.02 * n_words"),
+        "marked_words": _vote("n_marked > 0.1 * n_words", "n_marked <= 0.02 * n_words"),
+        "letters": _vote("n_words > 0 AND n_alpha < 0.8 * word_chars", "n_alpha > 0.9 * word_chars"),
         "repeats": _vote("n_repeat_words > 0.3 * n_words", "n_repeat_words <= 0.1 * n_words"),
         "capitals": _vote("n_letters > 0 AND n_upper > 0.4 * n_letters", "n_upper <= 0.15 * n_letters"),
         "marks": _vote("n_marks > 0.3 * n_words", "n_marks <= 0.05 * n_words"),
@@ -90,12 +95,13 @@ def rule_votes() -> dict[str, Column]:
 def em_posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior_good: float = 0.85, prior_weight: float = 10.0) -> tuple[np.ndarray, np.ndarray]:
     """Posterior probability of good for each vote pattern, and P(vote | class) as (class, rule, vote).
 
-    Starts from the balance of votes.  Pseudo-counts say, weakly, that rules tend to be right.
+    Starts from the view that one bad vote makes a bad text, as kinds of junk differ and few rules see each.
+    Pseudo-counts say, weakly, that rules tend to be right.
     """
     if not len(patterns):
         return np.zeros(0), np.zeros((2, 0, 3))
     votes = patterns + 1
-    good = 1 / (1 + np.exp(-1.5 * patterns.sum(axis=1)))
+    good = 1 / (1 + np.exp(-(2.0 + 0.25 * (patterns > 0).sum(axis=1) - 5.0 * (patterns < 0).sum(axis=1))))
     pseudo = np.array([[3.0, 3.0, 1.0], [1.0, 3.0, 3.0]]) * prior_weight / 7
     table = np.zeros((2, patterns.shape[1], 3))
     for _ in range(rounds):
@@ -116,16 +122,17 @@ def judge_quality(spark: SparkSession, docs: DataFrame, threshold: float = 0.5,
     """One row for each row of docs(doc_id, text): the base counts, base_failed, p_good, pattern and kept.
 
     base_failed: fewer than least_words words, or more than most_repeated per cent of them repeated.  Null
-    texts count as empty, so they fail.  Rules are weighed over all rows; an empty table gives no rows.
+    texts count as empty, so they fail.  Rules are weighed over all rows that the base lets through, as the
+    others are decided; an empty table gives no rows.
     """
     scratch = Scratch(spark, "quality")
     rules = rule_votes()
     pattern = F.concat(*[(v + 1).cast("string") for v in rules.values()])
-    counted = scratch.keep(text_counts(docs).withColumn("pattern", pattern), "counts")
     failed = f"n_words < {least_words} OR 100 * n_repeat_words > {most_repeated} * n_words"
-    found = counted.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()  # 3 ** rules at most
+    counted = scratch.keep(text_counts(docs).withColumns({"pattern": pattern, "base_failed": F.expr(failed)}), "counts")
+    found = counted.groupBy("pattern").agg(F.count_if(~F.col("base_failed")).alias("n")).orderBy("pattern").collect()  # 3 ** rules at most
     patterns = np.array([[int(c) - 1 for c in r["pattern"]] for r in found], dtype=np.int64).reshape(-1, len(rules))
     good, _ = em_posteriors(patterns, np.array([r["n"] for r in found], dtype=float))
     odds = spark.createDataFrame([(r["pattern"], float(g)) for r, g in zip(found, good, strict=True)], "pattern string, p_good double")
-    judged = counted.join(F.broadcast(odds), "pattern").withColumn("base_failed", F.expr(failed))
+    judged = counted.join(F.broadcast(odds), "pattern")
     return judged.select("doc_id", *_COUNTS[:5], "base_failed", (~F.col("base_failed") & (F.col("p_good") >= threshold)).alias("kept"), "p_good", "pattern")
