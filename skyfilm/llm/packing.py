@@ -7,6 +7,7 @@ first open sequence with room, found in a tournament tree over the room that is
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -19,16 +20,27 @@ from pyspark.sql import functions as F
 
 from .words import U64, mix, sized
 
-_CACHED = 300_000
+_CACHED = 400_000
 _SEGMENT = 1 << 20
+#: letters that the tokenizer neither composes nor splits, and marks that it splits off as one run
+_LETTERS_MARKS = re.compile("([a-zß-öø-ÿ]{1,64})([.,;:!?]{0,8})")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Latin-1 characters to those that byte-level vocabularies write bytes with: printable ones are themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class WordEncoder:
     """Token ids of texts by a tokenizer whose tokens never span ASCII white space.
 
     Such a tokenizer gives a text the ids of its words in order, so words met before come from a
-    bounded table.  Words with the start of a special token keep their case, as those are matched
-    before the text is lower-cased.
+    bounded table.  A word of plain letters and marks behind them is put together from the ids of
+    both; its letters go to the tokenizer's model at once, as normalising and splitting leave them as they
+    are.  Texts with the start of a special token keep their case, as those are matched before the
+    text is lower-cased.
     """
 
     def __init__(self, path: str):
@@ -37,7 +49,11 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = Tokenizer(self.tokenizer.model)
+        self.table = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.known: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _segments(self, raw: bytes) -> Iterator[bytes]:
         at = 0
@@ -52,6 +68,32 @@ class WordEncoder:
             yield raw[at:to]
             at = to
 
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.letters) > _CACHED:
+            self.letters.clear()
+        whole, split = [], []
+        for w in words:
+            m = _LETTERS_MARKS.fullmatch(w.decode("utf-8", "replace"))
+            if m:
+                split.append((w, m[1], m[2]))
+            else:
+                whole.append(w)
+        new = list({x for _, x, _ in split if x not in self.letters})
+        for x, ids in zip(new, self._encoded(self.model, [x.encode().decode("latin-1").translate(self.table) for x in new]), strict=True):
+            self.letters[x] = ids
+        for w, x, marks in split:
+            if marks not in self.marks:
+                (self.marks[marks],) = self._encoded(self.tokenizer, [marks])
+            self.known[w] = self.letters[x] + self.marks[marks]
+        for w, ids in zip(whole, self._encoded(self.tokenizer, [w.decode("utf-8", "replace") for w in whole]), strict=True):
+            self.known[w] = ids
+
+    @staticmethod
+    def _encoded(tokenizer, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 4096):
+            for e in tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
+                yield np.array(e.ids, dtype="<u4").tobytes()
+
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         raw = (text or "").encode("utf-8", "surrogatepass")
@@ -62,14 +104,10 @@ class WordEncoder:
             words = segment.split()
             known = self.known
             new = list({w for w in words if w not in known})
-            if new:
-                if len(known) + len(new) > _CACHED:
-                    known.clear()
-                    new = list(set(words))
-                for at in range(0, len(new), 4096):
-                    some = new[at : at + 4096]
-                    for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False), strict=True):
-                        known[w] = np.array(e.ids, dtype="<u4").tobytes()
+            if new and len(known) + len(new) > _CACHED:
+                known.clear()
+                new = list(set(words))
+            self._learn(new)
             parts.append(b"".join([known[w] for w in words]))
         return b"".join(parts)
 
