@@ -884,3 +884,34 @@ def _(spark, sf):
 @query("dt15_depth_frequency", "SELECT l_partkey, max(l_extendedprice) AS depth, arg_max(l_quantity, l_extendedprice * 1e6 - l_quantity) AS at, min(l_quantity) AS fmin, max(l_quantity) AS fmax FROM lineitem GROUP BY 1")
 def _(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.max("l_extendedprice").alias("depth"), F.max_by("l_quantity", F.struct("l_extendedprice", -F.col("l_quantity"))).alias("at"), F.min("l_quantity").alias("fmin"), F.max("l_quantity").alias("fmax"))
+
+
+@query("ag14_tail_share", "WITH b AS (SELECT l_suppkey, CAST(l_quantity AS INT) AS q FROM lineitem) SELECT l_suppkey, round(count(*) FILTER (q BETWEEN 40 AND 49) / count(*), 6) AS tail FROM b GROUP BY 1")
+def _(spark, sf):
+    q = F.col("l_quantity").cast("int")
+    g = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.array(*[F.count_if(q == i) for i in range(51)]).alias("counts"))
+    return g.select("l_suppkey", F.round(A.tail_share(F.col("counts"), 40), 6).alias("tail"))
+
+
+@query("st01_ordering", "SELECT c_custkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_acctbal > 0 THEN c_acctbal END NULLS FIRST, c_custkey) AS INT) AS place FROM customer")
+def _(spark, sf):
+    from pyspark.sql import Window
+
+    c = table(spark, sf, "customer").withColumn("b", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")))
+    w = Window.partitionBy("c_nationkey").orderBy(F.asc_nulls_first("b"), "c_custkey")
+    return c.select("c_custkey", F.row_number().over(w).alias("place"))
+
+
+@query("jn18_update_two_keys", """WITH c AS (SELECT l_orderkey AS k, l_linenumber AS n, max_by(l_quantity, l_extendedprice * 1000 + l_partkey) AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(c.q, l_quantity) AS l_quantity FROM lineitem LEFT JOIN c ON k = l_orderkey AND n = l_linenumber""")
+def _(spark, sf):
+    x = table(spark, sf, "lineitem")
+    changes = x.where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_extendedprice") * 1000 + F.col("l_partkey")).alias("o"))
+    rows = x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return J.update_join(rows, changes, ["l_orderkey", "l_linenumber"], ["l_quantity"], "o")[0]
+
+
+@query("dt08_failed_split", "SELECT o_orderkey, o_orderstatus FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_linestatus = o.o_orderstatus)")
+def _(spark, sf):
+    failed = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"))
+    return J.worklist(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), failed, ["o_orderkey", "o_orderstatus"])
