@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RATIO = 0.05
+RATIO = 0.08
 LEAST_PAGES = 5
 SALTS = 16
 
