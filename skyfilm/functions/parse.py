@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 # fixed values: (field, first character from 1, length) of the 15-character records of each satellite family
 LAYOUTS = {
-    "a1": (("prefix", 1, 2), ("station_number", 3, 2), ("year", 5, 2), ("day_of_year", 7, 3), ("hour", 10, 2), ("minute", 12, 2), ("second", 14, 2)),
-    "isis": (("satellite", 1, 1), ("frequency", 2, 1), ("station_number", 3, 2), ("year", 5, 2), ("day_of_year", 7, 3), ("hour", 10, 2), ("minute", 12, 2), ("second", 14, 2)),
-    "a2": (("satellite", 1, 2), ("station_number", 3, 2), ("year", 5, 2), ("day_of_year", 7, 3), ("hour", 10, 2), ("minute", 12, 2), ("second", 14, 2)),
+    "v1": (("prefix", 1, 2), ("station_number", 3, 2), ("year", 5, 2), ("day_of_year", 7, 3), ("hour", 10, 2), ("minute", 12, 2), ("second", 14, 2)),
+    "v2": (("satellite", 1, 1), ("frequency", 2, 1), ("station_number", 3, 2), ("year", 5, 2), ("day_of_year", 7, 3), ("hour", 10, 2), ("minute", 12, 2), ("second", 14, 2)),
+    "v3": (("satellite", 1, 2), ("station_number", 3, 2), ("year", 5, 2), ("day_of_year", 7, 3), ("hour", 10, 2), ("minute", 12, 2), ("second", 14, 2)),
 }
 RECORD_LENGTH = 15
 
@@ -20,9 +20,9 @@ def as_int(text: Column) -> Column:
 
 
 def fixed_width(text: Column, layout: str) -> dict[str, Column]:
-    """Integer fields of a record, all null unless it has 15 characters (and, for a1, begins with 10)."""
+    """Integer fields of a record, all null unless it has 15 characters (and, for v1, begins with 10)."""
     whole = F.length(text) == RECORD_LENGTH
-    if layout == "a1":
+    if layout == "v1":
         whole = whole & F.startswith(text, F.lit("10"))
     return {name: F.when(whole, as_int(F.substring(text, start, n))) for name, start, n in LAYOUTS[layout] if name != "prefix"}
 

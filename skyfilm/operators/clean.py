@@ -74,9 +74,9 @@ def outcome(reason: Column, names: dict[str, str], default: str) -> Column:
     return F.coalesce(F.try_element_at(table, bare), F.lit(default))
 
 
-def satellite_of(label: Column, legacy: bool = False) -> Column:
-    """1 for labels that name the first satellite, else 2; legacy misses the spelling with a hyphen only."""
-    pattern = "(?i)ISIS A|ISIS - A" if legacy else "(?i)ISIS ?-? ?A"
+def satellite_of(label: Column, name: str, legacy: bool = False) -> Column:
+    """1 for labels that hold the name and the letter A, else 2; legacy misses the spelling with a hyphen only."""
+    pattern = f"(?i){name} A|{name} - A" if legacy else f"(?i){name} ?-? ?A"
     return F.when(F.coalesce(F.rlike(label, F.lit(pattern)), F.lit(False)), 1).otherwise(2)
 
 

@@ -43,7 +43,7 @@ DAMAGED = f"CASE WHEN event_id % 31 = 0 THEN concat('x', substring({RECORD}, 2,
 
 def master_from_events(spark, sf: str) -> DataFrame:
     """Events as recognised records, nations as stations whose numbers pass on after 1970."""
-    records = read_records(table(spark, sf, "events").selectExpr("event_id", f"{DAMAGED} AS text"), "text", "a1")
+    records = read_records(table(spark, sf, "events").selectExpr("event_id", f"{DAMAGED} AS text"), "text", "v1")
     n = table(spark, sf, "nation")
     history = n.select(F.col("n_nationkey").alias("station_number"), F.concat(F.lit("A"), F.col("n_nationkey").cast("string")).alias("station_code"), F.lit("1960-01-01").cast("timestamp_ntz").alias("start_date")).union(n.select("n_nationkey", F.concat(F.lit("B"), F.col("n_nationkey").cast("string")), F.lit("1970-01-01").cast("timestamp_ntz")))
     stations = n.select(F.explode(F.array(F.lit("A"), F.lit("B"))).alias("era"), "n_nationkey", "n_name").select(F.concat("era", F.col("n_nationkey").cast("string")).alias("station_code"), F.concat_ws(" ", "n_name", "era").alias("station_name"))

@@ -103,13 +103,13 @@ def _(spark, sf):
     return o.select("o_orderkey", F.col("o_orderstatus").isin("F", "O").alias("listed"), (~F.col("o_orderpriority").isin("1-URGENT", "5-LOW")).alias("unlisted"))
 
 
-SAT = "CASE event_id % 5 WHEN 0 THEN 'ISIS A' WHEN 1 THEN 'isis-a' WHEN 2 THEN 'ISIS - A x' WHEN 3 THEN 'ISIS B' END"
+SAT = "CASE event_id % 5 WHEN 0 THEN 'SAT A' WHEN 1 THEN 'sat-a' WHEN 2 THEN 'SAT - A x' WHEN 3 THEN 'SAT B' END"
 
 
-@query("pf08_satellite_router", f"SELECT event_id, CASE WHEN coalesce(regexp_matches({SAT}, '(?i)ISIS ?-? ?A'), false) THEN 1 ELSE 2 END AS satellite, CASE WHEN coalesce(regexp_matches({SAT}, '(?i)ISIS A|ISIS - A'), false) THEN 1 ELSE 2 END AS satellite_legacy FROM events")
+@query("pf08_satellite_router", f"SELECT event_id, CASE WHEN coalesce(regexp_matches({SAT}, '(?i)SAT ?-? ?A'), false) THEN 1 ELSE 2 END AS satellite, CASE WHEN coalesce(regexp_matches({SAT}, '(?i)SAT A|SAT - A'), false) THEN 1 ELSE 2 END AS satellite_legacy FROM events")
 def _(spark, sf):
     e = table(spark, sf, "events").selectExpr("event_id", f"{SAT} AS label")
-    return e.select("event_id", C.satellite_of(F.col("label")).alias("satellite"), C.satellite_of(F.col("label"), legacy=True).alias("satellite_legacy"))
+    return e.select("event_id", C.satellite_of(F.col("label"), "SAT").alias("satellite"), C.satellite_of(F.col("label"), "SAT", legacy=True).alias("satellite_legacy"))
 
 
 @query("pf10_any_null", f"SELECT event_id, hour IS NULL OR minute IS NULL OR second IS NULL AS is_loss FROM (SELECT event_id, {TIME} FROM events)")
@@ -592,7 +592,7 @@ def _(spark, sf):
 
 def _width_sql(layout):
     fields = ", ".join(f"CASE WHEN ok AND regexp_matches(substring(code, {a}, {n}), '^[0-9]+$') THEN TRY_CAST(substring(code, {a}, {n}) AS INT) END AS {k}" for k, a, n in P.LAYOUTS[layout] if k != "prefix")
-    ok = "length(code) = 15" + (" AND starts_with(code, '10')" if layout == "a1" else "")
+    ok = "length(code) = 15" + (" AND starts_with(code, '10')" if layout == "v1" else "")
     return f"SELECT event_id, {fields} FROM (SELECT *, {ok} AS ok FROM (SELECT event_id, {READ} AS code FROM events))"
 
 
