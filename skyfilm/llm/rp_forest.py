@@ -23,7 +23,7 @@ TREES = 16
 LEAF_ROWS = 64
 PROBES = 128
 WANTED = 0.97
-SALT_ROWS = 4096
+GROUP_ROWS = 1 << 14
 
 
 @dataclass
@@ -122,8 +122,9 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, sampl
     A query's own vec_id is no candidate; ties go to the smaller vec_id; a query with fewer
     candidates gets all of them.  Rows that repeat wholly count once.
 
-    Equal vectors are searched and ranked once, with the k + 1 smallest ids of each; leaves are split by a
-    salt when more than ``SALT_ROWS`` rows share one on average.
+    Equal vectors are searched and ranked once, with the k + 1 smallest ids of each.  Neighbouring leaves of a
+    tree form groups of up to ``GROUP_ROWS`` rows on average; a query ranks the leaves that it visits in a group
+    together and keeps k + 1 of them.  Leaves beyond that size are split by a salt.
     """
     schema = "query_id long, rank int, vec_id long, score double"
     ok = "vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')) AND exists(embedding, x -> x != 0)"
@@ -138,7 +139,8 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, sampl
 
     sample = _unit([r.embedding for r in classes.orderBy(F.xxhash64(F.lit(3), F.element_at("ids", 1))).limit(sample_rows).select("embedding").collect()])
     forest = spark.sparkContext.broadcast(fit_forest(sample, trees, leaf_rows, k, wanted))
-    salts = max(1, -(-size["count"] // (SALT_ROWS << forest.value.depth)))
+    salts = max(1, -(-size["count"] // (GROUP_ROWS << forest.value.depth)))
+    together = min(forest.value.depth, int(np.log2(max(1, (GROUP_ROWS << forest.value.depth) // size["count"]))))
 
     def to_leaves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,31 +156,38 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, sampl
         for batch in batches:
             tree = forest.value
             for i, q in enumerate(_unit(batch.column("embedding").to_pylist()) if batch.num_rows else []):
-                seen = tree.walk(q, tree.leaves)
+                seen: dict[int, list[int]] = {}
+                for t, x in tree.walk(q, tree.leaves):
+                    seen.setdefault(((t << tree.depth) + x) >> together, []).append((t << tree.depth) + x)
                 again = pa.array([i] * len(seen))
-                yield pa.RecordBatch.from_arrays([pa.array([(t << tree.depth) + x for t, x in seen], pa.int64()), batch.column("qc").take(again), batch.column("embedding").take(again)], ["leaf", "qc", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.list_(pa.int64())), batch.column("qc").take(again), batch.column("embedding").take(again)], ["grp", "visited", "qc", "embedding"])
 
     def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"qc": [], "ids": [], "score": []}
         if len(left) and len(right):
+            left = left.sort_values("leaf", kind="stable")
             x = np.array(left["embedding"].to_list(), dtype=np.float64)
-            norm = np.sqrt((x * x).sum(axis=1))
-            first = np.array([i[0] for i in left["ids"]])
-            for qc, q in zip(right["qc"], right["embedding"], strict=True):
+            norm, ids = np.sqrt((x * x).sum(axis=1)), left["ids"].to_list()
+            first, leaf = np.array([i[0] for i in ids]), left["leaf"].to_numpy()
+            for qc, q, visited in zip(right["qc"], right["embedding"], right["visited"], strict=True):
+                visited = np.asarray(visited)
+                a, b = np.searchsorted(leaf, visited), np.searchsorted(leaf, visited, side="right")
+                at = np.concatenate([np.arange(i, j) for i, j in zip(a.tolist(), b.tolist(), strict=True)])
                 q = np.asarray(q, dtype=np.float64)
-                score = (x * q).sum(axis=1) / (norm * np.sqrt((q * q).sum()))
-                best = np.lexsort((first, -score))[: k + 1]
-                out["qc"] += [qc] * len(best)
-                out["ids"] += [left["ids"].iloc[i] for i in best]
-                out["score"] += score[best].tolist()
-        return pd.DataFrame({"qc": np.array(out["qc"], np.int64), "ids": pd.Series(out["ids"], dtype=object), "score": np.array(out["score"], np.float64)})
+                score = (x[at] * q).sum(axis=1) / (norm[at] * np.sqrt((q * q).sum()))
+                best = np.lexsort((first[at], -score))[: k + 1]
+                out["qc"].append(qc)
+                out["ids"].append([ids[i] for i in at[best]])
+                out["score"].append(score[best])
+        return pd.DataFrame({"qc": np.array(out["qc"], np.int64), "ids": pd.Series(out["ids"], dtype=object), "score": pd.Series(out["score"], dtype=object)})
 
     salt = F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int")
-    leaves = classes.mapInArrow(to_leaves, "leaf long, embedding array<double>, ids array<long>").withColumn("salt", salt)
+    leaves = classes.mapInArrow(to_leaves, "leaf long, embedding array<double>, ids array<long>").withColumns({"salt": salt, "grp": F.shiftright("leaf", together)})
     queries = rows.where("q").select(F.col("vec_id").alias("query_id"), "embedding").distinct()
     asked = queries.groupBy("embedding").agg(F.min("query_id").alias("qc"))
-    visits = asked.select("qc", "embedding").repartition("qc").mapInArrow(to_visits, "leaf long, qc long, embedding array<double>").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hits = leaves.groupBy("leaf", "salt").cogroup(visits.groupBy("leaf", "salt")).applyInPandas(rank, "qc long, ids array<long>, score double")
+    visits = asked.select("qc", "embedding").repartition("qc").mapInArrow(to_visits, "grp long, visited array<long>, qc long, embedding array<double>").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    found = leaves.groupBy("grp", "salt").cogroup(visits.groupBy("grp", "salt")).applyInPandas(rank, "qc long, ids array<array<long>>, score array<double>")
+    hits = found.select("qc", F.explode(F.arrays_zip("ids", "score")).alias("h")).select("qc", "h.ids", "h.score")
     best = Window.partitionBy("qc").orderBy(F.desc("score"), F.element_at("ids", 1))
     hits = hits.groupBy("qc", "ids").agg(F.max("score").alias("score")).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     lists = hits.groupBy("qc").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "ids"))).alias("hits"))
