@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 BLOCK = 16
-BUCKET = 2048
+BUCKET = 1024
+BROADCAST_SOURCES = 100_000
 
 
 def quantised(shares: DataFrame, period: Column | int) -> DataFrame:
@@ -72,10 +73,10 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power:
     hashed = [c for c in kept if "map<" not in docs.schema[c].dataType.simpleString()]
     rows = docs.select(*kept).withColumn("__s", F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit(""))))
     sizes = rows.groupBy("__s").agg(F.count("*").alias("rows"))
-    top = sizes.agg(F.sum("rows").alias("rows"), F.count("*").alias("sources")).first()
-    total, sources = top["rows"] or 0, top["sources"] or 0
+    sources = sizes.count()
     period = max(period, 10 * sources)
-    buckets = max(1, -(-total // BUCKET))
+    # a row for each source: small, and checked; a join dealt by source would put a hot one into one task
+    each = F.broadcast if sources <= BROADCAST_SOURCES else (lambda df: df)
 
     weight = F.pow(F.col("rows").cast("double"), F.lit(power))
     for name, w in (weights or {}).items():
@@ -83,13 +84,15 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power:
     quanta = quantised(sizes.select(F.col("__s").alias("source"), weight.alias("weight")), period)
     plan = period_schedule(quanta, period).withColumnRenamed("source", "__s")
 
-    rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), *hashed)).withColumn("__b", F.pmod("__h", F.lit(buckets)).cast("int"))
+    # as many buckets for a source as its rows fill, so that all are of one size
+    rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), *hashed)).join(each(sizes.select("__s", F.ceil(F.col("rows") / BUCKET).alias("__n"))), "__s")
+    rows = rows.withColumn("__b", F.pmod("__h", "__n").cast("int")).drop("__n").repartition("__s", "__b")
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("__s", "__b").agg(F.count("*").alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long"))).drop("n")
     within = Window.partitionBy("__s", "__b").orderBy("__h")
     rows = rows.withColumn("__r", F.row_number().over(within)).join(starts, ["__s", "__b"])
     rows = rows.withColumn("source_rank", F.col("first") + F.col("__r") - 1).withColumn("block_no", F.expr(f"source_rank div {block}"))
-    rows = rows.join(quanta.withColumnRenamed("source", "__s"), "__s").withColumn("k", F.expr("block_no % q")).withColumn("__round", F.expr("block_no div q"))
+    rows = rows.join(each(quanta.withColumnRenamed("source", "__s")), "__s").withColumn("k", F.expr("block_no % q")).withColumn("__round", F.expr("block_no div q"))
     rows = rows.join(plan.drop("q"), ["__s", "k"])
     turn = F.col("__round") * period
     return rows.select(
