@@ -31,6 +31,7 @@ from .words import U64, digest, mix, shingle_sets, sized
 
 SKETCH_BITS = 20
 _BLOCK_BITS = 16
+PARTNERS = 256
 
 
 def _shared_count_table(docs: DataFrame, k: int) -> np.ndarray:
@@ -125,7 +126,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int,
 
     def by_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, np.ndarray] = {}
-        for batch in batches:
+        for batch in sized(batches, "ta"):
             ok = []
             for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
                 if len(known) > 64:
@@ -149,7 +150,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int,
     key = F.coalesce("doc_id", F.lit(-1).cast("long")).alias("doc_key")
     texts = docs.where("text IS NOT NULL").select(key, "text").join(wanted.select(key, "node"), "doc_key").mapInArrow(own_text, "node binary, text string")
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    checked = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").mapInArrow(by_text, "a binary, b binary")
+    # one text can be the partner of any share of the pairs: its pairs are dealt to several tasks, each with a copy
+    loads = pairs.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("salts"))
+    left = pairs.join(loads, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt")).join(texts.toDF("a", "ta"), "a")
+    right = texts.toDF("b", "tb").join(loads, "b").select("b", "tb", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    checked = left.join(right, ["b", "salt"]).mapInArrow(by_text, "a binary, b binary")
     return scratch.keep(checked, name)
 
 
