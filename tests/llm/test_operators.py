@@ -341,6 +341,47 @@ def test_lm_is_a_distribution():
         assert p[own].sum() + new * rest == pytest.approx(1)
 
 
+def test_lm_words_of_one_class_have_own_restaurants(spark, monkeypatch):
+    """Two words whose hashes share their first 16 bits; as one context, x and y would be as likely after both."""
+    names = [f"w{i}" for i in range(3000)]
+    _, ctx, _ = hpy_lm.tokens_of([f"{n} x" for n in names])
+    top = (ctx.astype(np.uint64)[1::3] >> np.uint64(48)).tolist()
+    a, b = next((names[top.index(t)], names[i]) for i, t in enumerate(top) if top.index(t) < i)
+    texts = [f"{a} x"] * 60 + [f"{b} y"] * 60 + [f"c{i} d{i}" for i in range(50)] + [f"{a} x", f"{a} y", f"{b} x", f"{b} y"]
+    rows = hpy_lm.score_texts(spark, docs_of(spark, texts), F.col("doc_id") >= 170).collect()
+    ax, ay, bx, by = [r.score for r in sorted(rows, key=lambda r: r.doc_id)[170:]]
+    assert ax - ay > 1 and by - bx > 1
+
+
+def test_lm_sums_by_context_reach_every_bucket(spark):
+    from skyfilm.llm.scratch import Scratch
+
+    rng = np.random.default_rng(3)
+    names = hpy_lm.mix(np.arange(40, dtype=np.uint64))
+    customers, distinct, rows = Counter(), Counter(), []
+    for bucket in range(5):
+        w, ctx = np.repeat(np.arange(9, dtype=np.uint64) + np.uint64(100 * bucket), 4), np.concatenate([np.sort(rng.choice(names, 4, replace=False)) for _ in range(9)])
+        c = rng.integers(0, 4, 36).astype(np.uint32)
+        customers.update(dict.fromkeys(ctx.tolist(), 0))
+        for u, n in zip(ctx.tolist(), c.tolist(), strict=True):
+            customers[u] += n
+            distinct[u] += n > 0
+        rows.append((bucket, bytearray(w.tobytes()), bytearray(ctx.tobytes()), bytearray(c.tobytes())))
+    merged = spark.createDataFrame(rows, "bucket int, w binary, ctx binary, c binary")
+    lists = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.uint64)))
+    scratch, replied = Scratch(spark, "test-lm"), None
+    for number in range(2):
+        sums, replied = hpy_lm._exchange(merged, replied, lambda b, first=number == 0: b.sums(first), lists, scratch, number, 3)
+        assert number or sums["customers"][0] == sum(customers.values())
+    for row in hpy_lm._with_replies(merged, replied).collect():
+        b = hpy_lm._bucket(row.asDict(recursive=True), lists.value[0])
+        assert b.shared.any()
+        for number in range(2):
+            got = b.restaurants(number)
+            assert got["cu"].tolist() == [customers[u] for u in b.contexts.tolist()]
+            assert got["tu"].tolist() == [distinct[u] for u in b.contexts.tolist()]
+
+
 # ---- pipeline
 
 
