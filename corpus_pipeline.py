@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that are on too many documents of their source; n_chars follows the text."""
-    return dedup_lines(docs).selectExpr(*[f"CAST(char_length(text) AS {docs.schema[c].dataType.simpleString()}) AS {c}" if c == "n_chars" else f"`{c}`" for c in docs.columns])
+    """Documents without the lines that are on too many distinct documents of their source; n_chars follows the text."""
+    return dedup_lines(docs, copies_once=True).selectExpr(*[f"CAST(char_length(text) AS {docs.schema[c].dataType.simpleString()}) AS {c}" if c == "n_chars" else f"`{c}`" for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

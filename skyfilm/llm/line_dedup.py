@@ -1,7 +1,8 @@
 """Site-relative line frequency: lines on too large a share of a host's pages are boilerplate.
 
 A page counts once for each distinct line.  A line goes from all pages of a host if at least
-``least_pages`` of them hold it and they are more than ``ratio`` of the host's pages.
+``least_pages`` of them hold it and they are more than ``ratio`` of the host's pages.  Where ``copies_once``
+is set, pages of a host with equal texts count as one, so that copies of whole documents are no boilerplate.
 """
 
 from __future__ import annotations
@@ -9,17 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RATIO = 0.08
+RATIO = 0.05
 LEAST_PAGES = 5
 SALTS = 16
 
 
-def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
     """(__host, lines): hashes of each host's boilerplate lines; at most its lines a page over ratio."""
-    rows = pages.select(_host(host).alias("__host"), F.col(text).alias("t"))
-    totals = rows.groupBy("__host").agg(F.count("*").alias("pages"))
-    lines = rows.where("t IS NOT NULL").select("__host", F.explode(F.array_distinct(F.transform(F.split("t", "\n"), _line_hash))).alias("line")).where("line IS NOT NULL")
-    found = lines.groupBy("__host", "line").agg(F.count("*").alias("with_line")).where(F.col("with_line") >= least_pages)
+    rows = pages.select(_host(host).alias("__host"), F.col(text).alias("t"), F.xxhash64(text).alias("copy"))
+    pages_of = F.count_distinct("copy") if copies_once else F.count("*")
+    totals = rows.groupBy("__host").agg(pages_of.alias("pages"))
+    lines = rows.where("t IS NOT NULL").select("__host", *(["copy"] if copies_once else []), F.explode(F.array_distinct(F.transform(F.split("t", "\n"), _line_hash))).alias("line")).where("line IS NOT NULL")
+    found = lines.groupBy("__host", "line").agg(pages_of.alias("with_line")).where(F.col("with_line") >= least_pages)
     found = found.join(totals, "__host").where(F.col("with_line") > ratio * F.col("pages"))
     return found.groupBy("__host").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
@@ -34,7 +36,7 @@ def _line_hash(line):
     return F.when(bare != "", F.xxhash64(bare))
 
 
-def dedup_lines(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def dedup_lines(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
     """pages with the text cleaned, and with n_lines and n_dropped_lines.
 
     Null texts stay null with no lines; blank lines stay; a null host is a host of its own; rows that
@@ -46,7 +48,7 @@ def dedup_lines(pages: DataFrame, host: str = "source", text: str = "text", rati
     pages are dealt to several tasks.
     """
     kept = [c for c in pages.columns if c not in ("n_lines", "n_dropped_lines")]
-    drop = boilerplate_lines(pages, host, text, ratio, least_pages).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    drop = boilerplate_lines(pages, host, text, ratio, least_pages, copies_once).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = pages.select(*kept, _host(host).alias("__host")).withColumn("__salt", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
     rows = rows.join(drop, ["__host", "__salt"], "left")
     lines = F.split(F.col(text), "\n")

@@ -169,6 +169,14 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(df.where("doc_id < 0").drop("lines")).count() == 0
 
 
+def test_line_dedup_drops_lines_on_six_percent_but_keeps_copies(spark):
+    texts = [f"own {i}\nmenu" if i < 18 else f"own {i}" for i in range(280)] + ["one text\nof two lines"] * 20
+    df = spark.createDataFrame([(i, "host", t) for i, t in enumerate(texts)], "doc_id long, source string, text string")
+    dropped = lambda **kw: Counter(r.n_dropped_lines for r in line_dedup.dedup_lines(df, **kw).collect())
+    assert dropped() == {0: 262, 1: 18, 2: 20}
+    assert dropped(copies_once=True) == {0: 282, 1: 18}
+
+
 # ---- toxicity
 
 
