@@ -13,7 +13,7 @@ from skyfilm.llm.line_dedup import dedup_lines
 from skyfilm.llm.mixing import mix_sources
 from skyfilm.llm.ngram_join import keep_one_of_each
 from skyfilm.llm.packing import pack_documents
-from skyfilm.llm.scratch import Scratch
+from skyfilm.llm.scratch import Scratch, numbered
 from skyfilm.llm.toxicity import fit_lexicon, score_toxicity
 
 
@@ -40,8 +40,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 2048 tokens, with their ids."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of the documents in sequences of at most 2048 tokens, with their ids; sequences follow the files' order, the mixture."""
+    return pack_documents(numbered(docs, "position"), public_tokenizers.path("word_bpe_49k.json"), position="position")
 
 
 STAGES = [

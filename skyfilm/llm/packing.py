@@ -112,10 +112,11 @@ class WordEncoder:
         return b"".join(parts)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, with_ids: bool = True) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, with_ids: bool = True, position: str | None = None) -> DataFrame:
     """Pieces of docs(doc_id, text): doc_id, start, length, doc_tokens, ids_crc32, deal, and ids if asked for.
 
-    A null text counts as empty and still has its end id.  deal is a random number of the document.
+    A null text counts as empty and still has its end id.  deal is the document's number in the column
+    ``position``, or a random one.
     """
     import os
 
@@ -124,10 +125,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
         encoder, row = WordEncoder(tokenizer), TaskContext.get().partitionId() << 40
         for batch in sized(batches, "text"):
             out: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "doc_tokens", "ids_crc32", "deal", "ids")}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            places = batch.column("position").to_pylist() if position else [None] * batch.num_rows
+            for doc_id, text, place in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), places, strict=True):
                 ids = encoder.ids(text) + end_id.to_bytes(4, "little")
                 row += 1
-                deal = int(mix(np.array([row], dtype=U64))[0] >> U64(1))
+                deal = place if position else int(mix(np.array([row], dtype=U64))[0] >> U64(1))
                 for at in range(0, len(ids), 4 * capacity):
                     piece = ids[at : at + 4 * capacity]
                     for c, v in zip(out, (doc_id, at // 4, len(piece) // 4, len(ids) // 4, zlib.crc32(piece), deal, piece), strict=True):
@@ -138,7 +140,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
             yield pa.RecordBatch.from_arrays(arrays, [*list(out)[:6], *(["ids"] if with_ids else [])])
 
     schema = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, deal long" + ", ids array<int>" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.col(position).cast("long").alias("position")] if position else [])).mapInArrow(run, schema)
 
 
 def first_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -164,13 +166,14 @@ def first_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
     return bins, offsets
 
 
-def pack_pieces(pieces: DataFrame, documents: int, capacity: int = 2048, per_group: int = 2048) -> DataFrame:
+def pack_pieces(pieces: DataFrame, documents: int | None, capacity: int = 2048, per_group: int = 2048) -> DataFrame:
     """pieces with sequence_id and offset; documents tells how many groups of about per_group to form.
 
-    Groups are dealt at random, so that copies of a document or of an id spread over all of them.
+    Groups are dealt at random, so that copies of a document or of an id spread over all of them.  Without
+    documents, deal numbers them from 0 and each run of per_group numbers is a group, so sequence_id follows the runs.
     sequence_id is group * 2**32 + bin.  Equal lengths keep the order of doc_id and start.
     """
-    groups = max(1, -(-documents // per_group))
+    group = F.expr(f"deal div {per_group}") if documents is None else F.pmod("deal", F.lit(max(1, -(-documents // per_group))))
     columns = [c for c in pieces.columns if c != "deal"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -181,13 +184,14 @@ def pack_pieces(pieces: DataFrame, documents: int, capacity: int = 2048, per_gro
         return pdf[columns].assign(sequence_id=int(pdf["grp"].iloc[0]) * (1 << 32) + own, offset=np.concatenate([np.zeros(full, np.int64), np.array(offsets, np.int64)]))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "deal") + ", sequence_id long, offset long"
-    return pieces.withColumn("grp", F.pmod("deal", F.lit(groups))).groupBy("grp").applyInPandas(run, schema)
+    return pieces.withColumn("grp", group).groupBy("grp").applyInPandas(run, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, per_group: int = 2048, with_ids: bool = True) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, per_group: int = 2048, with_ids: bool = True, position: str | None = None) -> DataFrame:
     """Pack all docs(doc_id, text): one row for each piece, with its ids if asked for.
 
     Null and empty texts are one piece, the end id.  Rows with the same doc_id are separate documents.
-    An empty table gives no pieces.
+    An empty table gives no pieces.  position names a column that numbers the documents from 0: groups are then
+    runs of that order and sequences are numbered along it.
     """
-    return pack_pieces(token_pieces(docs, tokenizer, capacity, end_id, with_ids), docs.count(), capacity, per_group)
+    return pack_pieces(token_pieces(docs, tokenizer, capacity, end_id, with_ids, position), None if position else docs.count(), capacity, per_group)

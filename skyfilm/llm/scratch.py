@@ -9,6 +9,8 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -31,6 +33,15 @@ def single_rows(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
+def numbered(table: DataFrame, position: str) -> DataFrame:
+    """The rows of a table of parquet files with their number from 0, in the order that Spark wrote them in."""
+    rows = table.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    before = Window.orderBy(F.regexp_extract("__file", r"^part-(\d+)", 1).cast("long"), "__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("__file").agg(F.count("*").alias("n")).select("__file", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("__start"))
+    # a row for each file: as many as the writer had partitions
+    return rows.join(F.broadcast(starts), "__file").select(*table.columns, (F.col("__start") + F.col("__row")).alias(position))
+
+
 class Scratch:
     """A folder for one call of an operator.
 

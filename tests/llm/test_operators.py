@@ -406,3 +406,16 @@ def test_pipeline(spark):
         seen.append(docs.count())
     assert seen[0] >= seen[1] == seen[2] >= seen[3] == seen[4] > 0
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()} <= set(range(10**6))
+
+
+def test_packing_follows_the_mixture(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, f"text {i}", "en", "small" if i % 10 == 0 else "big", 9) for i in range(9000)]
+    corpus_pipeline.mix(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "").write.parquet(f"{tmp_path}/mixed")
+    got = corpus_pipeline.pack(spark, spark.read.parquet(f"{tmp_path}/mixed"), "").select("doc_id", "sequence_id").collect()
+    runs = defaultdict(list)
+    for r in got:
+        runs[r.sequence_id >> 32].append(r.doc_id % 10 == 0)
+    assert sorted(runs) == [0, 1, 2, 3, 4] and [len(runs[k]) for k in range(5)] == [2048] * 4 + [9000 - 4 * 2048]
+    assert abs(np.mean(runs[0]) - 0.25) < 0.02  # weights are the roots of 8100 and 900; raw, it is 0.1
