@@ -40,6 +40,8 @@ _PLAIN = bytes(c if chr(c).isalnum() or c >= 128 or c in b"@$" else 32 for c in
 def fold(text: str | None) -> str:
     """The text's folded words, one space before and after each."""
     text = text or ""
+    if not text.isascii():
+        text = text.lower()
     if _OTHER_SCRIPT.search(text):
         text = "".join(chr(ord(c) - 0xFEE0) if "！" <= c <= "～" else c for c in text).lower().translate(_LOOK_ALIKE)
     raw = text.encode("utf-8", "surrogatepass").lower().translate(_PLAIN)

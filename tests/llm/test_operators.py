@@ -202,6 +202,10 @@ def test_toxicity_edges(spark):
     assert not blank.weights and {r.predicted for r in toxicity.score_toxicity(probe, blank).collect()} == {0}
 
 
+def test_fold_lowers_accented_capitals():
+    assert toxicity.fold("ÉCRIT Ñandú ÜBEL") == toxicity.fold("écrit ñandú übel") == " écrit ñandú übel "
+
+
 # ---- quality
 
 
