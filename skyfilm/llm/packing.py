@@ -40,7 +40,8 @@ class WordEncoder:
     bounded table.  A word of plain letters and marks behind them is put together from the ids of
     both; its letters go to the tokenizer's model at once, as normalising and splitting leave them as they
     are.  Texts with the start of a special token keep their case, as those are matched before the
-    text is lower-cased.
+    text is lower-cased; so do texts with combining marks (U+0300 to U+036F), as some compose with a small letter only
+    and the library composes first.
     """
 
     def __init__(self, path: str):
@@ -97,7 +98,7 @@ class WordEncoder:
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         raw = (text or "").encode("utf-8", "surrogatepass")
-        if b"<|" not in raw:
+        if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
             raw = raw.lower()
         parts = []
         for segment in self._segments(raw):

@@ -64,6 +64,13 @@ def test_packing_round_trip(spark):
     assert sum(r.length for r in got) / (2048 * len(sequences)) > 0.95
 
 
+def test_capitals_with_combining_marks_equal_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, encoder = Tokenizer.from_file(path), packing.WordEncoder(path)
+    for text in ("T\u0308x", "W\u030a", "H\u0331", "J\u030c", "Plain THEN T\u0308x and E\u0301"):
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_empty(spark):
     assert packing.pack_documents(docs_of(spark, ["x"]).where("doc_id > 5"), public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
