@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BLOCK = 1 << 22
 _SHINGLE = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 _MASK = (1 << 64) - 1
+#: bytes of a block and where its words begin and end, to the same of their parts
+Refine = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -45,35 +47,31 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _block_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and byte offsets of the words of one block."""
+def _block_words(raw: bytes, refine: Refine | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first bytes and ends of the words of one block, or of the parts that refine cuts them into."""
     buf = np.frombuffer(raw, dtype=np.uint8)
     if not len(buf):
-        return np.zeros(0, U64), np.zeros(0, np.int64)
+        return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     word = ~_SPACE[buf]
     edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     start, end = edge[::2], edge[1::2]
+    if refine:
+        start, end = refine(buf, start, end)
     power, inverse = _power_tables(len(buf))
     total = np.empty(len(buf) + 1, dtype=U64)
     total[0] = 0
     np.cumsum(_BYTE[buf] * power[: len(buf)], out=total[1:])
     h = (total[end] - total[start]) * inverse[start]
-    return mix(h + (end - start).astype(U64) * U64(_SHINGLE[0])), start
+    return mix(h + (end - start).astype(U64) * U64(_SHINGLE[0])), start, end
 
 
-def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit word hashes of all texts, and where each text's words begin (one more entry than texts).
+def word_spans(whole: bytes, refine: Refine | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a text, and where each begins and ends.
 
     Works through blocks of a few MB, so that memory follows the number of words; a block ends
     at white space and a longer word gets a longer block.
     """
-    raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    begins = np.zeros(len(raws) + 1, dtype=np.int64)
-    np.cumsum([len(r) + 1 for r in raws], out=begins[1:])
-    whole = b"\n".join(raws) + b"\n" if raws else b""
-    if lower:
-        whole = whole.lower()
-    hashes, starts, at = [], [], 0
+    parts, at = [], 0
     while at < len(whole):
         to = min(len(whole), at + _BLOCK // 4)
         if to < len(whole):
@@ -84,12 +82,24 @@ def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray
             else:
                 ends = [e for e in (whole.find(c, to) for c in (b" ", b"\n")) if e >= 0]
                 to = min(ends) + 1 if ends else len(whole)
-        h, s = _block_words(whole[at:to])
-        hashes.append(h)
-        starts.append(s + at)
+        h, s, e = _block_words(whole[at:to], refine)
+        parts.append((h, s + at, e + at))
         at = to
-    h = np.concatenate(hashes) if hashes else np.zeros(0, U64)
-    s = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    h, s, e = zip(*parts) if parts else ((np.zeros(0, U64),), (np.zeros(0, np.int64),), (np.zeros(0, np.int64),))
+    return np.concatenate(h), np.concatenate(s), np.concatenate(e)
+
+
+def joined(raws: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """All texts with a line end after each, and where each begins (one more entry than texts)."""
+    begins = np.zeros(len(raws) + 1, dtype=np.int64)
+    np.cumsum([len(r) + 1 for r in raws], out=begins[1:])
+    return b"\n".join([*raws, b""]), begins
+
+
+def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit word hashes of all texts, and where each text's words begin (one more entry than texts)."""
+    whole, begins = joined([(t or "").encode("utf-8", "surrogatepass") for t in texts])
+    h, s, _ = word_spans(whole.lower() if lower else whole)
     return h, np.searchsorted(s, begins)
 
 

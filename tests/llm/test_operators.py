@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -29,9 +30,10 @@ def sf_texts(spark):
 
 def test_first_fit_equals_a_plain_search():
     lengths = sorted(np.random.default_rng(0).integers(1, 100, 300).tolist(), reverse=True)
-    bins, offsets = packing.first_fit(lengths, 128)
+    bins = packing.Bins(128)
     room = [128] * len(lengths)
-    for n, b, o in zip(lengths, bins, offsets, strict=True):
+    for n in lengths:
+        b, o = bins.place(n)
         assert b == next(i for i, r in enumerate(room) if r >= n) and o == 128 - room[b]
         room[b] -= n
 
@@ -64,11 +66,32 @@ def test_packing_round_trip(spark):
     assert sum(r.length for r in got) / (2048 * len(sequences)) > 0.95
 
 
-def test_capitals_with_combining_marks_equal_the_library():
+def test_ids_of_odd_texts_equal_the_library():
     path = public_tokenizers.path("word_bpe_49k.json")
-    tok, encoder = Tokenizer.from_file(path), packing.WordEncoder(path)
-    for text in ("T\u0308x", "W\u030a", "H\u0331", "J\u030c", "Plain THEN T\u0308x and E\u0301"):
-        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    tok, encoder, rng = Tokenizer.from_file(path), packing.WordEncoder(path), random.Random(3)
+    assert encoder.by_word
+    letters = "aAbZzéÉßÿÀ÷'\u2019.,;:!?-1٢# \n\t\u0331\u0301\u0308\u030aTWHJY日ΑΣσİǅ<|>…"
+    texts = ["T\u0308x", "W\u030a", "H\u0331", "J\u030c", "Plain THEN T\u0308x and E\u0301", *ODD, "x." * 70000, None]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(5000)]
+    flat, begins = encoder.ids(texts)
+    for t, a, b in zip(texts, begins[:-1], begins[1:], strict=True):
+        assert flat[a:b].tolist() == tok.encode(t or "", add_special_tokens=False).ids
+
+
+def test_other_tokenizer_files_go_to_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = packing.WordEncoder(path)
+    assert not encoder.by_word
+    flat, begins = encoder.ids(["Two  words", None, "x"])
+    assert [flat[a:b].tolist() for a, b in zip(begins[:-1], begins[1:], strict=True)] == [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in ("Two  words", "", "x")]
+
+
+def test_packing_very_long_text_and_clashing_columns(spark):
+    rows = [(1, "word " * 1_000_000, 5, 6), (2, "short one", 5, 6), (3, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, grp long, deal long")
+    got = packing.pack_documents(df, public_tokenizers.path("word_bpe_49k.json"), with_ids=False).collect()
+    assert Counter(r.doc_id for r in got) == {1: -(-1_000_001 // 2048), 2: 1, 3: 1}
+    assert sum(r.length for r in got if r.doc_id == 1) == 1_000_001 and len({(r.sequence_id, r.offset) for r in got}) == len(got)
 
 
 def test_packing_empty(spark):
