@@ -1,101 +1,126 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Source i has weight q_i / Q.  Its k-th block may run from slot floor((k - 1) Q / q_i), its release, and
-must run before slot ceil(k Q / q_i), its deadline.  Earliest deadline first over released blocks keeps
-every source within one block of its share at every slot.  The windows repeat after Q slots, so one
-period is scheduled, Q slots whatever the data, and every block finds its slot from its number.
+Source i has the whole number q_i of slots of a period of Q = sum(q).  Its k-th block, k from 0, may run from slot
+floor(k Q / q_i), its release, and must run before slot ceil((k + 1) Q / q_i), its deadline.  Earliest deadline
+first over released blocks keeps every source within one block of its share q_i / Q at every slot.  The
+windows repeat after Q slots, so one period is scheduled and every block finds its slot from its number.
+
+Given weights are taken exactly: they are read as decimal numbers and q is each divided by their greatest
+common divisor.  Weights that follow from the sources' sizes are defined as whole numbers of slots to begin with.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import gcd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 BLOCK = 16
 BUCKET = 1024
+PERIOD = 1024
+LONGEST_PERIOD = 1 << 16
+CHUNK = 64
 BROADCAST_SOURCES = 100_000
 
 
-def quantised(shares: DataFrame, period: Column | int) -> DataFrame:
-    """(source, weight > 0) to (source, q): whole slots of a period, one at least, by largest remainders."""
-    all_rows = Window.partitionBy(F.lit(0))
-    rest = F.lit(period) - F.sum("base").over(all_rows)
-    exact = shares.withColumn("exact", F.col("weight") / F.sum("weight").over(all_rows) * (F.lit(period) - F.count("*").over(all_rows)))
-    based = exact.withColumn("base", F.floor("exact") + 1)
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc(F.col("exact") - F.floor("exact")), "source")
-    return based.withColumn("rest", rest).withColumn("rank", F.row_number().over(order)).select("source", (F.col("base") + (F.col("rank") <= F.col("rest")).cast("long")).alias("q"))
+def whole_weights(weights: dict[str, float | int | str | Fraction]) -> tuple[dict[str, int], Fraction]:
+    """The given weights as whole numbers of a common unit, exactly, and that unit."""
+    exact = {k: Fraction(str(v)) for k, v in weights.items()}
+    if any(v <= 0 for v in exact.values()):
+        raise ValueError("weights must be greater than 0")
+    below, above = 1, 0
+    for v in exact.values():
+        below = below * v.denominator // gcd(below, v.denominator)
+    for v in exact.values():
+        above = gcd(above, int(v * below))
+    unit = Fraction(max(above, 1), below)
+    return {k: int(v / unit) for k, v in exact.items()}, unit
 
 
-def period_schedule(quanta: DataFrame, period: int) -> DataFrame:
-    """(source, k from 0, slot, release, deadline) of every block of one period, by EDF.
+def source_slots(sizes: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, period: int = PERIOD) -> DataFrame:
+    """(source, rows) to (source, q): slots in each period.
 
-    One row holds the sources as an array; a fold over the period's slots picks the released block with
-    the earliest deadline, the smaller weight and the source's order breaking ties.
+    A source in ``weights`` gets its weight in whole units, exactly.  Any other source gets its
+    rows ** power in those units, rounded, one at least; without weights the unit is such that all add up to about ``period``.
     """
-    items = quanta.agg(F.array_sort(F.collect_list(F.struct("source", "q"))).alias("items"))
-    start = F.struct(
-        F.transform("items", lambda x: F.lit(0).cast("long")).alias("done"),
-        F.array().cast("array<struct<i:int,k:bigint,slot:int>>").alias("out"),
-    )
-    sql = f"""
-        aggregate(sequence(0, {period} - 1), start, (acc, t) -> aggregate(
-            array(array_min(filter(transform(items, (x, i) -> named_struct(
-                'late', acc.done[i] * {period} div x.q > t OR acc.done[i] >= x.q,
-                'deadline', ((acc.done[i] + 1) * {period} + x.q - 1) div x.q, 'q', x.q, 'i', i, 'k', acc.done[i])),
-                c -> NOT c.late))),
-            acc,
-            (a, c) -> CASE WHEN c IS NULL THEN a ELSE named_struct(
-                'done', transform(a.done, (n, i) -> CASE WHEN i = c.i THEN n + 1 ELSE n END),
-                'out', concat(a.out, array(named_struct('i', c.i, 'k', c.k, 'slot', t)))) END))
+    size = F.pow(F.col("rows").cast("double"), F.lit(power))
+    given, unit = whole_weights(weights or {})
+    share = size / F.lit(float(unit)) if given else size / F.sum(size).over(Window.partitionBy(F.lit(0))) * period
+    q: Column = F.greatest(F.lit(1), F.round(share)).cast("long")
+    for name, n in given.items():
+        q = F.when(F.col("source") == name, F.lit(n).cast("long")).otherwise(q)
+    return sizes.select("source", q.alias("q"))
+
+
+def period_schedule(slots: DataFrame) -> DataFrame:
+    """(source, q) to (source, q, period, k from 0, slot, release, deadline) of every block of one period, by EDF.
+
+    One row holds the sources as an array; a fold over the period's slots picks the released block with the
+    earliest deadline, the smaller q and the source's order breaking ties.  Slots are folded in chunks, so
+    that each step appends to a short array.
     """
-    plan = items.where("size(items) > 0").withColumn("start", start).withColumn("plan", F.expr(sql))
-    flat = plan.select("items", F.explode("plan.out").alias("o")).select(F.col("items")[F.col("o.i")].alias("x"), "o.k", "o.slot")
-    release = F.expr(f"k * {period} div x.q")
-    deadline = F.expr(f"((k + 1) * {period} + x.q - 1) div x.q")
-    return flat.select("x.source", "x.q", "k", "slot", release.alias("release"), deadline.alias("deadline"))
+    items = slots.groupBy().agg(F.array_sort(F.collect_list(F.struct("source", "q"))).alias("items"), F.sum("q").alias("period")).where("size(items) > 0")
+    empty = "cast(array() AS array<struct<i:int,k:bigint,slot:bigint>>)"
+    step = """(a, t) -> aggregate(
+        array(array_min(filter(transform(items, (x, i) -> named_struct(
+            'early', a.done[i] * period div x.q > t, 'deadline', ((a.done[i] + 1) * period + x.q - 1) div x.q, 'q', x.q, 'i', i, 'k', a.done[i])),
+            c -> NOT c.early))),
+        a,
+        (b, c) -> CASE WHEN c IS NULL THEN b ELSE named_struct(
+            'done', transform(b.done, (n, i) -> CASE WHEN i = c.i THEN n + 1 ELSE n END),
+            'out', concat(b.out, array(named_struct('i', c.i, 'k', c.k, 'slot', t)))) END)"""
+    plan = f"""aggregate(sequence(0L, (period - 1) div {CHUNK}), named_struct('done', transform(items, x -> 0L), 'out', {empty}),
+        (acc, c) -> aggregate(sequence(c * {CHUNK}, least(period, (c + 1) * {CHUNK}) - 1), named_struct('done', acc.done, 'out', {empty}), {step},
+            chunk -> named_struct('done', chunk.done, 'out', concat(acc.out, chunk.out))),
+        acc -> acc.out)"""
+    flat = items.select("items", "period", F.explode(F.expr(plan)).alias("o")).select(F.col("items")[F.col("o.i")].alias("x"), "period", "o.k", "o.slot")
+    return flat.selectExpr("x.source", "x.q", "period", "k", "slot", "k * period div x.q AS release", "((k + 1) * period + x.q - 1) div x.q AS deadline")
 
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block: int = BLOCK, period: int = 1024, seed: int = 17) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, block: int = BLOCK, period: int = PERIOD, seed: int = 17) -> DataFrame:
     """docs with source_rank, block_no, slot, release, deadline and mix_position.
 
-    weights gives target weights by source; a source that it lacks, and every source without it, weighs its
-    number of rows to ``power``.  A null source is a source of its own.  Rows of a source are shuffled by
-    a hash of the row, dealt to blocks of ``block`` rows (the last may be shorter), and each block takes one
+    weights gives target weights by source, held exactly; a source that it lacks, and every source without it, weighs its
+    number of rows to ``power``, as ``source_slots`` says.  A period beyond ``LONGEST_PERIOD`` slots is refused: weights
+    need a common unit of at least that part of their sum.  A null source is a source of its own.  Rows of a source are
+    shuffled by a hash of the row, dealt to blocks of ``block`` rows (the last may be shorter), and each block takes one
     slot; mix_position = slot * block + place in the block orders the whole mix, with gaps after a source
-    has ended.  All rows are kept; equal rows get different positions; an empty table gives no rows.
+    has ended.  All rows are kept; equal rows get different positions; an empty table gives no rows.  Columns
+    of docs named like new ones are replaced, all others are kept whatever their names; texts are not looked into.
 
     Ranks come from counts of hash buckets, so a source that holds most rows is spread over many tasks.
-    The schedule is as long as the period; more sources than a tenth of the period lengthen it.
     """
     names = ("source_rank", "block_no", "slot", "release", "deadline", "mix_position")
     kept = [c for c in docs.columns if c not in names]
-    hashed = [c for c in kept if "map<" not in docs.schema[c].dataType.simpleString()]
-    rows = docs.select(*kept).withColumn("__s", F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit(""))))
-    sizes = rows.groupBy("__s").agg(F.count("*").alias("rows"))
-    sources = sizes.count()
-    period = max(period, 10 * sources)
+    key = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit("")))
+    order = F.md5(F.concat(F.lit(f"{seed} "), F.to_json(F.struct(*[F.col(f"`{c}`") for c in kept]))))
+    # columns of docs travel as one, so that no name of theirs meets one of ours
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), key.alias("source"), order.alias("hash"))
+    sizes = docs.select(key.alias("source")).groupBy("source").agg(F.count("*").alias("rows"))
+    slots = source_slots(sizes, {"s" + k: v for k, v in weights.items()} if weights else None, power, period)
+    total = slots.agg(F.count("*").alias("n"), F.sum("q").alias("q")).first()
+    if (total["q"] or 0) > max(LONGEST_PERIOD, 2 * (period + total["n"])):
+        raise ValueError(f"the weights need a period of {total['q']} slots, more than {LONGEST_PERIOD}")
     # a row for each source: small, and checked; a join dealt by source would put a hot one into one task
-    each = F.broadcast if sources <= BROADCAST_SOURCES else (lambda df: df)
-
-    weight = F.pow(F.col("rows").cast("double"), F.lit(power))
-    for name, w in (weights or {}).items():
-        weight = F.when(F.col("__s") == "s" + name, F.lit(float(w))).otherwise(weight)
-    quanta = quantised(sizes.select(F.col("__s").alias("source"), weight.alias("weight")), period)
-    plan = period_schedule(quanta, period).withColumnRenamed("source", "__s")
-
-    # as many buckets for a source as its rows fill, so that all are of one size
-    rows = rows.withColumn("__h", F.xxhash64(F.lit(seed), *hashed)).join(each(sizes.select("__s", F.ceil(F.col("rows") / BUCKET).alias("__n"))), "__s")
-    rows = rows.withColumn("__b", F.pmod("__h", "__n").cast("int")).drop("__n").repartition("__s", "__b")
-    before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("__s", "__b").agg(F.count("*").alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long"))).drop("n")
-    within = Window.partitionBy("__s", "__b").orderBy("__h")
-    rows = rows.withColumn("__r", F.row_number().over(within)).join(starts, ["__s", "__b"])
-    rows = rows.withColumn("source_rank", F.col("first") + F.col("__r") - 1).withColumn("block_no", F.expr(f"source_rank div {block}"))
-    rows = rows.join(each(quanta.withColumnRenamed("source", "__s")), "__s").withColumn("k", F.expr("block_no % q")).withColumn("__round", F.expr("block_no div q"))
-    rows = rows.join(plan.drop("q"), ["__s", "k"])
-    turn = F.col("__round") * period
+    each = F.broadcast if total["n"] <= BROADCAST_SOURCES else (lambda df: df)
+    plan = period_schedule(slots)
+
+    # as many buckets for a source as its rows fill, in the order of the hash, so that all are of one size
+    rows = rows.join(each(sizes.select("source", F.ceil(F.col("rows") / BUCKET).alias("buckets"))), "source")
+    rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("hash", 1, 13), 16, 10).cast("double") / float(1 << 52) * F.col("buckets")).cast("long")).drop("buckets").repartition("source", "bucket")
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("source", "bucket").agg(F.count("*").alias("n")).select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("start"))
+    within = Window.partitionBy("source", "bucket").orderBy("hash")
+    rows = rows.withColumn("place", F.row_number().over(within)).join(starts, ["source", "bucket"])
+    rows = rows.withColumn("source_rank", F.col("start") + F.col("place") - 1).withColumn("block_no", F.expr(f"source_rank div {block}"))
+    rows = rows.join(each(slots), "source").select("row", "source", "source_rank", "block_no", F.expr("block_no % q").alias("k"), F.expr("block_no div q").alias("turn"))
+    rows = rows.join(plan.drop("q"), ["source", "k"])
+    turn = F.col("turn") * F.col("period")
+    slot = turn + F.col("slot")
     return rows.select(
-        *kept, "source_rank", "block_no", (turn + F.col("slot")).alias("slot"), (turn + F.col("release")).alias("release"), (turn + F.col("deadline")).alias("deadline"),
-        ((turn + F.col("slot")) * block + F.expr(f"source_rank % {block}")).alias("mix_position"),
+        *[F.col("row")[c].alias(c) for c in kept], "source_rank", "block_no", slot.alias("slot"), (turn + F.col("release")).alias("release"), (turn + F.col("deadline")).alias("deadline"),
+        (slot * block + F.expr(f"source_rank % {block}")).alias("mix_position"),
     )

@@ -12,7 +12,7 @@ import corpus_pipeline
 
 from .hpy_lm import score_texts
 from .line_dedup import LEAST_PAGES, RATIO, dedup_lines
-from .mixing import mix_sources
+from .mixing import BLOCK, PERIOD, mix_sources
 from .ngram_join import near_duplicates
 from .packing import pack_documents
 from .quality import judge_quality
@@ -84,6 +84,22 @@ _RULES = ", ".join(f"('{r}', '{v}', '{r.partition('/')[0]}', '/{r.partition('/')
 _LINE = "trim(regexp_replace(line, '[\\t\\r]', ' ', 'g'))"
 
 ORACLES: dict[str, str] = {
+    "op1_source_mixing": f"""
+        WITH RECURSIVE s AS (SELECT source, greatest(1, round(w / sum(w) OVER () * {PERIOD}))::BIGINT AS q
+                             FROM (SELECT source, pow(count(*)::DOUBLE, 0.5) AS w FROM documents GROUP BY 1)),
+        items AS (SELECT list({{'s': source, 'q': q}} ORDER BY (CASE WHEN source IS NULL THEN 'n' ELSE 's' END) || coalesce(source, '')) AS x, sum(q)::BIGINT AS p, count(*) AS n FROM s),
+        run(t, done, i, k) AS (
+            SELECT -1::BIGINT, list_transform(x, lambda y: 0::BIGINT), 0::BIGINT, -1::BIGINT FROM items
+            UNION ALL
+            SELECT t + 1, list_transform(done, lambda d, j: d + (j = pick)::BIGINT), pick, done[pick]
+            FROM (SELECT t, done, list_sort(list_filter(list_transform(range(1, n + 1), lambda j: {{'d': ((done[j] + 1) * p + x[j].q - 1) // x[j].q, 'q': x[j].q, 'i': j, 'early': done[j] * p // x[j].q > t + 1}}),
+                                             lambda c: NOT c.early))[1].i AS pick FROM run, items WHERE t + 1 < p)),
+        plan AS (SELECT x[i].s AS source, x[i].q AS q, p, k, t AS slot, k * p // x[i].q AS release, ((k + 1) * p + x[i].q - 1) // x[i].q AS deadline FROM run, items WHERE t >= 0),
+        r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('17 ' || '{{"doc_id":' || doc_id || ',"source":"' || source || '"}}')) - 1 AS source_rank FROM documents)
+        SELECT doc_id, r.source, source_rank, source_rank // {BLOCK} AS block_no, (source_rank // {BLOCK} // q) * p + slot AS slot, (source_rank // {BLOCK} // q) * p + release AS release,
+               (source_rank // {BLOCK} // q) * p + deadline AS deadline, ((source_rank // {BLOCK} // q) * p + slot) * {BLOCK} + source_rank % {BLOCK} AS mix_position
+        FROM r JOIN plan ON r.source IS NOT DISTINCT FROM plan.source AND (source_rank // {BLOCK}) % q = k
+    """,
     "op2_ngram_jaccard_join": f"""
         WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
         sh AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i+4], ' ') END AS s

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -147,29 +148,54 @@ def test_urls(spark):
 # ---- mixing
 
 
-def test_mixing_stays_within_one_block(spark):
-    sizes = {"a": 3000, "b": 900, "c": 330, "d": 40, None: 75, "": 50}
-    rows = [(i, s) for s, n in sizes.items() for i in range(n)]
-    df = spark.createDataFrame(rows, "doc_id long, source string")
-    weights = {"a": 5.0, "b": 3.0, "c": 1.5}
-    got = mixing.mix_sources(df, weights, block=4, period=128).collect()
+def plain_edf(quanta, slots):
+    """Source of each slot: of the released blocks that with the earliest deadline, in exact fractions."""
+    total, done, out = sum(quanta.values()), dict.fromkeys(quanta, 0), []
+    for t in range(slots):
+        ready = [(math.ceil(Fraction((done[s] + 1) * total, q)), q, s) for s, q in quanta.items() if Fraction(done[s] * total, q) < t + 1]
+        out.append(min(ready)[2])
+        done[out[-1]] += 1
+    return out
+
+
+def test_period_equals_a_plain_edf(spark):
+    for quanta in ({"a": 7, "b": 5, "c": 3, "d": 1, "e": 1}, {"x": 1}, {"a": 90, "b": 9, "c": 1}, {f"s{i:02}": i % 4 + 1 for i in range(30)}):
+        got = mixing.period_schedule(spark.createDataFrame(list(quanta.items()), "source string, q long")).orderBy("slot").collect()
+        assert [r.source for r in got] == plain_edf(quanta, sum(quanta.values()))
+        assert [r.slot for r in got] == list(range(sum(quanta.values()))) and all(r.release <= r.slot < r.deadline for r in got)
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.9, "b": 0.0999, "c": 0.0001}, {"a": 5.0, "b": 3, "c": 1.5}, None])
+def test_mixing_stays_within_one_block_of_its_targets(spark, weights):
+    sizes = {"a": 3000, "b": 900, "c": 330} | ({} if weights else {"d": 40, None: 75, "": 50})
+    rows = [(i, s, 1, 2, "x", None) for s, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, k long, q long, first string, slot long")
+    got = mixing.mix_sources(df, weights, block=1).collect()
     assert len(got) == len(rows) and len({r.mix_position for r in got}) == len(rows)
-    assert all(r.release <= r.slot < r.deadline for r in got)
-    slots = defaultdict(set)
+    assert all(r.release <= r.slot < r.deadline and (r.k, r.q, r["first"]) == (1, 2, "x") for r in got)
+    share = weights or {r.source: r.q for r in mixing.source_slots(spark.createDataFrame(list(sizes.items()), "source string, rows long")).collect()}
+    total = sum(Fraction(str(v)) for v in share.values())
+    slots = defaultdict(list)
     for r in got:
-        slots[r.source].add(r.slot)
-    assert all(len(s) == math.ceil(sizes[k] / 4) for k, s in slots.items())
-    share = {k: weights.get(k, sizes[k] ** 0.5) for k in sizes}
-    quanta = {r.source: r.q for r in mixing.quantised(spark.createDataFrame([(repr(k), float(v)) for k, v in share.items()], "source string, weight double"), 128).collect()}
-    assert sum(quanta.values()) == 128 and min(quanta.values()) >= 1
+        slots[r.source].append(r.slot)
     last = min(max(s) for s in slots.values())  # until a source has ended
-    for k, s in slots.items():
-        done, own = 0, sorted(s)
+    for s, own in slots.items():
+        w, done, own = Fraction(str(share[s])) / total, 0, sorted(own)
+        assert len(own) == sizes[s] == len(set(own))
         for t in range(last + 1):
-            while done < len(own) and own[done] <= t:
-                done += 1
-            assert abs(done - (t + 1) * quanta[repr(k)] / 128) < 1
+            done += done < len(own) and own[done] == t
+            assert abs(done - (t + 1) * w) < 1
+    again = mixing.mix_sources(df.repartition(5), weights, block=1).collect()
+    assert sorted((r.doc_id, str(r.source), r.slot) for r in again) == sorted((r.doc_id, str(r.source), r.slot) for r in got)
+
+
+def test_mixing_edges(spark):
+    df = spark.createDataFrame([(1, "a", "t"), (1, "a", "t"), (None, None, None), (2, "b", "word " * 100000)], "doc_id long, source string, text string")
+    got = mixing.mix_sources(df, {"a": 1, "b": 2}, block=1).collect()
+    assert len({r.mix_position for r in got}) == 4 and {len(r.text or "") for r in got} == {0, 1, 500000}
     assert mixing.mix_sources(df.where("doc_id < 0")).count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix_sources(df, {"a": 1, "b": 0.0000001})
 
 
 # ---- line dedup
