@@ -3,6 +3,7 @@
 A page counts once for each distinct line.  A line goes from all pages of a host if at least
 ``least_pages`` of them hold it and they are more than ``ratio`` of the host's pages.  Where ``copies_once``
 is set, pages of a host with equal texts count as one, so that copies of whole documents are no boilerplate.
+Lines, and texts where copies count once, are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -15,19 +16,8 @@ LEAST_PAGES = 5
 SALTS = 16
 
 
-def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
-    """(__host, lines): hashes of each host's boilerplate lines; at most its lines a page over ratio."""
-    rows = pages.select(_host(host).alias("__host"), F.col(text).alias("t"), F.xxhash64(text).alias("copy"))
-    pages_of = F.count_distinct("copy") if copies_once else F.count("*")
-    totals = rows.groupBy("__host").agg(pages_of.alias("pages"))
-    lines = rows.where("t IS NOT NULL").select("__host", *(["copy"] if copies_once else []), F.explode(F.array_distinct(F.transform(F.split("t", "\n"), _line_hash))).alias("line")).where("line IS NOT NULL")
-    found = lines.groupBy("__host", "line").agg(pages_of.alias("with_line")).where(F.col("with_line") >= least_pages)
-    found = found.join(totals, "__host").where(F.col("with_line") > ratio * F.col("pages"))
-    return found.groupBy("__host").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-
-
 def _host(host: str):
-    return F.concat(F.when(F.col(host).isNull(), "n").otherwise("s"), F.coalesce(F.col(host).cast("string"), F.lit("")))
+    return F.concat(F.when(F.col(f"`{host}`").isNull(), "n").otherwise("s"), F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")))
 
 
 def _line_hash(line):
@@ -36,25 +26,39 @@ def _line_hash(line):
     return F.when(bare != "", F.xxhash64(bare))
 
 
+def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
+    """(host, boilerplate): hashes of each host's boilerplate lines; at most its lines a page over ratio."""
+    rows = pages.select(_host(host).alias("host"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("copy"))
+    pages_of = F.count_distinct("copy") if copies_once else F.count("*")
+    totals = rows.groupBy("host").agg(pages_of.alias("pages"))
+    lines = rows.where("text IS NOT NULL").select("host", *(["copy"] if copies_once else []), F.explode(F.array_distinct(F.transform(F.split("text", "\n"), _line_hash))).alias("line")).where("line IS NOT NULL")
+    found = lines.groupBy("host", "line").agg(pages_of.alias("with_line")).where(F.col("with_line") >= least_pages)
+    found = found.join(totals, "host").where(F.col("with_line") > ratio * F.col("pages"))
+    return found.groupBy("host").agg(F.array_sort(F.collect_list("line")).alias("boilerplate"))
+
+
 def dedup_lines(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
     """pages with the text cleaned, and with n_lines and n_dropped_lines.
 
-    Null texts stay null with no lines; blank lines stay; a null host is a host of its own; rows that
+    Null texts stay null with no lines; an empty text is one blank line; blank lines stay; a null host is a host of its own; rows that
     repeat are pages like others; a host with fewer than ``least_pages`` pages loses nothing; an empty
-    table gives no rows.  Lines are compared without blanks around them.
+    table gives no rows.  Lines are compared without blanks around them.  Columns of pages named like new
+    ones are replaced, all others are kept whatever their names.
 
     Only lines' hashes are shuffled and counted, a row for each page and distinct line.  The few lines over
     the ratio, fewer for each host than its lines a page divided by the ratio, then meet the pages; each host's
-    pages are dealt to several tasks.
+    pages are dealt to several tasks, row by row, so that copies of one text are dealt too.
     """
     kept = [c for c in pages.columns if c not in ("n_lines", "n_dropped_lines")]
-    drop = boilerplate_lines(pages, host, text, ratio, least_pages, copies_once).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = pages.select(*kept, _host(host).alias("__host")).withColumn("__salt", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
-    rows = rows.join(drop, ["__host", "__salt"], "left")
-    lines = F.split(F.col(text), "\n")
-    stays = F.filter(lines, lambda x: F.coalesce(~F.array_contains(F.col("lines"), _line_hash(x)), F.lit(True)))
-    rows = rows.withColumn("__stays", F.when(F.col("lines").isNull(), lines).otherwise(stays))
+    drop = boilerplate_lines(pages, host, text, ratio, least_pages, copies_once).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # columns of pages travel as one, so that no name of theirs meets one of ours
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), _host(host).alias("host"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
+    rows = rows.join(drop, ["host", "salt"], "left")
+    whole = F.col("row")[text]
+    lines = F.split(whole, "\n")
+    stays = F.filter(lines, lambda x: F.coalesce(~F.array_contains(F.col("boilerplate"), _line_hash(x)), F.lit(True)))
+    rows = rows.withColumn("stays", F.when(F.col("boilerplate").isNull(), lines).otherwise(stays))
     return rows.select(
-        *[F.when(F.col("lines").isNull(), F.col(c)).otherwise(F.array_join("__stays", "\n")).alias(c) if c == text else F.col(c) for c in kept],
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), (F.coalesce(F.size(lines), F.lit(0)) - F.coalesce(F.size("__stays"), F.lit(0))).cast("long").alias("n_dropped_lines"),
+        *[F.when(F.col("boilerplate").isNull(), whole).otherwise(F.array_join("stays", "\n")).alias(c) if c == text else F.col("row")[c].alias(c) for c in kept],
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), (F.coalesce(F.size(lines), F.lit(0)) - F.coalesce(F.size("stays"), F.lit(0))).cast("long").alias("n_dropped_lines"),
     )

@@ -234,7 +234,7 @@ def pack_pieces(pieces: DataFrame, documents: int | None, capacity: int = 2048,
     sequence_id is group * 2**32 + bin.  Equal lengths keep the order of doc_id and start.
     """
     group = F.expr(f"deal div {per_group}") if documents is None else F.pmod("deal", F.lit(max(1, -(-documents // per_group))))
-    columns = [c for c in pieces.columns if c != "deal"]
+    columns = [c for c in pieces.columns if c != "deal" or documents is None]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, full, bins = None, 0, None
@@ -253,7 +253,7 @@ def pack_pieces(pieces: DataFrame, documents: int | None, capacity: int = 2048,
                 offset.append(found[1])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], [*columns, "sequence_id", "offset"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "deal") + ", sequence_id long, offset long"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name in columns) + ", sequence_id long, offset long"
     ordered = pieces.withColumn("grp", group).repartition("grp").sortWithinPartitions("grp", F.desc("length"), "doc_id", "start")
     return ordered.mapInArrow(run, schema)
 
@@ -263,6 +263,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
 
     Null and empty texts are one piece, the end id.  Rows with the same doc_id are separate documents; other columns of docs are not looked at, whatever their names.
     An empty table gives no pieces.  position names a column that numbers the documents from 0: groups are then
-    runs of that order and sequences are numbered along it.
+    runs of that order, sequences are numbered along it, and each piece carries its document's number in ``position``.
     """
-    return pack_pieces(token_pieces(docs, tokenizer, capacity, end_id, with_ids, position), None if position else docs.count(), capacity, per_group)
+    packed = pack_pieces(token_pieces(docs, tokenizer, capacity, end_id, with_ids, position), None if position else docs.count(), capacity, per_group)
+    return packed.withColumnRenamed("deal", "position") if position else packed

@@ -14,8 +14,10 @@ from pyspark.sql.window import Window
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The session's spark.checkpoint.dir; where that is unset, a folder of this machine, in local mode only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return base or "file://" + os.path.join(tempfile.gettempdir(), "skyfilm-scratch")
 
 

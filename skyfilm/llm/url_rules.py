@@ -1,9 +1,10 @@
 """URL prefix rules as a sort-merge range join on reversed-host keys.
 
-A rule is a host and a path prefix.  Under one host, rule paths are intervals of the sorted paths and
-nest or are disjoint.  Each url joins the sweep once for each of its host's suffixes that rules name;
-rules and urls of one host are sorted together, and the last rule passed carries the stack of rules
-nested around it.  The innermost rule of that stack that still covers the url is the longest that fits.
+A rule is a host and a path prefix.  With its labels reversed and a dot behind each, a host is a prefix of all its subdomains, so the
+hosts of rules are intervals of the sorted hosts; under one host, the paths of rules are intervals of the
+sorted paths.  Intervals nest or are disjoint.  A sweep sorts marks (the starts of intervals) and points together; each mark
+passed puts its stack of enclosing marks in force, and a point takes those of the stack in force that it has not
+left yet.  One sweep over hosts finds the rule hosts around each host, a second over paths the rules around each url.
 """
 
 from __future__ import annotations
@@ -29,13 +30,35 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def reversed_host(host: Column) -> Column:
-    return F.concat_ws(".", F.reverse(F.split(host, r"\.")))
+    """Labels in reverse, a dot behind each."""
+    return F.concat(F.concat_ws(".", F.reverse(F.split(host, r"\."))), F.lit("."))
 
 
 def rules_frame(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """(rule, verdict) texts such as ("com/en/", "block") as a table of rule, verdict, rule_host, rule_path."""
-    rows = [(r, v, r.partition("/")[0], "/" + r.partition("/")[2]) for r, v in rules]
-    return spark.createDataFrame(rows, "rule string, verdict string, rule_host string, rule_path string")
+    rows = [F.struct(*[F.lit(x) for x in (r, v, r.partition("/")[0], "/" + r.partition("/")[2])]) for r, v in rules]
+    table = spark.range(1).select(F.inline(F.array(*rows))) if rows else spark.range(0).selectExpr("'' AS a", "'' AS b", "'' AS c", "'' AS d")
+    return table.toDF("rule", "verdict", "rule_host", "rule_path")
+
+
+def sweep(marks: DataFrame, points: DataFrame, salts: int) -> DataFrame:
+    """points(part, at, carry) with stack: the marks(part, at) of their part that their ``at`` starts with, innermost last.
+
+    Points of a part are dealt to ``salts`` tasks, each with that part's marks.  Points with nothing around them are left out.
+    """
+    ends = F.explode(F.sequence(F.lit(1), F.length("at")))
+    starts = marks.select("part", "at", ends.alias("n")).withColumn("outer", F.expr("substring(at, 1, n)")).select("part", "at", "outer")
+    starts = starts.union(marks.where("at = ''").selectExpr("part", "at", "''")).union(marks.where("at != ''").selectExpr("part", "at", "''"))
+    stacks = starts.join(marks.select("part", F.col("at").alias("outer")), ["part", "outer"])
+    stacks = stacks.groupBy("part", "at").agg(F.transform(F.array_sort(F.collect_set(F.struct(F.length("outer").alias("n"), "outer"))), lambda s: s["outer"]).alias("stack"))
+    stacks = stacks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    points = points.withColumn("salt", F.pmod(F.xxhash64("at", "carry"), F.lit(salts)).cast("int"))
+    merged = stacks.select("part", "salt", "at", F.lit(0).alias("kind"), F.lit(None).cast(points.schema["carry"].dataType).alias("carry"), "stack").unionByName(
+        points.select("part", "salt", "at", F.lit(1).alias("kind"), "carry", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack"))
+    )
+    passed = F.last("stack", ignorenulls=True).over(Window.partitionBy("part", "salt").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    around = F.filter("passed", lambda s: F.startswith(F.col("at"), s))
+    return merged.withColumn("passed", passed).where("kind = 1 AND passed IS NOT NULL").select("part", "at", "carry", around.alias("stack")).where("size(stack) > 0")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts: int = SALTS) -> DataFrame:
@@ -44,37 +67,25 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts
     rules: rule, verdict, rule_host, rule_path.  A rule fits its host and all subdomains if the path
     starts with rule_path.  The longest rule text wins; of equal texts, ``block`` before ``allow``.  Null urls and
     urls without ``://`` have an empty host and path, fit no rule and get the default.  Rows that repeat
-    stay; an empty table gives no rows; columns of pages named like new ones are replaced.
+    stay; an empty table gives no rows, and no rules give the default; columns of pages named like new ones are replaced, all others are kept whatever their names.
 
-    Each distinct host and path is judged once.  Those of one host are dealt to ``salts`` tasks, each with that host's rules, so a hot host is
-    no hot task.  Hosts are cut to as many labels as the deepest rule has, so long hosts cost no more.
+    Each distinct host is swept once, and each distinct host and path once for every rule host around it.
     """
     host, path = url_parts(F.col("url"))
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    pages = pages.select(*kept, host.alias("host"), path.alias("path"))
-
-    key = reversed_host(F.col("rule_host"))
-    rules = rules.where("rule_host IS NOT NULL AND rule_path IS NOT NULL")
-    rules = rules.groupBy("rule_host", "rule_path").agg(F.min_by(F.struct("rule", "verdict"), F.struct(F.col("verdict") != "block", "rule")).alias("r"))
-    rules = rules.select(key.alias("key"), "rule_path", "r.rule", "r.verdict", F.size(F.split("rule_host", r"\.")).alias("depth"))
-    # the stack of each rule: all rules of its host whose path is a prefix of its own, innermost last
-    outer = rules.select("key", F.col("rule_path").alias("prefix"), F.struct(F.col("rule_path").alias("path"), "rule", "verdict").alias("outer"))
-    prefixes = rules.select("key", "rule_path", F.explode(F.sequence(F.lit(0), F.length("rule_path"))).alias("n")).withColumn("prefix", F.expr("substring(rule_path, 1, n)"))
-    stacks = prefixes.join(outer, ["key", "prefix"]).groupBy("key", "rule_path").agg(F.array_sort(F.collect_list(F.struct(F.length("outer.path").alias("n"), "outer"))).alias("stack"))
-    stacks = stacks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
-    deepest = rules.agg(F.coalesce(F.max("depth"), F.lit(0)).alias("deepest"))
-    labels = F.reverse(F.split("host", r"\."))
-    urls = pages.where("host != ''").select("host", "path").distinct().select("host", "path", labels.alias("labels")).join(F.broadcast(deepest), F.lit(True))
-    urls = urls.where("deepest > 0").select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.size("labels"), "deepest")), lambda n: F.concat_ws(".", F.slice("labels", F.lit(1), n)))).alias("key"))
-    urls = urls.join(rules.select("key").distinct(), "key", "left_semi").withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(salts)).cast("int"))
-
-    none = F.lit(None)
-    merged = stacks.select("key", "salt", F.col("rule_path").alias("at"), F.lit(0).alias("kind"), none.cast("string").alias("host"), "stack").unionByName(
-        urls.select("key", "salt", F.col("path").alias("at"), F.lit(1).alias("kind"), "host", none.cast(stacks.schema["stack"].dataType).alias("stack"))
-    )
-    sweep = Window.partitionBy("key", "salt").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    active = F.last("stack", ignorenulls=True).over(sweep)
-    swept = merged.withColumn("active", active).where("kind = 1").select("host", F.col("at").alias("path"), F.try_element_at(F.filter("active", lambda s: F.startswith(F.col("at"), s["outer"]["path"])), F.lit(-1))["outer"].alias("hit"))
-    best = swept.where("hit IS NOT NULL").groupBy("host", "path").agg(F.max_by("hit", F.struct(F.length("hit.rule"), F.length("hit.rule") - F.length("hit.path"), F.col("hit.verdict") == "block")).alias("hit"))
-    return pages.join(best, ["host", "path"], "left").select(*kept, "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
+    # columns of pages travel as one, so that no name of theirs meets one of ours
+    pages = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), host.alias("host"), path.alias("path"))
+
+    rules = rules.where("rule_host IS NOT NULL AND rule_path IS NOT NULL").select(reversed_host(F.col("rule_host")).alias("part"), F.col("rule_path").alias("at"), "rule", "verdict")
+    rules = rules.groupBy("part", "at").agg(F.min_by(F.struct("rule", "verdict"), F.struct(F.col("verdict") != "block", "rule")).alias("r"))
+    top = F.substring_index("at", ".", 1)
+    urls = pages.where("host != ''").select("host", "path").distinct()
+    rule_hosts = rules.select(F.col("part").alias("at")).distinct().select(top.alias("part"), "at")
+    hosts = urls.select("host").distinct().select(reversed_host(F.col("host")).alias("at"), F.col("host").alias("carry")).select(top.alias("part"), "at", "carry")
+    around = sweep(rule_hosts, hosts, salts).select(F.col("carry").alias("host"), F.explode("stack").alias("part"))
+
+    found = sweep(rules.select("part", "at"), urls.join(around, "host").select("part", F.col("path").alias("at"), F.col("host").alias("carry")), salts)
+    found = found.select("part", F.element_at("stack", -1).alias("inner"), F.col("carry").alias("host"), F.col("at").alias("path"))
+    best = found.join(rules.withColumnRenamed("at", "inner"), ["part", "inner"])
+    best = best.groupBy("host", "path").agg(F.max_by("r", F.struct(F.length("r.rule"), F.length("part"), F.col("r.verdict") == "block")).alias("hit"))
+    return pages.join(best, ["host", "path"], "left").select(*[F.col("row")[c].alias(c) for c in kept], "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
