@@ -3,6 +3,8 @@
 The trees are fitted on a bounded sample; all rows are dealt to their leaves.  A query walks the trees
 best margin first, from one queue, and takes the leaves it reaches; how many is set on the sample so that
 its own exact neighbours are found.  The rows of those leaves are then ranked by exact cosine.
+
+Each row travels once for each tree, so few trees and more leaves of each keep the shuffle small.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SAMPLE_ROWS = 1 << 15
-TREES = 16
+TREES = 4
 LEAF_ROWS = 64
 PROBES = 128
 WANTED = 0.97
@@ -128,7 +130,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, sampl
     """
     schema = "query_id long, rank int, vec_id long, score double"
     ok = "vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')) AND exists(embedding, x -> x != 0)"
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), is_query.alias("q")).where(ok)
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    if kind not in ("array<float>", "array<double>"):
+        vectors, kind = vectors.withColumn("embedding", F.col("embedding").cast("array<double>")), "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"), is_query.alias("q")).where(ok)
     size = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if size is None:
         return spark.createDataFrame([], schema)
@@ -182,10 +187,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query, k: int = 5, sampl
         return pd.DataFrame({"qc": np.array(out["qc"], np.int64), "ids": pd.Series(out["ids"], dtype=object), "score": pd.Series(out["score"], dtype=object)})
 
     salt = F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int")
-    leaves = classes.mapInArrow(to_leaves, "leaf long, embedding array<double>, ids array<long>").withColumns({"salt": salt, "grp": F.shiftright("leaf", together)})
+    leaves = classes.mapInArrow(to_leaves, f"leaf long, embedding {kind}, ids array<long>").withColumns({"salt": salt, "grp": F.shiftright("leaf", together)})
     queries = rows.where("q").select(F.col("vec_id").alias("query_id"), "embedding").distinct()
     asked = queries.groupBy("embedding").agg(F.min("query_id").alias("qc"))
-    visits = asked.select("qc", "embedding").repartition("qc").mapInArrow(to_visits, "grp long, visited array<long>, qc long, embedding array<double>").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    visits = asked.select("qc", "embedding").repartition("qc").mapInArrow(to_visits, f"grp long, visited array<long>, qc long, embedding {kind}").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     found = leaves.groupBy("grp", "salt").cogroup(visits.groupBy("grp", "salt")).applyInPandas(rank, "qc long, ids array<array<long>>, score array<double>")
     hits = found.select("qc", F.explode(F.arrays_zip("ids", "score")).alias("h")).select("qc", "h.ids", "h.score")
     best = Window.partitionBy("qc").orderBy(F.desc("score"), F.element_at("ids", 1))

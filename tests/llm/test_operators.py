@@ -312,13 +312,14 @@ def test_quality_follows_labels(spark):
 
 
 def test_forest_recall(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    """The registered query's own parameters, on a table large enough for several leaves."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     data = {r.vec_id: np.array(r.embedding, float) for r in rows.collect()}
     got = defaultdict(dict)
-    for r in rp_forest.nearest(spark, rows, F.col("vec_id") % 10 == 0, leaf_rows=16).collect():
+    for r in rp_forest.nearest(spark, rows, F.col("vec_id") % 50 == 0).collect():
         got[r.query_id][r.rank] = r
     hit = total = 0
-    for q in (i for i in data if i % 10 == 0):
+    for q in (i for i in data if i % 50 == 0):
         score = {i: float(data[q] @ x / np.linalg.norm(data[q]) / np.linalg.norm(x)) for i, x in data.items() if i != q}
         best = sorted(score, key=lambda i: (-score[i], i))[:5]
         own = [got[q][k].vec_id for k in range(1, 6)]
