@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import contextlib
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,20 +19,6 @@ def scratch_root(spark: SparkSession) -> str:
     return base or "file://" + os.path.join(tempfile.gettempdir(), "skyfilm-scratch")
 
 
-@contextlib.contextmanager
-def single_rows(spark: SparkSession) -> Iterator[None]:
-    """While it holds, jobs read and hand rows to Python one by one: for tables whose rows are many MB each."""
-    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1", "spark.sql.parquet.enableVectorizedReader": "false"}
-    before = {k: spark.conf.get(k) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-
-
 def numbered(table: DataFrame, position: str) -> DataFrame:
     """The rows of a table of parquet files with their number from 0, in the order that Spark wrote them in."""
     rows = table.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
@@ -55,17 +39,14 @@ class Scratch:
         self.spark = spark
         self.path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
-    def keep(self, df: DataFrame, name: str, group_mb: int | None = None) -> DataFrame:
-        """Write df once and return the table as read back; the shuffle files behind it go at once.
-
-        group_mb bounds what the writer holds of a row group: for rows of many MB each.
-        """
+    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write df once, in folders by a column if one is named, and return the table as read back; the shuffle files behind it go at once."""
         key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
         before = self.spark.conf.get(key)
         self.spark.conf.set(key, "true")
         try:
             writer = df.write.mode("overwrite")
-            (writer.option("parquet.block.size", group_mb << 20) if group_mb else writer).parquet(f"{self.path}/{name}")
+            (writer.partitionBy(by) if by else writer).parquet(f"{self.path}/{name}")
         finally:
             self.spark.conf.set(key, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skyfilm.llm import hpy_lm, line_dedup, mixing, packing, quality, rp_forest, token_counts, toxicity, url_rules
+from skyfilm.llm import hpy_lm, line_dedup, mixing, packing, quality, rp_forest, seating, token_counts, toxicity, url_rules
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -339,15 +339,86 @@ def test_forest_edges(spark):
 # ---- language model
 
 
-def test_seating_grows_slowly():
-    rng = np.random.default_rng(0)
-    n = np.array([0, 1, 2, 5, 1000, 100000])
-    t = hpy_lm.seat(n, np.full(6, 1.0), 0.5, rng)
-    assert t[0] == 0 and t[1] == 1 and (t[1:] >= 1).all() and (t <= n).all() and t[5] < 5000
-    one = [hpy_lm.seat(np.array([3]), np.array([2.0]), 0.5, rng)[0] for _ in range(4000)]
-    p2 = 2 / 2.5  # a second customer opens a table with 2 / (2 + 1 - 0.5)
-    p3 = p2 * (2 / (2 + 2 - 1)) + (1 - p2) * (2 / (2 + 2 - 0.5))
-    assert abs(np.mean(one) - (1 + p2 + p3)) < 0.05
+def exact_tables(c, discount, strength, parent):
+    """Mean number of tables of one dish with c customers, from the numbers of all ways to seat them."""
+    ways = np.zeros((c + 1, c + 1))
+    ways[0, 0] = 1
+    for n in range(1, c + 1):
+        for t in range(1, n + 1):
+            ways[n, t] = ways[n - 1, t - 1] + (n - 1 - t * discount) * ways[n - 1, t]
+    w = np.array([ways[c, t] * np.prod([strength + discount * i for i in range(t)]) * parent**t for t in range(1, c + 1)])
+    return (w * np.arange(1, c + 1)).sum() / w.sum()
+
+
+@pytest.mark.parametrize("most", [64, 3])
+def test_gibbs_scans_reach_the_exact_posterior(most):
+    """Thousands of restaurants with one dish each; fewer moves in a scan change its pace, not where it leads."""
+    rng = np.random.default_rng(1)
+    for c, d, strength, parent in ((2, 0.5, 1.0, 0.3), (7, 0.6, 1.0, 0.3), (12, 0.3, 2.0, 0.05)):
+        customers = np.full(4000, c)
+        used = seating.first_tables(customers, 1.0, d, rng)
+        sizes, tables, seen = seating.first_sizes(customers, used), used.copy(), []
+        for scan in range(120):
+            used, sizes = seating.reseat(customers, used, sizes, np.arange(4000), tables, np.full(4000, parent), d, strength, rng, most)
+            if scan > 70:
+                seen.append(used.mean())
+        assert (np.add.reduceat(sizes, np.cumsum(used) - used) == c).all() and (tables == used).all() and sizes.min() > 0
+        assert abs(np.mean(seen) - exact_tables(c, d, strength, parent)) < 0.02
+
+
+def literal_scan(rows, parent, discount, strength, rng):
+    """One customer after another leaves and sits down again; rows: (restaurant, dish) to a list of table sizes."""
+    for (u, w), own in rows.items():
+        for _ in range(sum(own)):
+            k = rng.choice(len(own), p=np.array(own) / sum(own))
+            own[k] -= 1
+            if not own[k]:
+                del own[k]
+            total = sum(len(x) for (v, _), x in rows.items() if v == u)
+            weights = np.array([*(n - discount for n in own), (strength + discount * total) * parent[w]])
+            k = rng.choice(len(weights), p=weights / weights.sum())
+            if k == len(own):
+                own.append(1)
+            else:
+                own[k] += 1
+
+
+def test_gibbs_scans_agree_with_a_literal_sampler():
+    """Restaurants with several dishes, which share their tables."""
+    rng, counts, parent = np.random.default_rng(2), {(0, 0): 6, (0, 1): 2, (0, 2): 1, (1, 0): 3, (1, 2): 4}, [0.5, 0.3, 0.2]
+    rows, want = {k: [n] for k, n in counts.items()}, np.zeros(len(counts))
+    for scan in range(3000):
+        literal_scan(rows, parent, 0.6, 0.8, rng)
+        want += np.array([len(x) for x in rows.values()]) * (scan >= 100) / 2900
+    copies = 1500
+    c = np.tile(list(counts.values()), copies)
+    group = np.tile([u for u, _ in counts], copies) + 2 * np.repeat(np.arange(copies), len(counts))
+    base = np.tile([parent[w] for _, w in counts], copies)
+    used, sizes = np.ones(len(c), np.int64), c.copy()
+    tables, got = np.bincount(group), np.zeros(len(counts))
+    for scan in range(60):
+        used, sizes = seating.reseat(c, used, sizes, group, tables, base, 0.6, 0.8, rng)
+        got += used.reshape(copies, -1).mean(axis=0) * (scan >= 20) / 40
+    assert np.abs(got - want).max() < 0.06
+
+
+def test_root_follows_its_customers():
+    rng = np.random.default_rng(3)
+    c, wanted = rng.integers(0, 9, 500), rng.integers(0, 40, 500)
+    used = seating.first_tables(c, 0.5, 0.5, rng)
+    used, sizes = seating.follow(c, used, seating.first_sizes(c, used), wanted, 0.5, 0.5, rng)
+    assert sizes.min() > 0 and (np.bincount(np.repeat(np.arange(500), used), weights=sizes, minlength=500) == wanted).all()
+
+
+def test_likelihoods_and_log_gamma():
+    x = np.array([0.02, 0.5, 1, 3.3, 1000, 1e9])
+    assert np.allclose(seating.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-10, atol=1e-9)
+    i, j = 20, 5
+    d, s = seating.DISCOUNTS[i], seating.STRENGTHS[j]
+    # two restaurants: tables of 3 and 1, and of 2
+    want = sum(math.log(k - d) for k in (1, 2, 1)) + math.log(s + d) - sum(math.log(s + k) for k in (1, 2, 3)) - math.log(s + 1)
+    got = seating.table_likelihood(np.array([3, 1, 2]))[i] + seating.restaurant_likelihood(np.array([4, 2]), np.array([2, 1])).reshape(len(seating.DISCOUNTS), -1)[i, j]
+    assert got == pytest.approx(want)
 
 
 def plain_base(rows, held):
@@ -359,23 +430,26 @@ def plain_base(rows, held):
     return {i: (len(tokens(t)), sum(c[w] > 0 for w in tokens(t)), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in tokens(t))) for i, t in rows}
 
 
-@pytest.mark.parametrize("hot", [(4096, 65536), (3, 5)])
-def test_lm_counts_and_scores(spark, monkeypatch, hot):
-    monkeypatch.setattr(hpy_lm, "BUCKET_TOKENS", 3000)
-    rows = [(i, t) for i, t in sf_texts(spark)] + [(5000, ""), (5001, None), (5002, "zzz unseen qqq"), (5003, "the " * 3000)]
+@pytest.mark.parametrize("bucket_tokens", [2_000_000, 3000])
+def test_lm_counts_and_scores(spark, monkeypatch, bucket_tokens):
+    monkeypatch.setattr(hpy_lm, "BUCKET_TOKENS", bucket_tokens)
+    monkeypatch.setattr(hpy_lm, "UNIT_TOKENS", bucket_tokens * 3)
+    monkeypatch.setattr(hpy_lm, "SAMPLED", 1)
+    rows = [(i, t) for i, t in sf_texts(spark)] + [(5000, ""), (5001, None), (5002, "zzz unseen qqq"), (5003, "the " * 3000), (None, "no id"), (-7, "negative id")]
 
     def held(i):
-        return zlib.crc32(str(i).encode()) % 7 == 2
+        return i is not None and zlib.crc32(str(i).encode()) % 7 == 2
 
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in hpy_lm.score_texts(spark, df, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2).collect()}
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, kind string, `to` long")
+    got = {r.doc_id: r for r in hpy_lm.score_texts(spark, df, F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))).collect()}
+    assert len(got) == len(rows)
     for i, (n, known, total, base) in plain_base(rows, held).items():
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), n, known, total)
         assert r.base_score == pytest.approx(base, abs=1e-6) and r.score <= 0
     out = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
-    assert hpy_lm.score_texts(spark, df.where("doc_id < 0"), F.lit(False)).count() == 0
+    assert hpy_lm.score_texts(spark, df.where("doc_id < -10"), F.lit(False)).count() == 0
 
 
 def test_lm_repeats_and_no_training(spark):
@@ -388,28 +462,42 @@ def test_lm_repeats_and_no_training(spark):
 
 
 def test_lm_is_a_distribution():
-    """Over all words and one unknown, the probabilities of each context add up to one."""
+    """Over all words and one unknown, the probabilities of each context add up to one, large contexts in several buckets included."""
     rng = np.random.default_rng(2)
-    w = np.sort(rng.integers(1, 50, 400).astype(np.uint64))
-    ctx = rng.integers(0, 6, 400).astype(np.uint16)
-    pairs, c = np.unique(np.stack([w, ctx.astype(np.uint64)], axis=1), axis=0, return_counts=True)
-    heavy = np.zeros(0, np.uint64)
-    make = lambda: hpy_lm._Bucket(0, pairs[:, 0], pairs[:, 1].astype(np.uint16), c, heavy)
-    b = make()
-    sums = b.sums(True)
-    first = {"cu": sums["cu"], "heavy_c": np.zeros(hpy_lm.HEAVY_WORDS), "V": sums["seen"][0], "N": sums["cu"].sum(), "theta": 1.0, "d1": 0.6, "d0": 0.4}
-    states = [hpy_lm._state({k: np.asarray(v) for k, v in sums.items()}, first, 0)]
-    b.sweep(states[0], 1)
-    s = hpy_lm._state(b.sums(False), first, 1)
-    root = b.root_probability(s)
-    unknown = s["base"] / (s["theta"] + s["C0"])
-    assert root.sum() + unknown == pytest.approx(1)
-    p = b.probability(s)
+    names = np.sort(hpy_lm.mix(np.arange(1, 7, dtype=np.uint64)))
+    words = hpy_lm.mix(np.arange(100, 150, dtype=np.uint64))
+    buckets, out = [], []
+    for number in range(3):
+        ctx, w = names[rng.integers(0, 6, 300)], words[rng.integers(0, 50, 300)]
+        pairs = {"a": ctx, "b": np.ones(300, np.int64), "c": w, "d": rng.integers(0, 4, 300), "e": np.array([1])}
+        merged = hpy_lm._merge(hpy_lm.Inbox(hpy_lm._rows([("pairs", number, 9, pairs)])), names)
+        inbox = hpy_lm.Inbox(hpy_lm._rows([r for r in merged if r[0] != "list"]))
+        b = hpy_lm.Bucket(inbox)
+        used = seating.first_tables(b.c[b.many], 0.5, 0.6, rng)
+        b.seated(used, seating.first_sizes(b.c[b.many], used))
+        buckets.append(b)
+        out += b.out(number, 1, (inbox.one("names", "a"), inbox.one("names", "b")), inbox)
+    inbox = hpy_lm.Inbox(hpy_lm._rows([r for r in out if r[0] == "sum"]))
+    shard = hpy_lm.Shard(inbox)
+    used = seating.first_tables(shard.c0, 0.5, 0.4, rng)
+    s = {"d0": 0.4, "theta0": 2.0, "d1": 0.6, "theta1": 0.7}
+    replies = shard.out(inbox, used, seating.first_sizes(shard.c0, used), s)
+    count = next(unpacked["c"] for kind, *_, unpacked in replies if kind == "stat")
+    s |= {"C0": count[0], "T0": count[1], "V": shard.words}
+    s["base"] = (s["theta0"] + s["d0"] * s["T0"]) / (s["V"] + 1)
+    unknown = s["base"] / (s["theta0"] + s["C0"])
+    seen, below, tables, customers = np.zeros(6), np.zeros(6), None, None
+    for number, b in enumerate(buckets):
+        b.hear(hpy_lm.Inbox(hpy_lm._rows([r for r in replies if r[0] == "reply" and r[1] == number])))
+        np.add.at(seen, b.ctx, b.probability(s))
+        np.add.at(below, b.ctx, b.parent(s))
+        tables, customers = b.tables, b.customers
+    assert customers.tolist() == sum(x.by_context(x.c) for x in buckets).tolist() and tables.tolist() == sum(x.by_context(x.t) for x in buckets).tolist()
+    total = sum((np.maximum(shard.c0 - s["d0"] * used, 0) + s["base"]) / (s["theta0"] + s["C0"])) + unknown
+    assert total == pytest.approx(1)
     for u in range(6):
-        own = b.ctx == u
-        new = (s["theta"] + s["d1"] * s["tu"][u]) / (s["theta"] + s["cu"][u])
-        rest = root.sum() - root[b.word[own]].sum() + unknown
-        assert p[own].sum() + new * rest == pytest.approx(1)
+        new = (s["theta1"] + s["d1"] * tables[u]) / (s["theta1"] + customers[u])
+        assert seen[u] - new * below[u] + new == pytest.approx(1)
 
 
 def test_lm_words_of_one_class_have_own_restaurants(spark, monkeypatch):
@@ -424,33 +512,18 @@ def test_lm_words_of_one_class_have_own_restaurants(spark, monkeypatch):
     assert ax - ay > 1 and by - bx > 1
 
 
-def test_lm_sums_by_context_reach_every_bucket(spark):
-    from skyfilm.llm.scratch import Scratch
+def test_lm_refuses_texts_in_another_order(spark, monkeypatch):
+    """Waves read the texts again; a table that is shuffled in between is an error, not a wrong score."""
+    real, calls = hpy_lm._deal, []
 
-    rng = np.random.default_rng(3)
-    names = hpy_lm.mix(np.arange(40, dtype=np.uint64))
-    customers, distinct, rows = Counter(), Counter(), []
-    for bucket in range(5):
-        w, ctx = np.repeat(np.arange(9, dtype=np.uint64) + np.uint64(100 * bucket), 4), np.concatenate([np.sort(rng.choice(names, 4, replace=False)) for _ in range(9)])
-        c = rng.integers(0, 4, 36).astype(np.uint32)
-        customers.update(dict.fromkeys(ctx.tolist(), 0))
-        for u, n in zip(ctx.tolist(), c.tolist(), strict=True):
-            customers[u] += n
-            distinct[u] += n > 0
-        rows.append((bucket, bytearray(w.tobytes()), bytearray(ctx.tobytes()), bytearray(c.tobytes())))
-    merged = spark.createDataFrame(rows, "bucket int, w binary, ctx binary, c binary")
-    lists = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.uint64)))
-    scratch, replied = Scratch(spark, "test-lm"), None
-    for number in range(2):
-        sums, replied = hpy_lm._exchange(merged, replied, lambda b, first=number == 0: b.sums(first), lists, scratch, number, 3)
-        assert number or sums["customers"][0] == sum(customers.values())
-    for row in hpy_lm._with_replies(merged, replied).collect():
-        b = hpy_lm._bucket(row.asDict(recursive=True), lists.value[0])
-        assert b.shared.any()
-        for number in range(2):
-            got = b.restaurants(number)
-            assert got["cu"].tolist() == [customers[u] for u in b.contexts.tolist()]
-            assert got["tu"].tolist() == [distinct[u] for u in b.contexts.tolist()]
+    def shuffled(docs, large, buckets, wave):
+        calls.append(wave)
+        return real(docs.orderBy(F.desc("text")) if wave else docs, large, buckets, wave)
+
+    monkeypatch.setattr(hpy_lm, "_deal", shuffled)
+    df = docs_of(spark, [f"a{i} b{i % 7} c" for i in range(50)]).coalesce(1)
+    with pytest.raises(Exception, match="another order"):
+        hpy_lm.score_texts(spark, df, F.lit(False)).collect()
 
 
 # ---- pipeline
