@@ -92,3 +92,13 @@ CURVES = {
     "power": lambda x, a, b, c: a * F.pow(x, b) + c,
     "logistic": lambda x, a, b, c: a / (1 + F.exp(-b * (x - c))),
 }
+
+
+def suppressed(boxes: str, limit: float = 0.5) -> Column:
+    """Of an array of boxes (fields x1, y1, x2, y2), best first, those that overlap no kept one by the limit or more."""
+
+    def corners(b: Column) -> Box:
+        return tuple(b[c] for c in ("x1", "y1", "x2", "y2"))
+
+    none = F.slice(boxes, 1, 0)
+    return F.aggregate(F.col(boxes), none, lambda kept, b: F.when(F.exists(kept, lambda k: iou(corners(k), corners(b)) >= limit), kept).otherwise(F.concat(kept, F.array(b))))

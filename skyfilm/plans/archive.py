@@ -62,3 +62,7 @@ def availability_from_events(spark, sf: str) -> DataFrame:
     """Covered days of each station of the master table."""
     m = master_from_events(spark, sf).where("time_quality BETWEEN 1 AND 3")
     return W.coverage(m, "station_code", F.to_date("timestamp"))
+
+
+AVAILABILITY_SQL = f"""WITH m AS ({MASTER_SQL}), d AS (SELECT DISTINCT station_code, "timestamp"::DATE AS d FROM m)
+    SELECT station_code, min(d) AS first_day, max(d) AS last_day, count(*) AS days, CAST(max(d) - min(d) + 1 AS BIGINT) AS span, round(100.0::DOUBLE * count(*) / (max(d) - min(d) + 1), 2) AS covered_pct FROM d GROUP BY 1"""

@@ -12,6 +12,7 @@ from ..operators import clean as C
 from ..operators import joins as J
 from ..operators import sampling as S
 from ..operators import windows as W
+from ..sources import files as FS
 from .registry import query, table
 
 # texts that read the same in Spark and DuckDB: records built from events, some of them damaged
@@ -43,38 +44,46 @@ def times(spark, sf):
     return table(spark, sf, "events").selectExpr("event_id", *TIMES)
 
 
-@query("sc02_inventory", "SELECT source, lang, count(*) AS images, concat_ws('_', source, lang) AS subdir_id, sum(n_chars)::BIGINT AS size FROM documents GROUP BY source, lang")
+def document_files(spark, sf):
+    """Documents as files of a scan tree: directory by source, subdirectory by language."""
+    kind = "CASE doc_id % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.PNG' ELSE '.txt' END"
+    return table(spark, sf, "documents").selectExpr(f"concat_ws('/', 'archive', source, lang, concat(doc_id, {kind})) AS path")
+
+
+@query("sc02_inventory", "SELECT source AS directory, lang AS subdirectory, count(*) AS images, concat_ws('_', source, lang) AS subdir_id FROM documents GROUP BY source, lang")
 def _(spark, sf):
-    return table(spark, sf, "documents").groupBy("source", "lang").agg(F.count("*").alias("images"), F.sum("n_chars").alias("size")).withColumn("subdir_id", F.concat_ws("_", "source", "lang"))
+    return FS.inventory(FS.located(document_files(spark, sf)))
 
 
-@query("sc03_count_by_extension", "SELECT count(*) FILTER (lower(url) LIKE '%.html')::BIGINT AS n, count(*) AS n_all FROM pages")
+@query("sc03_count_by_extension", "SELECT source AS directory, count(*) FILTER (doc_id % 3 < 2)::BIGINT AS n, count(*) AS n_all FROM documents GROUP BY source")
 def _(spark, sf):
-    return table(spark, sf, "pages").agg(F.count_if(F.endswith(F.lower("url"), F.lit(".html"))).alias("n"), F.count("*").alias("n_all"))
+    files = FS.located(document_files(spark, sf))
+    return files.groupBy("directory").agg(F.count_if(FS.has_extension(F.col("path"), ".png")).alias("n"), F.count("*").alias("n_all"))
 
 
-@query("sc04_prune_folders", "SELECT page_id FROM pages WHERE NOT list_has_any(string_split(url, '/'), ['de', 'fr'])")
+@query("sc04_prune_folders", "SELECT url FROM pages WHERE NOT list_has_any(string_split(url, '/'), ['de', 'fr'])")
 def _(spark, sf):
-    return table(spark, sf, "pages").where(~F.arrays_overlap(F.split("url", "/"), F.array(F.lit("de"), F.lit("fr")))).select("page_id")
+    return FS.pruned(table(spark, sf, "pages").select("url", F.col("url").alias("path")), ["de", "fr"])[0].select("url")
 
 
-@query("sc05_keyword_filter", "SELECT page_id, contains(lower(url), 'blog') OR contains(lower(url), 'www') AS any_of, contains(lower(url), 'example') AND contains(lower(url), 'en') AS all_of FROM pages")
+@query("sc04_skipped_folders", "SELECT DISTINCT regexp_replace(url, '/[^/]*$', '') AS folder FROM pages WHERE list_has_any(string_split(url, '/'), ['de', 'fr'])")
 def _(spark, sf):
-    from ..sources.files import names_with
+    return FS.pruned(table(spark, sf, "pages").select(F.col("url").alias("path")), ["de", "fr"])[1]
 
-    return table(spark, sf, "pages").select("page_id", names_with(F.col("url"), ["blog", "WWW"]).alias("any_of"), names_with(F.col("url"), ["Example", "en"], every=True).alias("all_of"))
 
+@query("sc05_keyword_filter", "SELECT page_id, contains(lower(url), 'blog') OR contains(lower(url), 'www') AS any_of, contains(lower(url), 'example') AND contains(lower(url), 'en') AS all_of FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", FS.names_with(F.col("url"), ["blog", "WWW"]).alias("any_of"), FS.names_with(F.col("url"), ["Example", "en"], every=True).alias("all_of"))
 
-@query("sc06_directory_counts", "SELECT source, count(DISTINCT lang) AS subdirectories, count(*) AS n FROM documents GROUP BY source")
+
+@query("sc06_directory_counts", "SELECT source AS directory, count(DISTINCT lang) AS subdirectories, count(*) AS images FROM documents GROUP BY source")
 def _(spark, sf):
-    return table(spark, sf, "documents").groupBy("source").agg(F.countDistinct("lang").alias("subdirectories"), F.count("*").alias("n"))
+    return FS.directory_counts(FS.located(document_files(spark, sf)))
 
 
 @query("sc22_archive_by_keyword", "SELECT p_partkey, CASE WHEN contains(lower(p_name), 'red') OR contains(lower(p_name), 'ring') THEN 'archived' ELSE 'kept' END AS place FROM part")
 def _(spark, sf):
-    from ..sources.files import names_with
-
-    return table(spark, sf, "part").select("p_partkey", F.when(names_with(F.col("p_name"), ["Red", "ring"]), "archived").otherwise("kept").alias("place"))
+    return table(spark, sf, "part").select("p_partkey", F.when(FS.names_with(F.col("p_name"), ["Red", "ring"]), "archived").otherwise("kept").alias("place"))
 
 
 @query("sc25_exclusions", "SELECT page_id FROM pages p WHERE EXISTS (SELECT 1 FROM (VALUES ('http://tionsh.example.net'), ('http://m.ththst.example.org/en')) x(e) WHERE p.url = e OR starts_with(p.url, e || '/'))")
@@ -568,7 +577,16 @@ def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", S.hash_split(F.col("o_orderkey")).alias("split"))
 
 
-@query("st08_group_split")
+GROUP_SPLIT = """WITH RECURSIVE s AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+    o AS (SELECT source, n, row_number() OVER (ORDER BY n DESC, source) AS i, sum(n) OVER () AS t FROM s),
+    r AS (SELECT 0::BIGINT AS i, NULL::VARCHAR AS source, NULL::INT AS pick, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c
+          UNION ALL
+          SELECT i, source, pick, a + CASE pick WHEN 0 THEN n ELSE 0 END, b + CASE pick WHEN 1 THEN n ELSE 0 END, c + CASE pick WHEN 2 THEN n ELSE 0 END
+          FROM (SELECT o.i, o.source, o.n, a, b, c, CASE WHEN 0.7 * t - a >= 0.2 * t - b AND 0.7 * t - a >= 0.1 * t - c THEN 0 WHEN 0.2 * t - b >= 0.1 * t - c THEN 1 ELSE 2 END AS pick FROM r JOIN o ON o.i = r.i + 1))
+    SELECT doc_id, d.source, ['train', 'validation', 'test'][pick + 1] AS split FROM documents d JOIN r ON r.source = d.source"""
+
+
+@query("st08_group_split", GROUP_SPLIT)
 def _(spark, sf):
     return S.greedy_group_split(table(spark, sf, "documents").select("doc_id", "source"), "source").select("doc_id", "source", "split")
 

@@ -6,11 +6,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..functions import kernels as K
 from ..functions import orbit
 from ..operators import windows as W
 from . import archive
 from .registry import query, table
+from .relational import BOX, BOXES
 
 
 def pictures(spark, sf):
@@ -92,16 +94,22 @@ def _(spark, sf):
     return pictures(spark, sf).withColumn("roll", F.expr("k % 10")).groupBy("roll").applyInPandas(run, "roll long, n int, height int, width int, total double, median double")
 
 
-@query("im39_nms")
-def _(spark, sf):
-    from .relational import BOXES
+NMS_SQL = f"""WITH RECURSIVE b AS (SELECT l_orderkey AS o, l_partkey AS p, l_linenumber AS l, l_discount AS s, {BOX}, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC, l_linenumber, l_partkey, x1, y1, x2, y2) AS i FROM lineitem),
+    r(o, i, kept) AS (SELECT DISTINCT o, 0::BIGINT, []::STRUCT(x1 INT, y1 INT, x2 INT, y2 INT, p BIGINT, l INT, s DOUBLE)[] FROM b
+        UNION ALL
+        SELECT b.o, b.i, CASE WHEN len(list_filter(kept, lambda k: greatest(0, least(b.x2, k.x2) - greatest(b.x1, k.x1)) * greatest(0, least(b.y2, k.y2) - greatest(b.y1, k.y1))
+            >= 0.5 * ((b.x2 - b.x1) * (b.y2 - b.y1) + (k.x2 - k.x1) * (k.y2 - k.y1) - greatest(0, least(b.x2, k.x2) - greatest(b.x1, k.x1)) * greatest(0, least(b.y2, k.y2) - greatest(b.y1, k.y1))))) > 0
+            THEN kept ELSE list_append(kept, {{'x1': b.x1, 'y1': b.y1, 'x2': b.x2, 'y2': b.y2, 'p': b.p, 'l': b.l, 's': b.s}}) END
+        FROM r JOIN b ON b.o = r.o AND b.i = r.i + 1)
+    SELECT o AS l_orderkey, k.p AS l_partkey, k.l AS l_linenumber, k.s AS l_discount FROM (SELECT o, unnest(arg_max(kept, i)) AS k FROM r GROUP BY o)"""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        keep = K.suppressed(pdf[["x1", "y1", "x2", "y2"]].to_numpy(float), pdf["l_discount"].to_numpy())
-        return pdf.iloc[keep][["l_orderkey", "l_partkey", "l_linenumber", "l_discount"]]
 
+@query("im39_nms", NMS_SQL)
+def _(spark, sf):
     b = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_partkey", "l_linenumber", "l_discount", *BOXES)
-    return b.groupBy("l_orderkey").applyInPandas(run, "l_orderkey long, l_partkey long, l_linenumber int, l_discount double")
+    box = F.struct((-F.col("l_discount")).alias("worst"), "l_linenumber", "l_partkey", "x1", "y1", "x2", "y2")
+    kept = b.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(box)).alias("boxes")).select("l_orderkey", F.explode(G.suppressed("boxes")).alias("k"))
+    return kept.select("l_orderkey", "k.l_partkey", "k.l_linenumber", (-F.col("k.worst")).alias("l_discount"))
 
 
 @query("im26_curve_fit")
@@ -114,7 +122,14 @@ def _(spark, sf):
     return x.groupBy("k").applyInPandas(run, "k long, degree int, residual double")
 
 
-@query("wn07_accepted")
+ACCEPTED_SQL = """WITH RECURSIVE p AS (SELECT l_partkey, l_quantity AS x, l_extendedprice / 1000 AS y, row_number() OVER (PARTITION BY l_partkey ORDER BY l_quantity, l_extendedprice / 1000) AS i, count(*) OVER (PARTITION BY l_partkey) AS n FROM lineitem),
+    r AS (SELECT l_partkey, i, n, y AS last, 1 AS kept FROM p WHERE i = 1
+        UNION ALL
+        SELECT p.l_partkey, p.i, p.n, CASE WHEN abs(p.y - last) > 30 AND p.x > 10 THEN last ELSE p.y END, kept + CASE WHEN abs(p.y - last) > 30 AND p.x > 10 THEN 0 ELSE 1 END FROM r JOIN p ON p.l_partkey = r.l_partkey AND p.i = r.i + 1)
+    SELECT l_partkey, n::INT AS n, kept::INT AS kept FROM r WHERE i = n"""
+
+
+@query("wn07_accepted", ACCEPTED_SQL)
 def _(spark, sf):
     p = F.struct(F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
     g = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_list(p)).alias("p"))
@@ -127,7 +142,7 @@ def _(spark, sf):
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector
 
-    e = table(spark, sf, "embeddings").where("embedding IS NOT NULL").select("vec_id", array_to_vector(F.slice("embedding", 1, 6).cast("array<double>")).alias("raw"))
+    e = table(spark, sf, "embeddings").where("embedding IS NOT NULL").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("raw"))
     scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(e).transform(e)
     return KMeans(k=6, seed=42).fit(scaled).transform(scaled).select("vec_id", F.col("prediction").alias("cluster"))
 
@@ -149,20 +164,32 @@ def _(spark, sf):
 
     events = table(spark, sf, "events")
     stream = arriving_files(spark, f"{sf}/events.parquet*", events.schema)
-    out = drain(windowed_counts(stream, "ts", "event_type", "1 hour"), "ss_windows", "complete")
+    out = drain(windowed_counts(stream, "ts", "event_type", "1 hour"), "complete")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
 
 
-@query("ss04_reservations")
+STATUS = "CASE event_type WHEN 'click' THEN 'reserved' WHEN 'error' THEN 'abandoned' WHEN 'purchase' THEN 'completed' ELSE event_type END"
+RESERVED_SQL = f"""WITH l AS (SELECT user_id, list_sort(list({{'ts': ts, 'status': {STATUS}}})) AS log FROM events GROUP BY 1),
+    f AS (SELECT user_id, list_reduce(list_prepend({{'ts': TIMESTAMP '1970-01-01', 'status': 'free'}}, log), lambda a, x:
+        CASE WHEN a.status IN ('completed', 'skipped') THEN a
+             WHEN x.status = 'reserved' AND (a.status = 'free' OR x.ts - a.ts > INTERVAL 24 HOUR) THEN x
+             WHEN x.status IN ('completed', 'skipped') THEN x
+             WHEN x.status = 'abandoned' THEN {{'ts': x.ts, 'status': 'free'}}
+             WHEN a.status = 'reserved' AND x.ts - a.ts > INTERVAL 24 HOUR THEN {{'ts': a.ts, 'status': 'free'}}
+             ELSE a END) AS s FROM l)
+    SELECT user_id::VARCHAR AS path, s.status AS status FROM f"""
+
+
+@query("ss04_reservations", RESERVED_SQL)
 def _(spark, sf):
     from ..streaming.streams import arriving_files, drain, reservations
 
     events = table(spark, sf, "events")
     stream = arriving_files(spark, f"{sf}/events.parquet*", events.schema)
-    log = stream.select(F.col("user_id").cast("string").alias("path"), F.when(F.col("event_type") == "click", "reserved").when(F.col("event_type") == "error", "abandoned").when(F.col("event_type") == "purchase", "completed").otherwise(F.col("event_type")).alias("status"), F.col("ts").cast("timestamp").alias("ts"))
-    return drain(reservations(log), "ss04_reservations", "update")
+    log = stream.selectExpr("CAST(user_id AS STRING) AS path", f"{STATUS} AS status", "CAST(ts AS TIMESTAMP) AS ts")
+    return drain(reservations(log), "update", ["path"])
 
 
 query("p1_master", archive.MASTER_SQL)(archive.master_from_events)
 query("flagship", archive.MASTER_SQL)(archive.master_from_events)
-query("p2_availability")(archive.availability_from_events)
+query("p2_availability", archive.AVAILABILITY_SQL)(archive.availability_from_events)

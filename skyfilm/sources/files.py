@@ -9,17 +9,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# fixed values: what windows-1252 has at the bytes 0x80 to 0x9F, where ISO-8859-1 has control characters; five bytes are free
+WINDOWS_1252 = {
+    0x80: "€", 0x82: "‚", 0x83: "ƒ", 0x84: "„", 0x85: "…", 0x86: "†", 0x87: "‡", 0x88: "ˆ", 0x89: "‰", 0x8A: "Š", 0x8B: "‹", 0x8C: "Œ", 0x8E: "Ž",
+    0x91: "‘", 0x92: "’", 0x93: "“", 0x94: "”", 0x95: "•", 0x96: "–", 0x97: "—", 0x98: "˜", 0x99: "™", 0x9A: "š", 0x9B: "›", 0x9C: "œ", 0x9E: "ž", 0x9F: "Ÿ",
+}
+
+
+def as_windows_1252(text: Column) -> Column:
+    """Text that was decoded as ISO-8859-1, as if it had been decoded as windows-1252."""
+    return F.translate(text, "".join(map(chr, WINDOWS_1252)), "".join(WINDOWS_1252.values()))
+
+
+def located(files: DataFrame) -> DataFrame:
+    """files with directory, subdirectory and filename from their path."""
+    parts = F.split("path", "/")
+    return files.select("*", *[F.try_element_at(parts, F.lit(-i)).alias(n) for i, n in ((3, "directory"), (2, "subdirectory"), (1, "filename"))])
+
+
+def has_extension(path: Column, extension: str) -> Column:
+    return F.endswith(F.lower(path), F.lit(extension.lower()))
+
+
 def scan_tree(spark: SparkSession, root: str, extension: str = ".png") -> DataFrame:
     """path, directory, subdirectory, filename and size of the files below a folder; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
-    parts = F.split("path", "/")
-    return files.where(F.endswith(F.lower("path"), F.lit(extension))).select("path", "length", *[F.try_element_at(parts, F.lit(-i)).alias(n) for i, n in ((3, "directory"), (2, "subdirectory"), (1, "filename"))])
+    return located(files.where(has_extension(F.col("path"), extension)))
 
 
 def inventory(files: DataFrame) -> DataFrame:
     return files.groupBy("directory", "subdirectory").agg(F.count("*").alias("images")).withColumn("subdir_id", F.concat_ws("_", "directory", "subdirectory"))
 
 
+def directory_counts(files: DataFrame) -> DataFrame:
+    """Subdirectories and files of each directory."""
+    return files.groupBy("directory").agg(F.count_distinct("subdirectory").alias("subdirectories"), F.count("*").alias("images"))
+
+
 def pruned(files: DataFrame, excluded: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(files outside the excluded folders, folders that were skipped)."""
     hit = F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(e) for e in excluded]))
@@ -44,17 +70,20 @@ def images(spark: SparkSession, root: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str, encoding: str = "UTF-8", nulls: str | None = None, header: bool = True) -> DataFrame:
     """Delimited text with a declared schema; many files at once, with the file of each row.
 
-    windows-1252 is read as ISO-8859-1, which differs in its control characters only.
+    windows-1252 is read as ISO-8859-1, and the bytes in which both differ are put right in the text columns.
     """
-    encoding = {"cp1252": "ISO-8859-1", "windows-1252": "ISO-8859-1", "utf-8-sig": "UTF-8"}.get(encoding.lower(), encoding)
+    western = encoding.lower() in ("cp1252", "windows-1252")
+    encoding = "ISO-8859-1" if western else {"utf-8-sig": "UTF-8"}.get(encoding.lower(), encoding)
     reader = spark.read.schema(schema).option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE")
-    return (reader.option("nullValue", nulls) if nulls is not None else reader).csv(path).withColumn("source_file", F.col("_metadata.file_path"))
+    rows = (reader.option("nullValue", nulls) if nulls is not None else reader).csv(path).withColumn("source_file", F.col("_metadata.file_path"))
+    texts = [f.name for f in rows.schema if f.dataType == T.StringType() and f.name != "source_file"] if western else []
+    return rows.withColumns({c: as_windows_1252(F.col(f"`{c}`")) for c in texts}) if texts else rows
 
 
 def decoded(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files as text: UTF-8 if valid, else as Latin-1."""
+    """Whole files as text: UTF-8 if valid, else as windows-1252."""
     raw = spark.read.format("binaryFile").load(path)
-    return raw.select("path", F.coalesce(F.try_validate_utf8(F.expr("CAST(content AS STRING)")), F.decode("content", "ISO-8859-1")).alias("text"))
+    return raw.select("path", F.coalesce(F.try_validate_utf8(F.expr("CAST(content AS STRING)")), as_windows_1252(F.decode("content", "ISO-8859-1"))).alias("text"))
 
 
 def read_spaced(spark: SparkSession, path: str, names: Sequence[str], fields: int | None = None) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import uuid
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def arriving_files(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_each: int = 1) -> DataFrame:
@@ -16,12 +19,35 @@ def arriving_files(spark: SparkSession, path: str, schema: StructType, fmt: str
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_each).format(fmt).load(path)
 
 
-def drain(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Run a stream until all files present are read; its result is the in-memory table name."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    query = (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the session's spark.checkpoint.dir; one of this machine only in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(base or 'file://' + os.path.join(tempfile.gettempdir(), 'skyfilm-streams')).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drain(stream: DataFrame, mode: str = "append", keys: Sequence[str] = (), folder: str | None = None) -> DataFrame:
+    """Run a stream until all files present are read; its result as a table, written batch by batch.
+
+    In ``update`` mode the newest row of each of ``keys`` counts, in ``complete`` mode the last batch.  A folder that is given
+    again goes on where it stopped; a batch that is run again replaces what it wrote before.
+    """
+    spark = stream.sparkSession
+    folder = folder or shared_folder(spark, "stream")
+
+    def store(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/data/batch={batch}")
+
+    query = stream.writeStream.foreachBatch(store).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    rows = spark.read.schema(StructType([*stream.schema.fields, StructField("batch", LongType())])).parquet(f"{folder}/data")
+    if mode == "update":
+        rest = [c for c in stream.columns if c not in keys]
+        rows = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("newest")).select(*keys, "newest.*").select(*stream.columns)
+    elif mode == "complete":
+        rows = rows.join(rows.agg(F.max("batch").alias("batch")), "batch")
+    return rows.select(*stream.columns)
 
 
 def windowed_counts(events: DataFrame, time: str, key: str, size: str, slide: str | None = None, late: str = "1 hour") -> DataFrame:
@@ -49,7 +75,7 @@ def reservations(log: DataFrame, key: str = "path", hours: float = 24.0) -> Data
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         status, since = state.get if state.exists else ("free", 0.0)
         for pdf in batches:
-            for row in pdf.sort_values("ts").itertuples():
+            for row in pdf.sort_values(["ts", "status"]).itertuples():
                 now = row.ts.timestamp()
                 if status == "reserved" and now - since > hours * 3600:
                     status = "free"

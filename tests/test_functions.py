@@ -175,5 +175,5 @@ def test_reservations(spark, tmp_path):
     log = pd.DataFrame({"path": ["a", "a", "b", "b", "c"], "status": ["reserved", "completed", "reserved", "abandoned", "reserved"], "ts": pd.to_datetime(["2024-01-01 00:00", "2024-01-01 01:00", "2024-01-01 00:00", "2024-01-02 00:00", "2024-01-01 00:00"])})
     spark.createDataFrame(log).write.parquet(str(tmp_path / "log"))
     stream = streams.arriving_files(spark, str(tmp_path / "log"), spark.read.parquet(str(tmp_path / "log")).schema, files_each=100)
-    got = {r.path: r.status for r in streams.drain(streams.reservations(stream), "res", "update").collect()}
+    got = {r.path: r.status for r in streams.drain(streams.reservations(stream), "update", ["path"]).collect()}
     assert got == {"a": "completed", "b": "free", "c": "reserved"}

@@ -46,7 +46,7 @@ def test_against_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES) - {"or01_orbit_check"}))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_runs(spark, name):
     assert registry.QUERIES[name](spark, SF).count() > 0
 
