@@ -2,8 +2,8 @@
 
 Documents are cut at multiples of the capacity, so only their last pieces are shorter than a
 sequence.  Each group of documents is packed on its own: pieces in falling order of length go to the
-first open sequence with room, found in a tournament tree over the room that is left.  Spark sorts the pieces
-and they are packed as they stream by, so a task holds the tree of one group and a batch of pieces.
+first open sequence with room, found in a tournament tree over the room that is left.  Full pieces
+need no search: those with the same number in their documents are numbered together, so that one long document does not fill a group.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from .words import U64, joined, mix, sized, word_spans
 
-_CACHED = 1 << 20
+_CACHED = 1 << 19
+_ENCODED = 4096
 #: letters that the tokenizer neither composes nor splits
 _LETTERS = re.compile("[a-zß-öø-ÿ]{1,64}")
 # fixed values: the settings of a tokenizer file under which a text's ids are those of its words
@@ -110,8 +111,8 @@ class WordEncoder:
 
     def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after another, and how many each has."""
-        parts = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return np.array([i for p in parts for i in p], np.uint32), np.array([len(p) for p in parts], np.int64)
+        parts = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
     def _of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(self.model.encode(" ".join(words).encode().decode("latin-1").translate(self.table | {32: " "}), add_special_tokens=False).ids, np.uint32)
@@ -124,16 +125,18 @@ class WordEncoder:
         at = np.zeros(len(words), np.int64)
         for own, encode in ((np.flatnonzero(plain), self._of_letters), (np.flatnonzero(~plain), self._plain)):
             if len(own):
-                ids, size[own] = encode([words[i] for i in own.tolist()])
+                # the library's results are many times the size of their ids, so a few words at a time
+                parts = [encode([words[i] for i in own[k : k + _ENCODED].tolist()]) for k in range(0, len(own), _ENCODED)]
+                size[own] = np.concatenate([n for _, n in parts])
                 at[own] = len(self.flat) + np.cumsum(size[own]) - size[own]
-                self.flat = np.concatenate([self.flat, ids])
+                self.flat = np.concatenate([self.flat, *(ids for ids, _ in parts)])
         where = np.searchsorted(self.known, hashes)
         self.known, self.at, self.size = np.insert(self.known, where, hashes), np.insert(self.at, where, at), np.insert(self.size, where, size)
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids begin (one more entry than texts)."""
         if not self.by_word:
-            ids, size = self._plain([t or "" for t in texts])
+            ids, size = self._plain([t or "" for t in texts]) if texts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
             return ids, np.cumsum([0, *size])
         raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
         whole, begins = joined([r if b"<|" in r or b"\xcc" in r or b"\xcd" in r else r.lower() for r in raws])
@@ -231,31 +234,27 @@ def pack_pieces(pieces: DataFrame, documents: int | None, capacity: int = 2048,
 
     Groups are dealt at random, so that copies of a document or of an id spread over all of them.  Without
     documents, deal numbers them from 0 and each run of per_group numbers is a group, so sequence_id follows the runs.
-    sequence_id is group * 2**32 + bin.  Equal lengths keep the order of doc_id and start.
+    sequence_id is group * 2**32 + bin, and for full pieces group * 2**32 + 2**31 + number in the document * 2**12 + place, which is
+    unique up to 2**19 full pieces of a document.  Equal lengths keep the order of doc_id and start.  A task holds at most one piece
+    of each document of a group at a time.
     """
     group = F.expr(f"deal div {per_group}") if documents is None else F.pmod("deal", F.lit(max(1, -(-documents // per_group))))
     columns = [c for c in pieces.columns if c != "deal" or documents is None]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, full, bins = None, 0, None
-        for batch in batches:
-            sequence, offset = [], []
-            for grp, n in zip(batch.column("grp").to_pylist(), batch.column("length").to_pylist(), strict=True):
-                if grp != own:
-                    own, full, bins = grp, 0, Bins(capacity)
-                if n == capacity:  # these come first
-                    found = (full, 0)
-                    full += 1
-                else:
-                    number, at = bins.place(n)
-                    found = (full + number, at)
-                sequence.append(grp * (1 << 32) + found[0])
-                offset.append(found[1])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], [*columns, "sequence_id", "offset"])
+    def run(table: pa.Table) -> pa.Table:
+        grp, part = table.column("grp")[0].as_py() << 32, table.column("part")[0].as_py()
+        table = table.select(columns).sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        if part:
+            places = [((1 << 31) + ((part - 1) << 12) + i, 0) for i in range(table.num_rows)]
+        else:
+            bins = Bins(capacity)
+            places = [bins.place(n) for n in table.column("length").to_pylist()]
+        sequence, offset = [grp + x for x, _ in places], [x for _, x in places]
+        return table.append_column("sequence_id", pa.array(sequence, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name in columns) + ", sequence_id long, offset long"
-    ordered = pieces.withColumn("grp", group).repartition("grp").sortWithinPartitions("grp", F.desc("length"), "doc_id", "start")
-    return ordered.mapInArrow(run, schema)
+    part = F.when(F.col("length") == capacity, F.expr(f"1 + start div {capacity}")).otherwise(0)
+    return pieces.withColumns({"grp": group, "part": part}).groupBy("grp", "part").applyInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, per_group: int = 2048, with_ids: bool = True, position: str | None = None) -> DataFrame:
