@@ -102,3 +102,13 @@ def suppressed(boxes: str, limit: float = 0.5) -> Column:
 
     none = F.slice(boxes, 1, 0)
     return F.aggregate(F.col(boxes), none, lambda kept, b: F.when(F.exists(kept, lambda k: iou(corners(k), corners(b)) >= limit), kept).otherwise(F.concat(kept, F.array(b))))
+
+
+def first_usable(candidates: dict[str, Column], failure: str = "no usable region") -> Column:
+    """struct(source, box, reason): the first candidate box, in the order given, that is not null and has an area."""
+    found = F.lit(None)
+    for name, box in reversed(candidates.items()):
+        ok = box.isNotNull() & F.coalesce((box["x2"] > box["x1"]) & (box["y2"] > box["y1"]), F.lit(False))
+        found = F.when(ok, F.struct(F.lit(name).alias("source"), box.alias("box"), F.lit(None).cast("string").alias("reason"))).otherwise(found)
+    none = F.struct(F.lit("failure").alias("source"), F.lit(None).cast("struct<x1:int,y1:int,x2:int,y2:int>").alias("box"), F.lit(failure).alias("reason"))
+    return F.coalesce(found, none)

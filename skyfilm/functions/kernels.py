@@ -185,18 +185,6 @@ def histogram_peaks(values: np.ndarray, bins: int = 500, distance: int = 30, pro
     return edges[peaks(unit_range(counts.astype(float)), distance, prominence)]
 
 
-def regular_axis(found: np.ndarray, labels: int, default_first: float, default_gap: float) -> np.ndarray:
-    """Evenly spaced places of labels from peaks; defaults where the first or the gap is far from what is usual."""
-    if len(found) < 2:
-        return default_first + default_gap * np.arange(labels)
-    first, gap = float(found[0]), float(np.mean(np.diff(found)))
-    if abs(first - default_first) > 0.75 * default_gap:
-        first = default_first
-    if abs(gap - default_gap) > 0.75 * default_gap:
-        gap = default_gap
-    return first + gap * np.arange(labels)
-
-
 def group_limits(img: np.ndarray, axis: int, width: int = 10, cut: int = 20) -> tuple[int, int] | None:
     """First and last group of columns or rows that holds anything, as pixels."""
     sums = img.astype(float).sum(axis=axis)[:-cut]

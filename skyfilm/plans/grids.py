@@ -105,3 +105,43 @@ def _(spark, sf):
 
     lines = pictures(spark, sf).mapInPandas(run, "k long, found array<int>, adjusted array<int>, across array<int>")
     return lines.select("k", R.frequency_lines(F.col("found"), F.col("adjusted")).alias("frequencies"), R.depth_lines(F.col("across")).alias("depths"))
+
+
+# three readings of a line item: a box, sometimes missing or without area
+_SEQUENCE, _FAST, _FALLBACK = "l_linenumber >= 4", "l_partkey % 3 <> 0", "l_suppkey % 2 = 0"
+_READ_BOX = "CAST(l_partkey % 40 AS INT) AS x1, CAST(l_suppkey % 30 AS INT) AS y1, CAST(l_partkey % 40 + l_quantity - 5 AS INT) AS x2, CAST(l_suppkey % 30 + l_linenumber AS INT) AS y2"
+
+
+@query("im41_region_decision", f"""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_READ_BOX} FROM lineitem),
+    d AS (SELECT *, CASE WHEN {_SEQUENCE} AND x2 > x1 THEN 'foreground_sequence' WHEN {_FAST} AND x2 > x1 + 10 THEN 'detector' WHEN {_FALLBACK} THEN 'foreground_fallback' ELSE 'failure' END AS source FROM b)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, source, CAST(CASE source WHEN 'foreground_sequence' THEN x1 WHEN 'detector' THEN x1 + 10 WHEN 'foreground_fallback' THEN 0 END AS INT) AS x1,
+    CASE WHEN source = 'failure' THEN 'no usable region' END AS reason FROM d""")
+def _(spark, sf):
+    b = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *_READ_BOX.split(", "))
+
+    def box(when: str, left: str, right: str = "x2"):
+        return F.expr(f"IF({when}, named_struct('x1', CAST({left} AS INT), 'y1', y1, 'x2', CAST({right} AS INT), 'y2', y2), NULL)")
+
+    chosen = G.first_usable({"foreground_sequence": box(_SEQUENCE, "x1"), "detector": box(_FAST, "x1 + 10"), "foreground_fallback": box(_FALLBACK, "0", "100")})
+    return b.select("*", chosen.alias("roi")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "roi.source", "roi.box.x1", "roi.reason")
+
+
+@query("im32_prepared")
+def _(spark, sf):
+    """Every picture's strip in two colours, with its level, edge rows and share, or why there is none."""
+    from ..functions import enhance as E
+    from .science import _images, pictures
+
+    def run(batches):
+        for pdf in batches:
+            done = [(k, E.prepared(img)[1]) for k, img in _images(pdf)]
+            yield pd.DataFrame([(k, d["status"], d["level"], d["edge_rows"], d["share"]) for k, d in done], columns=["k", "status", "level", "edge_rows", "share"])
+
+    return pictures(spark, sf).mapInPandas(run, "k long, status string, level double, edge_rows array<int>, share double")
+
+
+@query("dt10_sample_then_drop", "WITH s AS (SELECT doc_id FROM documents ORDER BY md5(concat('0:', cast(doc_id AS VARCHAR))) LIMIT 200) SELECT doc_id FROM s WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL)")
+def _(spark, sf):
+    """200 documents to label, less those that have a label: fewer than asked for, as the sample is drawn first."""
+    drawn = table(spark, sf, "documents").select("doc_id").orderBy(F.md5(F.concat(F.lit("0:"), F.col("doc_id").cast("string")).cast("binary"))).limit(200)
+    return drawn.join(table(spark, sf, "labels").where("quality IS NOT NULL").select("doc_id"), "doc_id", "left_anti")
