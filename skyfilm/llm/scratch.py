@@ -49,7 +49,8 @@ class Scratch:
             (writer.partitionBy(by) if by else writer).parquet(f"{self.path}/{name}")
         finally:
             self.spark.conf.set(key, before)
-        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+        # the column of the folders comes last if there are folders, else in its place
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}").select(*[F.col(f"`{c}`") for c in df.columns])
 
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm

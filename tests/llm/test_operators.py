@@ -513,19 +513,27 @@ def test_lm_words_of_one_class_have_own_restaurants(spark, monkeypatch):
 
 
 def test_lm_refuses_texts_in_another_order(spark, monkeypatch):
-    """Waves read the texts again; a table that is shuffled in between is an error, not a wrong score."""
-    real, calls = hpy_lm._deal, []
+    """Waves read the texts again; a table that deals them to other units in between is an error, not a wrong score."""
+    real = hpy_lm._deal
 
     def shuffled(docs, large, buckets, wave):
-        calls.append(wave)
-        return real(docs.orderBy(F.desc("text")) if wave else docs, large, buckets, wave)
+        return real(docs.repartitionByRange(2, "text") if wave else docs.repartition(2, "text"), large, buckets, wave)
 
     monkeypatch.setattr(hpy_lm, "_deal", shuffled)
-    df = docs_of(spark, [f"a{i} b{i % 7} c" for i in range(50)]).coalesce(1)
+    df = docs_of(spark, [f"a{i} b{i % 7} c" for i in range(50)])
     with pytest.raises(Exception, match="another order"):
         hpy_lm.score_texts(spark, df, F.lit(False)).collect()
 
 
+@pytest.mark.parametrize("texts", [["a"], ["b"], ["foo"], ["a", ""], ["b", None, "foo b"], ["x y", "y x", "x", "", "z"]])
+def test_lm_tiny_tables(spark, texts):
+    """Few words leave a wave without buckets of its own."""
+    rows = hpy_lm.score_texts(spark, docs_of(spark, texts), F.col("doc_id") > 2).collect()
+    train = [t or "" for t in texts[:3]]
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    assert all(r.train_tokens == sum(len(t.split()) + 1 for t in train) and r.n_tokens == len((texts[r.doc_id] or "").split()) + 1 and r.score <= 0 for r in rows)
+
+
 # ---- pipeline
 
 
