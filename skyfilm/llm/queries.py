@@ -20,6 +20,7 @@ from .rp_forest import nearest
 from .token_counts import token_counts
 from .toxicity import fit_lexicon, in_training, score_toxicity
 from .url_rules import judge_urls, rules_frame
+from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, books_sha256, compress_vectors, label_errors
 
 URL_RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
 
@@ -75,14 +76,35 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(spark, _documents(spark, sf_dir, "doc_id", "text"), held_out)
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return label_errors(spark, coded).select("vec_id", code.alias("code"), "error", "label_error", F.lit(books_sha256(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mixing, op2_ngram_jaccard_join, op3_packing, op4_line_dedup, op5_url_rules, op6_nearest_vectors, op7_toxicity, op8_quality_rules, op9_token_counts, op10_lm_scores)
+    f.__name__: f for f in (op1_source_mixing, op2_ngram_jaccard_join, op3_packing, op4_line_dedup, op5_url_rules, op6_nearest_vectors, op7_toxicity, op8_quality_rules, op9_token_counts, op10_lm_scores, op13_vector_codes)
 } | {"pipeline": corpus_pipeline.run}
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
 _RULES = ", ".join(f"('{r}', '{v}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for r, v in URL_RULES)
 _LINE = "trim(regexp_replace(line, '[\\t\\r]', ' ', 'g'))"
 
+_NEAR = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+
+
+def _assigned(book: str) -> str:
+    return f"SELECT place, i, any_value(vec_id) AS vec_id, any_value(label) AS label, any_value(x) AS x, min({{'d': {_NEAR}, 'e': e}}) AS best FROM parts JOIN {book} USING (place) GROUP BY place, i"
+
+
+def _moved(book: str, assigned: str) -> str:
+    means = f"SELECT place, best.e AS e, j, sum(x[j])::HUGEINT AS t, count(*)::HUGEINT AS m FROM {assigned}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS j) GROUP BY ALL"
+    entries = f"SELECT place, e, list((CASE WHEN t < 0 THEN -((-t + m - 1) // m) ELSE t // m END)::BIGINT ORDER BY j) AS c FROM ({means}) GROUP BY ALL"
+    return f"SELECT b.place, b.e, coalesce(n.c, b.c) AS c FROM {book} b LEFT JOIN ({entries}) n USING (place, e)"
+
+
+_ROUNDS = ", ".join(f"a{k} AS ({_assigned(f'b{k}')}), b{k + 1} AS ({_moved(f'b{k}', f'a{k}')})" for k in range(ROUNDS))
+
 ORACLES: dict[str, str] = {
     "op1_source_mixing": f"""
         WITH RECURSIVE s AS (SELECT source, greatest(1, round(w / sum(w) OVER () * {PERIOD}))::BIGINT AS q
@@ -131,4 +153,13 @@ ORACLES: dict[str, str] = {
               FROM s LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM b WHERE n = 1
     """,
+    "op13_vector_codes": f"""
+        WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v
+                      FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT i, vec_id, label, place, v[place * (len(v) // {PARTS}) + 1 : (place + 1) * (len(v) // {PARTS})] AS x FROM kept, (SELECT unnest(range({PARTS})) AS place)),
+        b0 AS (SELECT place, i - 1 AS e, x AS c FROM parts WHERE i <= {ENTRIES}), {_ROUNDS}, last AS ({_assigned(f"b{ROUNDS}")}),
+        rows_ AS (SELECT i, any_value(vec_id) AS vec_id, any_value(label) AS label, string_agg(printf('%02x', best.e), '' ORDER BY place) AS code, sum(best.d)::BIGINT AS error FROM last GROUP BY i)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY place, e)) FROM b{ROUNDS}) AS codebooks_sha256 FROM rows_
+    """,
 }
