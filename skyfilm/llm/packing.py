@@ -31,7 +31,7 @@ _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "c
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """Latin-1 characters to those that byte-level vocabularies write bytes with: printable ones are themselves."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -102,7 +102,7 @@ class WordEncoder:
             vocabulary = settings["model"]["vocab"]
             self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.is_end[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
-            self.table = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+            self.table = str.maketrans({chr(b): c for b, c in byte_letters().items()})
         self._forget()
 
     def _forget(self) -> None:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
+from .chunk_codec import decode_documents, encode_documents
+from .collocations import COVERED, FIRST, LEAST, collocations
 from .hpy_lm import score_texts
 from .line_dedup import LEAST_PAGES, RATIO, dedup_lines
 from .mixing import BLOCK, PERIOD, mix_sources
@@ -76,6 +78,17 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(spark, _documents(spark, sf_dir, "doc_id", "text"), held_out)
 
 
+def op11_chunk_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    encoded = encode_documents(_documents(spark, sf_dir, "doc_id", "text"), tokenizer, ranks, public_tokenizers.PATTERN)
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return decode_documents(encoded, tokenizer).select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(spark, _documents(spark, sf_dir, "text", "lang"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = compress_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
@@ -83,7 +96,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mixing, op2_ngram_jaccard_join, op3_packing, op4_line_dedup, op5_url_rules, op6_nearest_vectors, op7_toxicity, op8_quality_rules, op9_token_counts, op10_lm_scores, op13_vector_codes)
+    f.__name__: f for f in (op1_source_mixing, op2_ngram_jaccard_join, op3_packing, op4_line_dedup, op5_url_rules, op6_nearest_vectors, op7_toxicity, op8_quality_rules, op9_token_counts, op10_lm_scores, op11_chunk_codec, op12_collocations, op13_vector_codes)
 } | {"pipeline": corpus_pipeline.run}
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
@@ -153,6 +166,23 @@ ORACLES: dict[str, str] = {
               FROM s LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM b WHERE n = 1
     """,
+    "op12_collocations": f"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+        grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+                  FROM (SELECT lang, ws, k, unnest(range(1, greatest(len(ws) - k + 2, 1))) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k))),
+        f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS c FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+        cand AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND c >= {LEAST}),
+        cuts AS (SELECT x.lang, x.phrase, a, cut, l.c AS l, r.c AS r, 1000000 * a * a // (l.c * r.c) AS score
+                 FROM (SELECT *, array_to_string(ws[1:cut], ' ') AS lp, array_to_string(ws[cut + 1:], ' ') AS rp FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)) x
+                 JOIN f l ON l.lang = x.lang AND l.phrase = lp AND l.k = cut JOIN f r ON r.lang = x.lang AND r.phrase = rp AND r.k = x.k - cut),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (SELECT lang, p AS phrase, max(a) AS m FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS p FROM cand WHERE k = 3) GROUP BY ALL),
+        kept AS (SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+                 FROM best b LEFT JOIN longer USING (lang, phrase) WHERE m IS NULL OR 100 * m < {COVERED} * a)
+        SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM kept JOIN totals USING (lang) WHERE rank <= {FIRST}
+    """,
     "op13_vector_codes": f"""
         WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v
                       FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .packing import byte_letters
 from .words import sized
 
 CHUNK = 1 << 15
@@ -41,6 +42,7 @@ class ByteEncoder:
         self.slow = Tokenizer.from_file(path)
         self.slow.no_truncation()
         self.slow.no_padding()
+        self.width = "<u2" if self.slow.get_vocab_size() <= 1 << 16 else "<u4"
         self.fast = None
         if ranks:
             import tiktoken
@@ -60,6 +62,24 @@ class ByteEncoder:
             out[i] = len(e.ids)
         return out
 
+    def flat_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text's begin (one more entry than texts)."""
+        parts: list[np.ndarray | None] = [self.fast.encode_to_numpy(t, allowed_special="all") if self._simple(t) else None for t in texts]
+        rest = [i for i, p in enumerate(parts) if p is None]
+        for k in range(0, len(rest), 256):
+            some = rest[k : k + 256]
+            for i, e in zip(some, self.slow.encode_batch_fast([texts[i] for i in some], add_special_tokens=False), strict=True):
+                parts[i] = np.array(e.ids, np.uint32)
+        return np.concatenate([np.zeros(0, np.uint32), *parts]).astype(np.uint32), np.cumsum([0, *map(len, parts)])
+
+    def token_bytes(self) -> list[bytes]:
+        """What each id stands for: added tokens their text, others the bytes that their letters write."""
+        byte_of = {c: b for b, c in byte_letters().items()}
+        added = {i: t.content.encode() for i, t in self.slow.get_added_tokens_decoder().items()}
+        vocabulary = self.slow.get_vocab(with_added_tokens=False)
+        known = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in vocabulary.items()} | added
+        return [known.get(i, b"") for i in range(max(known) + 1)]
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and the character at which each begins."""
         if self._simple(text):
