@@ -21,15 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .bitmap import BITS, bitmap, flat, maybe
 from .scratch import Scratch
 from .skew import join_distinct
 from .words import U64, mix, word_spans
 
 DEPTH, LEAST, COVERED, FIRST = 3, 10, 50, 2000
-#: bits of the bitmap of frequent phrases
-BITS = 27
 #: bytes of text in a shard
-SHARD = 1 << 22
+SHARD = 1 << 21
 #: rows of a record batch
 _ROWS = 1 << 16
 #: phrases that make up more than one in so many words are joined by broadcast
@@ -105,6 +104,17 @@ def _slices(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return buf[np.repeat(start - at[:-1], size) + np.arange(at[-1])], at
 
 
+def _spaced(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All words with one space behind each, and where each begins (one more entry than words)."""
+    at = np.concatenate([[0], np.cumsum(end - start + 1)])
+    flat = np.empty(at[-1], np.uint8)
+    for i in range(0, len(start), _ROWS):
+        j = min(i + _ROWS, len(start))
+        flat[at[i] : at[j]] = _slices(buf, start[i:j], end[i:j] + 1)[0]
+    flat[at[1:] - 1] = 32
+    return flat, at
+
+
 def _shards(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[bytes, np.ndarray, list[str], np.ndarray]]:
     """Texts of about size bytes, cut at ends of pieces only: their bytes, where parts begin, languages and the language of each part."""
     parts: list[bytes] = []
@@ -139,33 +149,17 @@ def _shards(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[byte
         yield done()
 
 
-def _lookups(sent: list, bits: int) -> list[np.ndarray]:
-    """The bitmaps of all lengths known so far, as bytes."""
-    out = []
-    for blocks in sent:
-        flat = np.zeros(max(1 << bits >> 3, 4096), np.uint8)
-        for block, raw in blocks.value.items():
-            flat[(block - 1) * 4096 : block * 4096] = np.frombuffer(raw, np.uint8)
-        out.append(flat)
-    return out
-
-
-def _maybe(flat: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
-    place = (h >> U64(64 - bits)).astype(np.int64)
-    return (flat[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-
-
 def _enumerated(length: int, sent: list, bits: int, size: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts of a shard's phrases of one length whose suffix link and prefix may be frequent; for single words also each language's words, under a null phrase."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _lookups(sent, bits)
+        known = [flat(blocks.value, bits) for blocks in sent]
         for whole, begins, names, lang_of_part in _shards(batches, size):
             buf = np.frombuffer(whole, np.uint8)
             words, start, end = word_spans(whole)
             if not len(words):
                 continue
-            piece = np.cumsum(buf == 10)[start]
+            piece = np.searchsorted(np.flatnonzero(buf == 10), start)
             lang = lang_of_part[np.searchsorted(begins, start, side="right") - 1]
             seeds = np.array([_lang_hash(x) for x in names], U64)
             if length == 1:
@@ -173,21 +167,20 @@ def _enumerated(length: int, sent: list, bits: int, size: int) -> Callable[[Iter
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.nulls(len(names), pa.string()), pa.array(total)], ["lang", "phrase", "n"])
             else:
                 # rare words are in no phrase that counts, so pieces may end at them
-                frequent = _maybe(known[0], _hashes(words, np.arange(len(words)), 1, seeds[lang]), bits)
+                frequent = maybe(known[0], _hashes(words, np.arange(len(words)), 1, seeds[lang]), bits)
                 piece = piece + np.cumsum(~frequent)
                 words, start, end, piece, lang = (x[frequent] for x in (words, start, end, piece, lang))
             _, ids = np.unique(mix(words + seeds[lang] * _SEED), return_inverse=True)
             tree = Automaton(ids, np.diff(piece, prepend=-1) != 0, length)
             ends, counts = tree.ends[-1], tree.counts[-1]
             if length > 2:
-                shorter = _maybe(known[-1], _hashes(words, tree.ends[-2], length - 1, seeds[lang]), bits)
+                shorter = maybe(known[-1], _hashes(words, tree.ends[-2], length - 1, seeds[lang]), bits)
                 keep = shorter[tree.links[-1]] & shorter[tree.prefixes[-1]]
                 ends, counts = ends[keep], counts[keep]
-            flat, at = _slices(buf, start, end + 1)
-            flat[at[1:] - 1] = 32
+            spaced, at = _spaced(buf, start, end)
             for i in range(0, len(ends), _ROWS):
                 last = ends[i : i + _ROWS]
-                raw, offsets = _slices(flat, at[last - length + 1], at[last + 1] - 1)
+                raw, offsets = _slices(spaced, at[last - length + 1], at[last + 1] - 1)
                 phrases = pa.StringArray.from_buffers(len(last), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw))
                 tongue = pa.DictionaryArray.from_arrays(pa.array(lang[last].astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([tongue, phrases, pa.array(counts[i : i + _ROWS].astype(np.int64))], ["lang", "phrase", "n"])
@@ -195,9 +188,7 @@ def _enumerated(length: int, sent: list, bits: int, size: int) -> Callable[[Iter
     return run
 
 
-def _places(length: int, bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The bits of frequent phrases, from 1."""
-
+def _phrase_hashes(length: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -205,18 +196,11 @@ def _places(length: int, bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iter
                 names = batch.column("lang").dictionary_encode()
                 lang = np.array([_lang_hash(x) for x in names.dictionary.to_pylist()], U64)[names.indices.to_numpy()]
                 h = _hashes(words, np.arange(batch.num_rows) * length + length - 1, length, np.repeat(lang, length))
-                yield pa.RecordBatch.from_arrays([pa.array((h >> U64(64 - bits)).astype(np.int64) + 1)], ["place"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
 
     return run
 
 
-def _bitmap(frequent: DataFrame, length: int, bits: int) -> dict[int, bytes]:
-    """Blocks of 32,768 bits, numbered from 1, with a bit for each frequent phrase: at most 2^bits / 8 bytes, whatever the corpus."""
-    places = frequent.mapInArrow(_places(length, bits), "place long")
-    blocks = places.groupBy(F.bitmap_bucket_number("place").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-    return {r.block: bytes(r.bits) for r in blocks.collect()}
-
-
 def phrase_counts(spark: SparkSession, docs: DataFrame, scratch: Scratch, depth: int = DEPTH, least: int = LEAST, bits: int = BITS, shard: int = SHARD) -> list[DataFrame]:
     """For each length a stored table (lang, phrase, n) of the phrases found least times; that of single words holds each language's words under a null phrase."""
     texts = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
@@ -226,7 +210,8 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, scratch: Scratch, depth:
         counted = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | F.col("phrase").isNull())
         tables.append(scratch.keep(counted, f"phrases{length}"))
         if length < depth:
-            sent.append(spark.sparkContext.broadcast(_bitmap(tables[-1].where("phrase IS NOT NULL"), length, bits)))
+            hashes = tables[-1].where("phrase IS NOT NULL").mapInArrow(_phrase_hashes(length), "h long")
+            sent.append(spark.sparkContext.broadcast(bitmap(hashes, "h", bits)))
     return tables
 
 

@@ -136,7 +136,7 @@ def texts():
     return out + [(None, "en"), ("", None), ("only words of one long piece " * 3000, "long"), (" . , \n", "en"), ("rare " * 9, "it")]
 
 
-@pytest.mark.parametrize("bits,shard,ranked", [(27, 1 << 22, 1 << 16), (15, 2000, 40)])
+@pytest.mark.parametrize("bits,shard,ranked", [(26, 1 << 21, 1 << 16), (15, 2000, 40)])
 def test_phrases_against_brute_force(spark, monkeypatch, bits, shard, ranked):
     """Also with a bitmap in which most hashes meet, shards of a few texts and rounds of ranking."""
     monkeypatch.setattr(co, "RANKED", ranked)
