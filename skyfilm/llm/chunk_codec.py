@@ -1,13 +1,16 @@
 """Token ids of whole texts from content-defined chunks that documents share, and texts back from ids.
 
 Texts are cut where a rolling hash of the bytes before a place says so, so passages that documents share are cut alike
-wherever they stand.  Units of documents send each of their distinct chunks to the bucket of its hash; a bucket
-encodes equal chunks of all units once and answers each unit once.  Units then put their documents together
-from the answers and repair the joins: a join between chunks agrees with the encoding of the whole
+wherever they stand.  Chunks that batches of documents share go to the bucket of their digest, which encodes each
+once and sends its ids to each unit of documents that holds it; all other chunks are encoded where they are.
+Units put their documents together and repair the joins: a join between chunks agrees with the encoding of the whole
 text if it is a stable boundary; around any other, the text between the nearest stable boundaries is encoded anew, further and
 further out until its ends are boundaries of tokens in what is there already.
 
 A boundary before a single space between two letters or digits is stable, as the tokenizer's split pattern never matches across it.
+
+Which chunks are shared is told by a bitmap of fixed size.  Hashes that meet in it send some more chunks to buckets, where they are encoded
+like others, so results do not hang on its size.  Documents find their unit by a hash of themselves, not by where they were read.
 """
 
 from __future__ import annotations
@@ -18,70 +21,72 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import bitmap, flat, maybe
 from .token_counts import ByteEncoder
-from .words import U64, mix, sized
+from .words import U64, sized, window_hashes
 
 #: bytes before a place that its rolling hash covers; one place in so many cuts, of stable and of other ones; longest chunk
 WINDOW, STABLE_ONE_IN, OTHER_ONE_IN, LONGEST = 48, 64, 1024, 1 << 14
-#: bytes of text in a unit and in a bucket, about
-UNIT, BUCKET = 1 << 23, 1 << 24
-_SEED = 0x9E3779B97F4A7C15 | 1
-_BYTE = mix(np.arange(1, 257, dtype=U64) * U64(_SEED))
+#: bytes of text in a batch, in a unit and in a bucket, about
+BATCH, UNIT, BUCKET = 1 << 22, 1 << 23, 1 << 24
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 _BLOCK = 1 << 20
-_ROW = "to int, unit long, kind string, payload binary"
-
-
-def _rolling(buf: np.ndarray) -> np.ndarray:
-    """A hash of the WINDOW bytes before each place of a block, of fewer at its begin."""
-    powers = np.cumprod(np.concatenate([[1], np.full(len(buf), _SEED, U64)]).astype(U64))
-    inverse = np.cumprod(np.concatenate([[1], np.full(len(buf), pow(_SEED, -1, 1 << 64), U64)]).astype(U64))
-    total = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE[buf] * powers[:-1], dtype=U64)])
-    at = np.arange(len(buf))
-    low = np.maximum(at - WINDOW, 0)
-    return mix((total[at] - total[low]) * inverse[low])
-
-
-def cuts(raw: bytes) -> tuple[list[int], list[bool]]:
-    """Places at which chunks of a text begin, 0 and the end included, and for each whether it is a stable boundary."""
-    buf = np.frombuffer(raw, np.uint8)
-    picked, stable = [], []
-    for at in range(0, len(buf), _BLOCK):
-        lead = max(0, at - WINDOW)
-        part = buf[lead : at + _BLOCK + 1]
-        h = _rolling(part)
-        middle = np.zeros(len(part), dtype=bool)
-        middle[1:-1] = (part[1:-1] == 32) & _ALNUM[part[:-2]] & _ALNUM[part[2:]]
-        here = (h >> U64(32)) % U64(STABLE_ONE_IN) == 0
-        other = ((h >> U64(32)) % U64(OTHER_ONE_IN) == 1) & (part & 0xC0 != 0x80)
-        mine = np.arange(len(part)) + lead
-        own = (mine >= max(at, 1)) & (mine < min(at + _BLOCK, len(buf)))
-        found = np.flatnonzero(own & ((middle & here) | (other & ~middle)))
-        picked.append(found + lead)
-        stable.append(middle[found])
-    places = np.concatenate([[0], *picked, [len(buf)]]).astype(np.int64).tolist()
-    firm = [True, *np.concatenate(stable).tolist(), True] if picked else [True, True]
-    out, sure = [0], [True]
-    for p, s in zip(places[1:], firm[1:], strict=True):
-        while p - out[-1] > LONGEST:
-            # far from any cut: at a fixed distance, at the begin of a character
-            q = out[-1] + LONGEST // 2
-            while raw[q] & 0xC0 == 0x80:
-                q += 1
-            out.append(q)
-            sure.append(False)
-        if p > out[-1]:
-            out.append(p)
-            sure.append(s)
-    return out, sure
-
-
-def _bucket_of(chunk: bytes, buckets: int) -> int:
-    return int.from_bytes(hashlib.blake2b(chunk, digest_size=8).digest(), "little") % buckets
+_DIGEST = 16
+_ROW = "to long, kind string, payload binary"
+
+
+class Chunks:
+    """The chunks of a batch of texts: bytes, the text that each is of, and whether it begins at a stable boundary."""
+
+    def __init__(self, texts: list[str | None]):
+        raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        whole = b"".join(raws)
+        buf = np.frombuffer(whole, np.uint8)
+        edges = np.concatenate([[0], np.cumsum([len(r) for r in raws])]).astype(np.int64)
+        places, firm = [edges[:-1][np.diff(edges) > 0]], []
+        firm.append(np.ones(len(places[0]), dtype=bool))
+        for at in range(0, len(buf), _BLOCK):
+            lead = max(0, at - WINDOW)
+            part = buf[lead : at + _BLOCK + 1]
+            h = window_hashes(part, WINDOW) >> U64(32)
+            middle = np.zeros(len(part), dtype=bool)
+            middle[1:-1] = (part[1:-1] == 32) & _ALNUM[part[:-2]] & _ALNUM[part[2:]]
+            p = np.flatnonzero((middle & (h % U64(STABLE_ONE_IN) == 0)) | ((h % U64(OTHER_ONE_IN) == 1) & (part & 0xC0 != 0x80)))
+            p = p[(p + lead >= at) & (p + lead < min(at + _BLOCK, len(buf)))]
+            stable, p = middle[p], p + lead
+            text = np.searchsorted(edges, p, side="right") - 1
+            # the window and the byte behind the place lie inside the text
+            inside = p - edges[text] >= WINDOW
+            places.append(p[inside])
+            firm.append((stable & (p + 1 < edges[text + 1]))[inside])
+        places, firm = np.concatenate(places), np.concatenate(firm)
+        order = np.argsort(places, kind="stable")
+        begin, sure = places[order].tolist(), firm[order].tolist()
+        text = (np.searchsorted(edges, places[order], side="right") - 1).tolist()
+        # several edges are equal where texts are empty; the last of them begins the text with the byte
+        ends = [*begin[1:], len(whole)]
+        self.chunks: list[bytes] = []
+        self.firm: list[bool] = []
+        self.text: list[int] = []
+        for a, b, s, t in zip(begin, ends, sure, text, strict=True):
+            while b - a > LONGEST:
+                # far from any cut: at a fixed distance, at the begin of a character
+                q = a + LONGEST // 2
+                while whole[q] & 0xC0 == 0x80:
+                    q += 1
+                self._add(whole[a:q], s, t)
+                a, s = q, False
+            self._add(whole[a:b], s, t)
+        self.digests = [hashlib.blake2b(c, digest_size=_DIGEST).digest() for c in self.chunks]
+        self.hashes = np.frombuffer(b"".join(self.digests), "<u8")[::2].astype(U64)
+
+    def _add(self, chunk: bytes, firm: bool, text: int) -> None:
+        self.chunks.append(chunk)
+        self.firm.append(firm)
+        self.text.append(text)
 
 
 def _pack(*arrays: np.ndarray | bytes) -> bytes:
@@ -99,70 +104,107 @@ def _unpack(payload: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-_PLAN = ("<i8", "u1", "<i8", "<i4", "u1")
+def _pieces(raw: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    ends, whole = np.cumsum(sizes).tolist(), raw.tobytes()
+    return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    to, unit, kind, payload = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(unit, pa.int64()), pa.array(kind), pa.array(payload, pa.binary())], ["to", "unit", "kind", "payload"])
+    to, kind, payload = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(kind), pa.array(payload, pa.binary())], ["to", "kind", "payload"])
+
 
+def _seen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of a batch's distinct chunks."""
+    for batch in sized(batches, "text", BATCH):
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(Chunks(batch.column("text").to_pylist()).hashes).view(np.int64))], ["h"])
 
-def _asked(places: list[int], chunks: list[bytes]) -> bytes:
-    return _pack(np.array(places, "<i4"), np.array([len(c) for c in chunks], "<i4"), b"".join(chunks))
 
+def asked(chunks: dict[bytes, tuple[bytes, set[int]]]) -> bytes:
+    """Chunks by digest with the units that hold them, as a payload."""
+    units = [sorted(u) for _, u in chunks.values()]
+    texts = [c for c, _ in chunks.values()]
+    return _pack(b"".join(chunks), np.array([len(c) for c in texts], "<i4"), b"".join(texts), np.array([len(u) for u in units], "<i4"), np.array([x for u in units for x in u], "<i8"))
 
-def _cut(buckets: int, unit_bytes: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For each unit a row that says which chunks its documents are made of, and a row of distinct chunks for each bucket."""
+
+def _ask(buckets: int, shared) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A batch's chunks that others may hold, for the bucket of each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in sized(batches, "text", unit_bytes):
-            number += 1
-            known: dict[bytes, int] = {}
-            chunks, firm, size = [], [], []
-            for text in batch.column("text"):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                places, sure = cuts(raw)
-                parts = [raw[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
-                chunks += [known.setdefault(p, len(known)) for p in parts]
-                firm += sure[: len(parts)]
-                size.append(len(parts))
-            own: dict[int, list[int]] = {}
-            texts = list(known)
-            for i, chunk in enumerate(texts):
-                own.setdefault(_bucket_of(chunk, buckets), []).append(i)
-            rows = [(b, number, "chunks", _asked(places, [texts[i] for i in places])) for b, places in own.items()]
-            ids = batch.column("doc_id")
-            plan = _pack(*(np.asarray(x, k) for x, k in zip((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), size, chunks, firm), _PLAN, strict=True)))
-            yield _rows([*rows, (_bucket_of(str(number).encode(), buckets), number, "plan", plan)])
+        bits = flat(shared.value)
+        for batch in sized(batches, "text", BATCH):
+            cut, unit = Chunks(batch.column("text").to_pylist()), batch.column("unit").to_pylist()
+            own: dict[int, dict[bytes, tuple[bytes, set[int]]]] = {}
+            for i in np.flatnonzero(maybe(bits, cut.hashes)).tolist():
+                d = cut.digests[i]
+                own.setdefault(int.from_bytes(d[8:], "little") % buckets, {}).setdefault(d, (cut.chunks[i], set()))[1].add(unit[cut.text[i]])
+            if own:
+                yield _rows([(b, "ask", asked(chunks)) for b, chunks in own.items()])
 
     return run
 
 
 def _encode(tokenizer: str, ranks: str | None, pattern: str | None) -> Callable[[pa.Table], pa.Table]:
-    """A bucket's distinct chunks, encoded once each, for each unit that asked; plans travel on."""
+    """A bucket's distinct chunks, encoded once each, for each unit that holds them."""
 
     def run(table: pa.Table) -> pa.Table:
         encoder = ByteEncoder(tokenizer, ranks, pattern)
         known: dict[bytes, int] = {}
-        asked, out = [], []
-        for unit, kind, payload in zip(*(table.column(c).to_pylist() for c in ("unit", "kind", "payload")), strict=True):
-            if kind == "plan":
-                out.append((0, unit, kind, payload))
-            else:
-                places, sizes, raw = _unpack(payload, "<i4", "<i4", "S1")
-                ends, raw = np.cumsum(sizes).tolist(), raw.tobytes()
-                asked.append((unit, places, [known.setdefault(raw[a:b], len(known)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]))
-        flat, at = encoder.flat_ids([c.decode("utf-8", "surrogatepass") for c in known])
-        for unit, places, own in asked:
-            own = np.array(own, np.int64)
+        texts: list[bytes] = []
+        wanted: dict[int, set[int]] = {}
+        for payload in table.column("payload").to_pylist():
+            digests, sizes, raw, counts, units = _unpack(payload, f"S{_DIGEST}", "<i4", "S1", "<i4", "<i8")
+            digests = _pieces(digests, np.full(len(sizes), _DIGEST))
+            at = 0
+            for d, chunk, n in zip(digests, _pieces(raw, sizes), counts.tolist(), strict=True):
+                k = known.setdefault(d, len(known))
+                if k == len(texts):
+                    texts.append(chunk)
+                for u in units[at : at + n].tolist():
+                    wanted.setdefault(u, set()).add(k)
+                at += n
+        ids, at = encoder.flat_ids([c.decode("utf-8", "surrogatepass") for c in texts])
+        names, out = list(known), []
+        for unit, own in wanted.items():
+            own = np.array(sorted(own), np.int64)
             size = at[own + 1] - at[own]
-            out.append((0, unit, "ids", _pack(places, size.astype("<i4"), flat[_spread(at[own], size)].astype(encoder.width))))
+            out.append((unit, "ids", _pack(b"".join(names[k] for k in own.tolist()), size.astype("<i4"), ids[_spread(at[own], size)].astype(encoder.width))))
         return pa.Table.from_batches([_rows(out)])
 
     return run
 
 
+_SHARED, _FIRM = 1, 2
+
+
+def _own(shared, tokenizer: str, ranks: str | None, pattern: str | None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each unit the documents of a batch: ids of the chunks that no other batch holds, digests of the others."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, bits = ByteEncoder(tokenizer, ranks, pattern), flat(shared.value)
+        for batch in sized(batches, "text", BATCH):
+            cut = Chunks(batch.column("text").to_pylist())
+            away = maybe(bits, cut.hashes)
+            known: dict[bytes, int] = {}
+            number = [-1 if x else known.setdefault(c, len(known)) for c, x in zip(cut.chunks, away.tolist(), strict=True)]
+            ids, at = encoder.flat_ids([c.decode("utf-8", "surrogatepass") for c in known])
+            number, text = np.array(number, np.int64), np.array(cut.text, np.int64)
+            kinds = (away * _SHARED + np.array(cut.firm, dtype=bool) * _FIRM).astype(np.uint8)
+            many = np.bincount(text, minlength=batch.num_rows)
+            doc = batch.column("doc_id")
+            docs, missing, units = np.asarray(doc.fill_null(0)), np.asarray(doc.is_null()), np.asarray(batch.column("unit"))
+            out = []
+            for u in np.unique(units).tolist():
+                rows = units == u
+                mine = np.flatnonzero(rows[text]) if len(text) else text
+                k = number[mine][~away[mine]]
+                size = at[k + 1] - at[k]
+                out.append((u, "own", _pack(docs[rows].astype("<i8"), missing[rows].astype("u1"), many[rows].astype("<i8"), kinds[mine], size.astype("<i4"), ids[_spread(at[k], size)].astype(encoder.width), b"".join(cut.digests[i] for i in mine[away[mine]].tolist()))))
+            yield _rows(out)
+
+    return run
+
+
 def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Indexes of runs of given starts and sizes, one after another."""
     before = np.cumsum(size) - size
@@ -227,28 +269,36 @@ class Joiner:
 
 
 def _assemble(tokenizer: str, ranks: str | None, pattern: str | None) -> Callable[[pa.Table], pa.Table]:
-    """A unit's documents from its plan and the answers of the buckets."""
+    """A unit's documents from their own chunks and the shared ones."""
 
     def run(table: pa.Table) -> pa.Table:
         joiner = Joiner(ByteEncoder(tokenizer, ranks, pattern))
-        kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
-        docs, missing, size, order, firm = _unpack(payloads[kinds.index("plan")], *_PLAN)
-        answers = [_unpack(p, "<i4", "<i4", joiner.encoder.width) for k, p in zip(kinds, payloads, strict=True) if k == "ids"]
-        place, length, flat = (np.concatenate(x) for x in zip(*answers, strict=True)) if answers else (np.zeros(0, np.int64),) * 3
-        start = np.empty(len(place), np.int64)
-        count = np.empty(len(place), np.int64)
-        start[place], count[place] = np.cumsum(length, dtype=np.int64) - length, length
-        out, at = [], 0
-        sure = firm.astype(bool).tolist()
-        for n in size.tolist():
-            own = order[at : at + n]
-            if all(sure[at : at + n]):
-                ids = flat[_spread(start[own], count[own])] if n else flat[:0]
-            else:
-                ids = joiner.join([flat[start[c] : start[c] + count[c]] for c in own.tolist()], sure[at : at + n])
-            out.append(ids.astype("<u4").tobytes())
-            at += n
-        return pa.table({"doc_id": pa.array(docs, mask=missing.astype(bool)), "ids": pa.array(out, pa.binary())})
+        width = joiner.encoder.width
+        shared: dict[bytes, np.ndarray] = {}
+        own = []
+        for kind, payload in zip(table.column("kind").to_pylist(), table.column("payload").to_pylist(), strict=True):
+            if kind == "own":
+                own.append(payload)
+                continue
+            digests, sizes, ids = _unpack(payload, f"S{_DIGEST}", "<i4", width)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            shared.update(zip(_pieces(digests, np.full(len(sizes), _DIGEST)), np.split(ids, ends[:-1]), strict=True))
+        docs, missing, out = [], [], []
+        for payload in own:
+            doc, none, many, kinds, sizes, ids, digests = _unpack(payload, "<i8", "u1", "<i8", "u1", "<i4", width, f"S{_DIGEST}")
+            docs.append(doc)
+            missing.append(none)
+            mine = iter(np.split(ids, np.cumsum(sizes, dtype=np.int64)[:-1]) if len(sizes) else [])
+            others = iter(_pieces(digests, np.full(int((kinds & _SHARED).sum()), _DIGEST)) if len(digests) else [])
+            parts = [shared[next(others)] if x & _SHARED else next(mine) for x in kinds.tolist()]
+            firm = (kinds & _FIRM > 0).tolist()
+            at = 0
+            for n in many.tolist():
+                own_parts = parts[at : at + n]
+                whole = joiner.join(own_parts, firm[at : at + n]) if not all(firm[at : at + n]) else np.concatenate(own_parts) if n else ids[:0]
+                out.append(whole.astype("<u4").tobytes())
+                at += n
+        return pa.table({"doc_id": pa.array(np.concatenate(docs), mask=np.concatenate(missing).astype(bool)), "ids": pa.array(out, pa.binary())})
 
     return run
 
@@ -256,16 +306,20 @@ def _assemble(tokenizer: str, ranks: str | None, pattern: str | None) -> Callabl
 def encode_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, unit: int = UNIT, bucket: int = BUCKET) -> DataFrame:
     """One row for each row of docs(doc_id, text): doc_id and ids, its token ids as little-endian unsigned 32-bit integers.
 
-    Null texts count as empty and have no ids.  Rows that repeat give a row each; an empty table gives none; other columns are
-    not looked at.  Buckets follow the size of the texts, so a bucket holds about as much text at any size of the corpus; a chunk that most
-    texts hold comes to its bucket once from each unit.
+    Null texts count as empty and have no ids.  Rows that repeat give a row each, from one unit; an empty table gives none; other columns are
+    not looked at.  Units and buckets follow the size of the texts, so each holds about as much text at any size of the corpus; a chunk that most
+    texts hold comes to its bucket once from each batch of documents and leaves it once for each unit.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // bucket))
-    sent = texts.mapInArrow(_cut(buckets, unit), _ROW).repartition(buckets, "to")
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    units, buckets = -(-size // unit) or 1, -(-size // bucket) or 1
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)))
+    hashes = texts.select("text").mapInArrow(_seen, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    shared = spark.sparkContext.broadcast(bitmap(hashes, "h"))
+    sent = texts.select("unit", "text").mapInArrow(_ask(buckets, shared), _ROW).repartition(buckets, "to")
     told = sent.groupBy("to").applyInArrow(_encode(tokenizer, ranks, pattern), _ROW)
-    return told.repartition(buckets, "unit").groupBy("unit").applyInArrow(_assemble(tokenizer, ranks, pattern), "doc_id long, ids binary")
+    own = texts.mapInArrow(_own(shared, tokenizer, ranks, pattern), _ROW)
+    return told.union(own).repartition(units, "to").groupBy("to").applyInArrow(_assemble(tokenizer, ranks, pattern), "doc_id long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:

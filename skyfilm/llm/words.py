@@ -89,6 +89,16 @@ def word_spans(whole: bytes, refine: Refine | None = None) -> tuple[np.ndarray,
     return np.concatenate(h), np.concatenate(s), np.concatenate(e)
 
 
+def window_hashes(buf: np.ndarray, width: int) -> np.ndarray:
+    """A rolling hash of the width bytes before each place of a block of bytes, of fewer at its begin."""
+    power, inverse = _power_tables(len(buf))
+    total = np.empty(len(buf) + 1, dtype=U64)
+    total[0] = 0
+    np.cumsum(_BYTE[buf] * power[: len(buf)], out=total[1:])
+    low = np.maximum(np.arange(len(buf)) - width, 0)
+    return mix((total[:-1] - total[low]) * inverse[low])
+
+
 def joined(raws: list[bytes]) -> tuple[bytes, np.ndarray]:
     """All texts with a line end after each, and where each begins (one more entry than texts)."""
     begins = np.zeros(len(raws) + 1, dtype=np.int64)

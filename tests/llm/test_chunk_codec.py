@@ -50,13 +50,12 @@ def test_empty_table(spark):
 
 def test_shared_passages_are_cut_alike():
     passage = " ".join(f"word{i * i % 997}" for i in range(4000))
-    sets = []
-    for text in (passage, "Some other begin. " + passage, passage[:200] + "edited" + passage[200:] + " more"):
-        raw = text.encode()
-        places, firm = chunk_codec.cuts(raw)
-        assert places[0] == 0 and places[-1] == len(raw) and places == sorted(set(places)) and len(firm) == len(places)
-        sets.append({raw[a:b] for a, b in zip(places[:-1], places[1:], strict=True)})
-    assert len(sets[0]) > 20 and all(len(sets[0] - s) <= 3 for s in sets)
+    texts = [passage, "", "Some other begin. " + passage, passage[:200] + "edited" + passage[200:] + " more", "日本語" * 9000, None, " "]
+    cut = chunk_codec.Chunks(texts)
+    sets = [[c for c, t in zip(cut.chunks, cut.text, strict=True) if t == i] for i in range(len(texts))]
+    assert [b"".join(s).decode() for s in sets] == [t or "" for t in texts]
+    assert len(sets[0]) > 20 and all(len(set(sets[0]) - set(sets[i])) <= 3 for i in (2, 3))
+    assert max(map(len, cut.chunks)) <= chunk_codec.LONGEST
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -79,11 +78,11 @@ def test_chunks_of_all_units_are_encoded_once(monkeypatch):
     import pyarrow as pa
 
     def row(unit, chunks):
-        return (0, unit, "chunks", chunk_codec._asked(list(range(len(chunks))), chunks))
+        return (0, "ask", chunk_codec.asked({hashlib.blake2b(c, digest_size=16).digest(): (c, {unit}) for c in chunks}))
 
     table = pa.Table.from_batches([chunk_codec._rows([row(1, [b"a b", b"c d"]), row(2, [b"c d"]), row(3, [b"c d", b"e"])])])
     out = chunk_codec._encode(PATH, RANKS, public_tokenizers.PATTERN)(table)
-    assert seen == ["a b", "c d", "e"] and out.num_rows == 3
+    assert seen == ["a b", "c d", "e"] and sorted(out.column("to").to_pylist()) == [1, 2, 3]
 
 
 def test_query_equals_the_library(spark):
