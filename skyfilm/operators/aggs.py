@@ -55,6 +55,18 @@ def trimmed_histogram(df: DataFrame, column: str, bins: int, sigmas: float = 3.0
     return kept.join(ends).groupBy(index.alias("bin")).agg(F.count("*").alias("n"))
 
 
+def gathered(df: DataFrame, key: str, column: str, bins: int, sigmas: float = 3.0) -> DataFrame:
+    """(key, low, width, counts): counts in equal bins between the extremes of each group's values near their mean, empty bins too."""
+    stats = df.groupBy(key).agg(F.avg(column).alias("m"), F.stddev_pop(column).alias("s"))
+    kept = df.join(stats, key).where(F.abs(F.col(column) - F.col("m")) <= sigmas * F.col("s")).select(key, column)
+    ends = kept.groupBy(key).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    index = F.when(F.col("high") == F.col("low"), 0).otherwise(F.least(F.floor((F.col(column) - F.col("low")) * bins / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))), F.lit(bins - 1))).cast("int")
+    counts = kept.join(ends, key).groupBy(key, "low", "high", index.alias("bin")).agg(F.count("*").alias("n"))
+    places = counts.groupBy(key, "low", "high").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("n"))
+    all_bins = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.coalesce(F.try_element_at("n", i), F.lit(0).cast("long")))
+    return places.select(key, "low", ((F.col("high") - F.col("low")) / bins).alias("width"), all_bins.alias("counts"))
+
+
 def tail_share(counts: Column, low: int, skip_top: bool = True) -> Column:
     """Share of an intensity histogram (array of counts) from bin low on; the top bin does not count if skip_top."""
     tail = F.slice(counts, F.lit(low + 1), F.size(counts) - low - (1 if skip_top else 0))

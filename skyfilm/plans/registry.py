@@ -28,4 +28,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["flagship"](spark, sf_dir)
 
 
-from . import grids, relational, science  # noqa: E402, F401  they register their queries
+from . import grids, pictures, relational, science  # noqa: E402, F401  they register their queries

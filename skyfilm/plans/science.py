@@ -34,44 +34,6 @@ def _images(pdf: pd.DataFrame):
         yield k, np.frombuffer(d, np.uint8).reshape(h, w)
 
 
-@query("im01_segment")
-def _(spark, sf):
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for k, img in _images(pdf):
-                area = K.picture_area(img)
-                rows.append((k, *(area or (None,) * 4), "num" if area else "loss", None if area else "no picture found"))
-            yield pd.DataFrame(rows, columns=["k", "left", "right", "top", "bottom", "class", "details"])
-
-    return pictures(spark, sf).mapInPandas(run, "k long, left int, right int, top int, bottom int, class string, details string")
-
-
-@query("im04_components")
-def _(spark, sf):
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for k, img in _images(pdf):
-                labels, n = K.components(img > 200)
-                sizes = np.bincount(labels.ravel(), minlength=n + 1)[1:]
-                points, area = K.centroids(img > 200, 10, 1000)
-                rows.append((k, n, int(sizes.max(initial=0)), len(points), area))
-            yield pd.DataFrame(rows, columns=["k", "parts", "largest", "kept", "median_area"])
-
-    return pictures(spark, sf).mapInPandas(run, "k long, parts int, largest int, kept int, median_area double")
-
-
-@query("im12_peaks")
-def _(spark, sf):
-    def run(batches):
-        for pdf in batches:
-            rows = [(k, K.grid_peaks(255 - img, 0).tolist(), K.peaks(K.unit_range(img.mean(axis=1)), 5, 0.1).tolist()) for k, img in _images(pdf)]
-            yield pd.DataFrame(rows, columns=["k", "columns", "rows"])
-
-    return pictures(spark, sf).mapInPandas(run, "k long, columns array<int>, rows array<int>")
-
-
 @query("im20_trace")
 def _(spark, sf):
     def run(batches):
@@ -85,15 +47,6 @@ def _(spark, sf):
     return pictures(spark, sf).mapInPandas(run, "k long, points int, mean_y double, overexposed double, level int, noise double")
 
 
-@query("ag24_stack")
-def _(spark, sf):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = K.stacked([img for _, img in _images(pdf)])
-        return pd.DataFrame({"roll": pdf["roll"].iloc[:1], "n": [len(pdf)], "height": [s.shape[0]], "width": [s.shape[1]], "total": [float(s.sum())], "median": [float(np.median(s))]})
-
-    return pictures(spark, sf).withColumn("roll", F.expr("k % 10")).groupBy("roll").applyInPandas(run, "roll long, n int, height int, width int, total double, median double")
-
-
 NMS_SQL = f"""WITH RECURSIVE b AS (SELECT l_orderkey AS o, l_partkey AS p, l_linenumber AS l, l_discount AS s, {BOX}, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC, l_linenumber, l_partkey, x1, y1, x2, y2) AS i FROM lineitem),
     r(o, i, kept) AS (SELECT DISTINCT o, 0::BIGINT, []::STRUCT(x1 INT, y1 INT, x2 INT, y2 INT, p BIGINT, l INT, s DOUBLE)[] FROM b
         UNION ALL
