@@ -16,7 +16,9 @@ like others, so results do not hang on its size.  Documents find their unit by a
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect, bisect_left
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import bitmap, flat, maybe
-from .token_counts import ByteEncoder
+from .token_counts import ByteEncoder, token_bytes, width_of
 from .words import U64, sized, window_hashes
 
-#: bytes before a place that its rolling hash covers; one place in so many cuts, of stable and of other ones; longest chunk
-WINDOW, STABLE_ONE_IN, OTHER_ONE_IN, LONGEST = 48, 64, 1024, 1 << 14
+#: bytes before a place that its rolling hash covers; one stable boundary in so many cuts; chunks above a length are cut at one place in so many; longest chunk
+WINDOW, STABLE_ONE_IN, LONG, OTHER_ONE_IN, LONGEST = 48, 64, 1 << 12, 1024, 1 << 14
 #: bytes of text in a batch, in a unit and in a bucket, about
 BATCH, UNIT, BUCKET = 1 << 22, 1 << 23, 1 << 24
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
@@ -46,40 +48,41 @@ class Chunks:
         whole = b"".join(raws)
         buf = np.frombuffer(whole, np.uint8)
         edges = np.concatenate([[0], np.cumsum([len(r) for r in raws])]).astype(np.int64)
-        places, firm = [edges[:-1][np.diff(edges) > 0]], []
-        firm.append(np.ones(len(places[0]), dtype=bool))
+        # several edges are equal where texts are empty; the last of them begins the text with the byte
+        places, others = [edges[:-1][np.diff(edges) > 0]], [np.zeros(0, np.int64)]
         for at in range(0, len(buf), _BLOCK):
             lead = max(0, at - WINDOW)
             part = buf[lead : at + _BLOCK + 1]
             h = window_hashes(part, WINDOW) >> U64(32)
             middle = np.zeros(len(part), dtype=bool)
             middle[1:-1] = (part[1:-1] == 32) & _ALNUM[part[:-2]] & _ALNUM[part[2:]]
-            p = np.flatnonzero((middle & (h % U64(STABLE_ONE_IN) == 0)) | ((h % U64(OTHER_ONE_IN) == 1) & (part & 0xC0 != 0x80)))
-            p = p[(p + lead >= at) & (p + lead < min(at + _BLOCK, len(buf)))]
-            stable, p = middle[p], p + lead
-            text = np.searchsorted(edges, p, side="right") - 1
-            # the window and the byte behind the place lie inside the text
-            inside = p - edges[text] >= WINDOW
-            places.append(p[inside])
-            firm.append((stable & (p + 1 < edges[text + 1]))[inside])
-        places, firm = np.concatenate(places), np.concatenate(firm)
-        order = np.argsort(places, kind="stable")
-        begin, sure = places[order].tolist(), firm[order].tolist()
-        text = (np.searchsorted(edges, places[order], side="right") - 1).tolist()
-        # several edges are equal where texts are empty; the last of them begins the text with the byte
-        ends = [*begin[1:], len(whole)]
+            for found, cuts in ((places, middle & (h % U64(STABLE_ONE_IN) == 0)), (others, (h % U64(OTHER_ONE_IN) == 1) & (part & 0xC0 != 0x80))):
+                p = np.flatnonzero(cuts) + lead
+                p = p[(p >= at) & (p < min(at + _BLOCK, len(buf)))]
+                text = np.searchsorted(edges, p, side="right") - 1
+                # the window and the byte behind the place lie inside the text
+                found.append(p[(p - edges[text] >= WINDOW) & (p + 1 < edges[text + 1])])
+        begins, others = np.sort(np.concatenate(places)), np.concatenate(others).tolist()
+        text = (np.searchsorted(edges, begins, side="right") - 1).tolist()
+        begins = begins.tolist()
         self.chunks: list[bytes] = []
         self.firm: list[bool] = []
         self.text: list[int] = []
-        for a, b, s, t in zip(begin, ends, sure, text, strict=True):
-            while b - a > LONGEST:
-                # far from any cut: at a fixed distance, at the begin of a character
-                q = a + LONGEST // 2
-                while whole[q] & 0xC0 == 0x80:
-                    q += 1
-                self._add(whole[a:q], s, t)
-                a, s = q, False
-            self._add(whole[a:b], s, t)
+        for a, b, t in zip(begins, [*begins[1:], len(whole)], text, strict=True):
+            firm = True
+            if b - a > LONG:
+                for q in [*others[bisect(others, a) : bisect_left(others, b)], b]:
+                    while q - a > LONGEST:
+                        # far from any cut: at a fixed distance, at the begin of a character
+                        near = a + LONGEST // 2
+                        while whole[near] & 0xC0 == 0x80:
+                            near += 1
+                        self._add(whole[a:near], firm, t)
+                        a, firm = near, False
+                    if q < b:
+                        self._add(whole[a:q], firm, t)
+                        a, firm = q, False
+            self._add(whole[a:b], firm, t)
         self.digests = [hashlib.blake2b(c, digest_size=_DIGEST).digest() for c in self.chunks]
         self.hashes = np.frombuffer(b"".join(self.digests), "<u8")[::2].astype(U64)
 
@@ -221,12 +224,13 @@ def _is_stable(text: str, p: int) -> bool:
 
 
 class Joiner:
-    """Puts the ids of chunks together so that they are those of the whole text."""
+    """Puts the ids of chunks together so that they are those of the whole text; the tokenizer is loaded once a join needs it."""
 
-    def __init__(self, encoder: ByteEncoder):
-        self.encoder = encoder
-        self.pieces = encoder.token_bytes()
+    def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None):
+        self.pieces = token_bytes(tokenizer)
         self.lengths = np.array([len(p) for p in self.pieces])
+        self.width = width_of(self.pieces)
+        self.encoder = cache(lambda: ByteEncoder(tokenizer, ranks, pattern))
 
     def join(self, parts: list[np.ndarray], firm: list[bool]) -> np.ndarray:
         """Ids of a text from those of its chunks; firm tells which chunks are known to begin at stable boundaries.
@@ -263,7 +267,7 @@ class Joiner:
             repairs.append((low, i, high, j))
         out, done = [], 0
         for low, i, high, j in repairs:
-            out += [ids[done:i], self.encoder.flat_ids([text[low:high]])[0]]
+            out += [ids[done:i], self.encoder().flat_ids([text[low:high]])[0]]
             done = j
         return np.concatenate([*out, ids[done:]])
 
@@ -272,8 +276,8 @@ def _assemble(tokenizer: str, ranks: str | None, pattern: str | None) -> Callabl
     """A unit's documents from their own chunks and the shared ones."""
 
     def run(table: pa.Table) -> pa.Table:
-        joiner = Joiner(ByteEncoder(tokenizer, ranks, pattern))
-        width = joiner.encoder.width
+        joiner = Joiner(tokenizer, ranks, pattern)
+        width = joiner.width
         shared: dict[bytes, np.ndarray] = {}
         own = []
         for kind, payload in zip(table.column("kind").to_pylist(), table.column("payload").to_pylist(), strict=True):
@@ -326,7 +330,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """Rows of encoded(doc_id, ids) with text, as the library decodes their ids with special tokens kept."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = ByteEncoder(tokenizer).token_bytes()
+        pieces = token_bytes(tokenizer)
         for batch in sized(batches, "ids"):
             texts = [decoded(pieces, np.frombuffer(raw.as_py(), "<u4")).decode("utf-8", "replace") for raw in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])

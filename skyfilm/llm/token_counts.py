@@ -9,9 +9,10 @@ has none, or the encodings differ next to it, the overlap is widened.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sized
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,21 @@ _LONG_RUN = re.compile(r"\S{400}")
 _BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 
 
+def token_bytes(path: str) -> list[bytes]:
+    """What each id of a byte-level BPE file stands for: added tokens their text, others the bytes that their letters write."""
+    with open(path, encoding="utf-8") as file:
+        settings = json.load(file)
+    byte_of = {c: b for b, c in byte_letters().items()}
+    known = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in settings["model"]["vocab"].items()}
+    known |= {t["id"]: t["content"].encode() for t in settings["added_tokens"]}
+    return [known.get(i, b"") for i in range(max(known) + 1)]
+
+
+def width_of(ids: Sized) -> str:
+    """The array type that holds every id."""
+    return "<u2" if len(ids) <= 1 << 16 else "<u4"
+
+
 class ByteEncoder:
     """Ids as the tokenizers library gives them for a byte-level BPE file.
 
@@ -42,7 +58,7 @@ class ByteEncoder:
         self.slow = Tokenizer.from_file(path)
         self.slow.no_truncation()
         self.slow.no_padding()
-        self.width = "<u2" if self.slow.get_vocab_size() <= 1 << 16 else "<u4"
+        self.width = width_of(range(max(self.slow.get_vocab().values()) + 1))
         self.fast = None
         if ranks:
             import tiktoken
@@ -72,14 +88,6 @@ class ByteEncoder:
                 parts[i] = np.array(e.ids, np.uint32)
         return np.concatenate([np.zeros(0, np.uint32), *parts]).astype(np.uint32), np.cumsum([0, *map(len, parts)])
 
-    def token_bytes(self) -> list[bytes]:
-        """What each id stands for: added tokens their text, others the bytes that their letters write."""
-        byte_of = {c: b for b, c in byte_letters().items()}
-        added = {i: t.content.encode() for i, t in self.slow.get_added_tokens_decoder().items()}
-        vocabulary = self.slow.get_vocab(with_added_tokens=False)
-        known = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in vocabulary.items()} | added
-        return [known.get(i, b"") for i in range(max(known) + 1)]
-
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and the character at which each begins."""
         if self._simple(text):

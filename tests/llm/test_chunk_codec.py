@@ -62,10 +62,10 @@ def test_shared_passages_are_cut_alike():
 def test_any_cut_is_repaired(seed):
     """Chunks cut anywhere, none of them known to be stable."""
     rng, tok = random.Random(seed), library()
-    joiner = chunk_codec.Joiner(ByteEncoder(PATH, RANKS, public_tokenizers.PATTERN))
+    joiner = chunk_codec.Joiner(PATH, RANKS, public_tokenizers.PATTERN)
     for text in [t for t in odd_texts() if t and len(t) < 30_000]:
         at = sorted({0, len(text), *(rng.randrange(len(text)) for _ in range(rng.randint(1, 30)))})
-        flat, begins = joiner.encoder.flat_ids([text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
+        flat, begins = joiner.encoder().flat_ids([text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
         parts = [flat[a:b] for a, b in zip(begins[:-1], begins[1:], strict=True)]
         assert joiner.join(parts, [False] * len(parts)).tolist() == tok.encode(text, add_special_tokens=False).ids
 
