@@ -33,7 +33,7 @@ from .words import U64, sized, window_hashes
 #: bytes before a place that its rolling hash covers; one stable boundary in so many cuts; chunks above a length are cut at one place in so many; longest chunk
 WINDOW, STABLE_ONE_IN, LONG, OTHER_ONE_IN, LONGEST = 48, 64, 1 << 12, 1024, 1 << 14
 #: bytes of text in a batch, in a unit and in a bucket, about
-BATCH, UNIT, BUCKET = 1 << 22, 1 << 23, 1 << 24
+BATCH, UNIT, BUCKET = 1 << 21, 1 << 22, 1 << 24
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 _BLOCK = 1 << 20
 _DIGEST = 16
