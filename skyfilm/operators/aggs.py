@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 Z95 = 1.96
 
 
@@ -108,11 +110,12 @@ def reclassified(cls: Column, dx: Column, dy: Column, x_limit: float = 1.0, y_li
 
 
 def described(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """n, mean, sample deviation, extremes and quartiles; one row for each column, from one pass."""
-    stats = {"n": F.count, "mean": F.avg, "sd": F.stddev_samp, "low": F.min, "high": F.max}
-    wide = df.agg(*[f(c).cast("double").alias(f"{c}__{k}") for c in columns for k, f in stats.items()], *[F.percentile(c, p).alias(f"{c}__q{i}") for c in columns for i, p in ((1, 0.25), (2, 0.5), (3, 0.75))])
-    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{k}").alias(k) for k in (*stats, "q1", "q2", "q3")]) for c in columns]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """n, mean, sample deviation, extremes and exact quartiles; one row for each column, from values stacked by column."""
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.*")
+    stats = values.groupBy("column_name").agg(F.count("v").cast("double").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd"), F.min("v").alias("low"), F.max("v").alias("high"))
+    q = exact_quantiles(values, "v", [0.25, 0.5, 0.75], ["column_name"])
+    wide = q.groupBy("column_name").agg(*[F.max(F.when(F.col("fraction") == f, F.col("value"))).alias(f"q{i}") for i, f in ((1, 0.25), (2, 0.5), (3, 0.75))])
+    return stats.join(wide, "column_name", "left")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -148,3 +151,36 @@ def data_dictionary(df: DataFrame) -> DataFrame:
         parts += [F.count(c).alias(f"{c}__n"), F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), F.min(number).alias(f"{c}__lo"), F.max(number).alias(f"{c}__hi")]
         rows.append(F.struct(F.lit(c).alias("column_name"), F.lit("text" if t == "string" else "number" if t in ("int", "bigint", "double", "float") else "time").alias("data_type"), *[F.col(f"{c}__{k}").alias(k) for k in ("n", "nulls", "lo", "hi")]))
     return df.agg(*parts).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def by_label(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
+    """Least, greatest and mean value of each column for each label."""
+    return df.groupBy(label).agg(F.count("*").alias("n"), *[f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max), ("mean", F.avg))])
+
+
+def usual_values(mapped: DataFrame, label: str, value: str, within: float = 0.75) -> DataFrame:
+    """(label, usual, n): the mean place of each label over all rolls, without places off by more than a share of the labels' mean gap from the label's first mean."""
+    first = mapped.groupBy(label).agg(F.avg(value).alias("__mean"))
+    gap = first.agg((F.max("__mean") - F.min("__mean")).alias("span"), F.count("*").alias("labels")).select((F.col("span") / F.greatest(F.col("labels") - 1, F.lit(1))).alias("__gap"))
+    near = mapped.join(first, label).join(F.broadcast(gap)).where(F.abs(F.col(value) - F.col("__mean")) <= within * F.col("__gap"))
+    return near.groupBy(label).agg(F.avg(value).alias("usual"), F.count("*").alias("n"))
+
+
+# fixed values: what a data dictionary may say; other units and types become the first, other types of numbers the first of numbers
+UNITS = ("none", "degrees", "kilometres", "megahertz", "pixels", "seconds")
+TYPES = {"text": ("string",), "number": ("bigint", "int", "double", "float"), "time": ("timestamp_ntz", "timestamp", "date")}
+
+
+def declared(fields: DataFrame, unit: str = "unit", kind: str = "type") -> DataFrame:
+    """A data dictionary's fields with unit and type from the lists of known ones: (…, family) and the first of its family for a type that only begins like one."""
+    known = F.trim(F.lower(F.col(unit)))
+    name = F.trim(F.lower(F.col(kind)))
+    family, exact = F.lit("text"), F.lit(TYPES["text"][0])
+    for f, types in TYPES.items():
+        hit = name.isin(*types)
+        near = F.lit(False)
+        for t in types:
+            near = near | F.startswith(name, F.lit(t[:3]))
+        family = F.when(hit | near, F.lit(f)).otherwise(family)
+        exact = F.when(hit, name).when(near, F.lit(types[0])).otherwise(exact)
+    return fields.withColumns({unit: F.when(known.isin(*UNITS), known).otherwise(UNITS[0]), "family": family, kind: exact})

@@ -18,20 +18,29 @@ def era_join(records: DataFrame, lists: DataFrame, year: str, key: str, how: str
     return records.withColumn("era", era_of(F.col(year))).join(lists, ["era", key], how)
 
 
-def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, values: Sequence[str], forward: bool = False) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, values: Sequence[str], forward: bool = False, cut: str = "month", width: float = 1e6) -> DataFrame:
     """left with the values of the last right row at or before its time (forward: the first at or after).
 
-    A union sorted by key and time carries the right rows along, so nothing is compared pairwise.  Of right
+    A union sorted by key and time carries the right rows along, so nothing is compared pairwise.  Keys are cut by ranges of time (by width where it is
+    a number), and each range begins with the row that the ranges before it leave, so a key with most rows is as many tasks as it has ranges.  Of right
     rows with equal keys and times the greatest values win.  Rows of left with a null time get nulls.
     """
     own = [c for c in left.columns]
     packed = F.struct(F.col(right_time).alias("t"), *[F.col(v) for v in values])
-    dim = right.where(F.col(right_time).isNotNull()).groupBy(*keys, right_time).agg(F.max(packed).alias("__r"))
-    rows = left.withColumn("__t", F.col(left_time)).withColumn("__left", F.lit(True))
-    union = rows.unionByName(dim.select(*keys, F.col(right_time).alias("__t"), "__r").withColumn("__left", F.lit(False)), allowMissingColumns=True)
+    number = right.schema[right_time].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")
+    span = F.floor(F.col("__t") / width) if number else F.date_trunc(cut, "__t")
+    dim = right.where(F.col(right_time).isNotNull()).groupBy(*keys, F.col(right_time).alias("__t")).agg(F.max(packed).alias("__r")).withColumn("__span", span)
+    rows = left.withColumn("__t", F.col(left_time)).withColumn("__span", span)
+    # what a range leaves to the ones behind it, also to those without right rows
+    leaves = dim.groupBy(*keys, "__span").agg((F.min if forward else F.max)("__r").alias("__r"))
+    ranges = leaves.unionByName(rows.select(*keys, "__span").distinct(), allowMissingColumns=True).groupBy(*keys, "__span").agg(F.max("__r").alias("__r"))
+    before = Window.partitionBy(*keys).orderBy(F.col("__span").desc() if forward else F.col("__span").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    first = ranges.select(*keys, "__span", F.last("__r", ignorenulls=True).over(before).alias("__r")).where("__r IS NOT NULL")
+    parts = (first.withColumn("__part", F.lit(0)), dim.withColumn("__part", F.lit(1)), rows.withColumn("__part", F.lit(2)))
+    union = parts[2].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[0], allowMissingColumns=True)
     t = F.col("__t").desc() if forward else F.col("__t").asc()
-    w = Window.partitionBy(*keys).orderBy(t, F.col("__left").asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = union.withColumn("__hit", F.when(F.col("__t").isNotNull(), F.last("__r", ignorenulls=True).over(w))).where("__left")
+    w = Window.partitionBy(*keys, "__span").orderBy((F.col("__part") > 0).asc(), t, "__part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = union.withColumn("__hit", F.when(F.col("__t").isNotNull(), F.last("__r", ignorenulls=True).over(w))).where("__part = 2")
     return found.select(*own, F.col("__hit.t").alias(f"{right_time}_hit"), *[F.col(f"__hit.{v}").alias(v) for v in values])
 
 
@@ -77,6 +86,28 @@ def first_contained(text: Column, words: Sequence[tuple[str, str]]) -> Column:
     return F.coalesce(*[F.when(F.contains(F.lower(text), F.lit(w.lower())), F.lit(v)) for w, v in words])
 
 
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+
+
+def contained_names(texts: DataFrame, key: str, text: str, names: DataFrame, name: str, order: str, longest: bool = True) -> DataFrame:
+    """(key, name, columns of names) of the name that each text holds as whole words; texts without any have no row.
+
+    The longest name wins, of equally long ones that with the smallest order; or always the smallest order.  Every run of words up to
+    the length of the longest name is looked up in the table of names, which may have any size: one equi-join, whatever the number of names.
+    """
+    listed = names.withColumn("__w", _words(F.col(name))).where(F.size("__w") > 0).withColumn("__gram", F.array_join("__w", " ")).withColumn("__n", F.size("__w"))
+    rest = [c for c in names.columns]
+    listed = listed.groupBy("__gram", "__n").agg(F.min_by(F.struct(*rest), order).alias("__name"), F.min(order).alias("__order"))
+    most = listed.agg(F.max("__n")).first()[0] or 0
+    lengths = F.sequence(F.lit(1), F.least(F.lit(most), F.size("__w")))
+    grams = F.flatten(F.transform(lengths, lambda k: F.transform(F.sequence(F.lit(1), F.size("__w") - k + 1), lambda i: F.array_join(F.slice("__w", i, k), " "))))
+    held = texts.select(F.col(key), _words(F.col(text)).alias("__w")).where((F.size("__w") > 0) & F.lit(most > 0))
+    met = held.select(key, F.explode(F.array_distinct(grams)).alias("__gram")).join(listed, "__gram")
+    rank = F.struct((F.col("__n") if longest else F.lit(0)), (-F.col("__order")).alias("o"))
+    return met.groupBy(key).agg(F.max_by("__name", rank).alias("__name")).select(key, "__name.*")
+
+
 def under_any(paths: DataFrame, excluded: DataFrame, path: str, prefix: str) -> DataFrame:
     """Rows whose path is an excluded one or lies below it: an equi-join on all of a path's ancestors."""
     parts = F.split(path, "/")

@@ -109,8 +109,8 @@ def summed_area(picture: DataFrame) -> DataFrame:
     return picture.withColumn("v", F.sum("v").over(along)).withColumn("total", F.sum("v").over(down)).select("k", "y", "x", "total")
 
 
-def densest_window(picture: DataFrame, size: DataFrame, height: int = 100, width: int = 700, step: int = 10) -> DataFrame:
-    """(k, top, left, height, width, total) of the window with the greatest sum, the first of equals in reading order; small pictures shrink the window.
+def window_sums(picture: DataFrame, size: DataFrame, height: int, width: int, step: int) -> DataFrame:
+    """(k, top, left, tall, wide, total) of windows at multiples of step that fit into dense pictures; small pictures shrink the window.
 
     Each corner of the summed areas goes to the windows that it bounds, with its sign.
     """
@@ -118,17 +118,108 @@ def densest_window(picture: DataFrame, size: DataFrame, height: int = 100, width
     tall, wide = F.least(F.lit(height), F.col("h")), F.least(F.lit(width), F.col("w"))
     corners = []
     for dy, dx, sign in ((0, 0, 1), (0, 1, -1), (1, 0, -1), (1, 1, 1)):
-        # the corner at (y, x) ends above or at the bottom of the window whose top is this
+        # the place above and left of a window bounds it, or its own last row and column
         top = F.col("y") + 1 - (tall if dy else F.lit(0))
         left = F.col("x") + 1 - (wide if dx else F.lit(0))
         corners.append(F.struct(top.alias("top"), left.alias("left"), (sign * F.col("total")).alias("part")))
     ours = table.select("k", "h", "w", tall.alias("tall"), wide.alias("wide"), F.explode(F.array(*corners)).alias("c")).select("k", "h", "w", "tall", "wide", "c.*")
     ours = ours.where((F.col("top") >= 0) & (F.col("left") >= 0) & (F.col("top") % step == 0) & (F.col("left") % step == 0) & (F.col("top") + F.col("tall") <= F.col("h")) & (F.col("left") + F.col("wide") <= F.col("w")))
-    sums = ours.groupBy("k", "top", "left", "tall", "wide").agg(F.sum("part").alias("total"))
+    return ours.groupBy("k", "top", "left", "tall", "wide").agg(F.sum("part").alias("total"))
+
+
+def densest_window(picture: DataFrame, size: DataFrame, height: int = 100, width: int = 700, step: int = 10) -> DataFrame:
+    """(k, top, left, height, width, total) of the window with the greatest sum, the first of equals in reading order."""
+    sums = window_sums(picture, size, height, width, step)
     best = sums.groupBy("k").agg(F.max(F.struct("total", (-F.col("top")).alias("t"), (-F.col("left")).alias("l"), "tall", "wide")).alias("b"))
     return best.select("k", (-F.col("b.t")).alias("top"), (-F.col("b.l")).alias("left"), F.col("b.tall").alias("height"), F.col("b.wide").alias("width"), "b.total")
 
 
+def dense_parts(mask: DataFrame, size: DataFrame, side: int = 100, step: int = 25, times: float = 2.0) -> DataFrame:
+    """Pixels (k, y, x) of a mask inside square windows that are more than some times as full as the whole picture; windows lie at multiples of step."""
+    marks = mask.select("k", "y", "x").distinct()
+    sums = window_sums(dense(marks.withColumn("v", F.lit(1)), size), size, side, side, step)
+    whole = marks.groupBy("k").agg(F.count("*").alias("all")).join(size, "k")
+    full = sums.join(whole, "k").where(F.col("total") * F.col("height") * F.col("width") > F.lit(times) * F.col("all") * F.col("tall") * F.col("wide")).select("k", "top", "left", "tall", "wide")
+    # a pixel asks the windows that may hold it, each of which is a key
+    back = F.sequence(F.lit(0), F.lit(-(-side // step)))
+    asks = marks.select("k", "y", "x", F.explode(F.transform(back, lambda i: F.floor(F.col("y") / step) * step - i * step)).alias("top"))
+    asks = asks.select("k", "y", "x", "top", F.explode(F.transform(back, lambda i: F.floor(F.col("x") / step) * step - i * step)).alias("left")).where("top >= 0 AND left >= 0")
+    held = asks.join(full, ["k", "top", "left"]).where((F.col("y") < F.col("top") + F.col("tall")) & (F.col("x") < F.col("left") + F.col("wide")))
+    return held.select("k", "y", "x").distinct()
+
+
+def without_grid(pixels: DataFrame, rows: Sequence[int], columns: Sequence[int], thickness: int = 5) -> DataFrame:
+    """Pixels off the given rows and columns, which are as thick as said."""
+    r = thickness // 2
+    on = F.lit(False)
+    for name, places in (("y", rows), ("x", columns)):
+        for place in places:
+            on = on | F.col(name).between(place - r, place + r)
+    return pixels.where(~on)
+
+
+def _line(column: str) -> Window:
+    return Window.partitionBy("k", {"x": "y", "y": "x"}[column]).orderBy(column)
+
+
+def _stretched(picture: DataFrame, radius: int, f) -> DataFrame:
+    for column in ("x", "y"):
+        picture = picture.withColumn("v", f("v").over(_line(column).rowsBetween(-radius, radius)))
+    return picture
+
+
+def grown(picture: DataFrame, radius: int = 1) -> DataFrame:
+    """Dense pictures with the greatest value of each place's square."""
+    return _stretched(picture, radius, F.max)
+
+
+def shrunk(picture: DataFrame, radius: int = 1) -> DataFrame:
+    """Dense pictures with the least value of each place's square."""
+    return _stretched(picture, radius, F.min)
+
+
+def median_blurred(picture: DataFrame, radius: int = 2) -> DataFrame:
+    """Dense pictures with the median of each place's square; beyond the border its nearest pixel counts."""
+
+    def around(value: str, column: str) -> Column:
+        whole = _line(column).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        before = [F.coalesce(F.lag(value, i).over(_line(column)), F.first(value).over(whole)) for i in range(radius, 0, -1)]
+        after = [F.coalesce(F.lead(value, i).over(_line(column)), F.last(value).over(whole)) for i in range(1, radius + 1)]
+        return F.array(*before, F.col(value), *after)
+
+    square = picture.withColumn("line", around("v", "x")).withColumn("square", F.flatten(around("line", "y")))
+    return square.select("k", "y", "x", F.element_at(F.sort_array("square"), (2 * radius + 1) ** 2 // 2 + 1).alias("v"))
+
+
+def cleaned_marks(picture: DataFrame, above: int = 127) -> DataFrame:
+    """Marks of dense pictures after a median of five by five, without what is narrower than three: 255 or 0."""
+    opened = grown(shrunk(median_blurred(picture, 2), 1), 1)
+    return opened.withColumn("v", F.when(F.col("v") > above, 255).otherwise(0))
+
+
+def turned(pixels: DataFrame, size: DataFrame, flip: Column, half_turn: Column) -> DataFrame:
+    """Pixels of the pictures for which flip holds from right to left, and then of those for which half_turn holds upside down and from right to left; both are columns over k."""
+    rows = pixels.join(size, "k")
+    mirrored = F.when(flip, F.col("width") - 1 - F.col("x")).otherwise(F.col("x"))
+    x = F.when(half_turn, F.col("width") - 1 - mirrored).otherwise(mirrored)
+    return rows.select("k", F.when(half_turn, F.col("height") - 1 - F.col("y")).otherwise(F.col("y")).alias("y"), x.alias("x"), "v")
+
+
+def bottom_strip(pixels: DataFrame, size: DataFrame, rows: int = 100, black: int = 0) -> DataFrame:
+    """Pixels of the last rows of each picture, counted from the strip's top; lower pictures have none; its first and last rows may be made black, which leaves their pixels out."""
+    first = F.col("height") - rows
+    strip = pixels.join(size.where(F.col("height") >= rows), "k").where(F.col("y") >= first).select("k", (F.col("y") - first).alias("y"), "x", "v")
+    return strip.where(F.col("y").between(black, rows - 1 - black)) if black else strip
+
+
+def foreground(counts: DataFrame) -> DataFrame:
+    """(k, colour, pixels) of the rarer colour of pictures in black and white, black on a tie, from counts of levels; others have no row."""
+    of = {name: F.coalesce(F.sum(F.when(F.col("level") == v, F.col("n"))), F.lit(0)) for name, v in (("black", 0), ("white", 255))}
+    both = counts.groupBy("k").agg(*[c.alias(n) for n, c in of.items()], F.sum("n").alias("all")).where(F.col("black") + F.col("white") == F.col("all"))
+    rare = F.col("white") < F.col("black")
+    return both.select("k", F.when(rare, 255).otherwise(0).alias("colour"), F.when(rare, F.col("white")).otherwise(F.col("black")).alias("pixels"))
+
+
 _UNIT = 1024
 
 
@@ -218,3 +309,39 @@ def laplacian_noise(pixels: DataFrame, size: DataFrame) -> DataFrame:
     inner = spread.join(size, "k").where((F.col("y") > 0) & (F.col("x") > 0) & (F.col("y") < F.col("height") - 1) & (F.col("x") < F.col("width") - 1))
     found = size.where("height > 2 AND width > 2").join(inner.groupBy("k").agg(F.sum(F.abs("d")).alias("response")), "k", "left").withColumn("response", F.coalesce("response", F.lit(0)))
     return found.select("k", "response", (F.sqrt(F.lit(math.pi / 2)) * F.col("response") / (6 * (F.col("width") - 2) * (F.col("height") - 2))).alias("sigma"))
+
+
+def equalised(picture: DataFrame, size: DataFrame, tiles: int = 8, clip: float = 2.0) -> DataFrame:
+    """Dense pictures of levels 0 to 255 with contrast-limited adaptive equalisation (Zuiderveld, 1994), each pixel by the four nearest tiles' clipped distributions.
+
+    Pictures are mirrored up to whole tiles.  Tiles count their levels; the counts above a limit are shared out over all levels; running sums give
+    each tile a table of 256 shades, which its pixels and those of its neighbours look up.
+    """
+    tall, wide = F.ceil(F.col("height") / tiles).cast("int"), F.ceil(F.col("width") / tiles).cast("int")
+    sized = picture.join(size.withColumns({"th": tall, "tw": wide}), "k")
+
+    def mirrored(at: str, length: str, tile: str) -> Column:
+        far = 2 * F.col(length) - 1 - F.col(at)
+        return F.when((far >= F.col(length)) & (far < F.col(tile) * tiles), F.array(F.col(at), far)).otherwise(F.array(F.col(at)))
+
+    every = sized.select("k", "th", "tw", "x", "width", "v", F.explode(mirrored("y", "height", "th")).alias("y")).select("k", "th", "tw", "v", "y", F.explode(mirrored("x", "width", "tw")).alias("x"))
+    counts = every.groupBy("k", "th", "tw", F.floor(F.col("y") / F.col("th")).cast("int").alias("ty"), F.floor(F.col("x") / F.col("tw")).cast("int").alias("tx"), F.col("v").cast("int").alias("level")).agg(F.count("*").alias("n"))
+    most = F.greatest(F.floor(clip * F.col("th") * F.col("tw") / 256), F.lit(1))
+    shared = Window.partitionBy("k", "ty", "tx")
+    counts = counts.withColumns({"over": F.sum(F.greatest(F.col("n") - most, F.lit(0))).over(shared), "n": F.least("n", most)})
+    found = counts.groupBy("k", "ty", "tx", "th", "tw", "over").agg(F.map_from_entries(F.collect_list(F.struct("level", "n"))).alias("n"))
+    running = F.aggregate(F.sequence(F.lit(0), F.lit(255)), F.array().cast("array<long>"), lambda sums, i: F.concat(sums, F.array(F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0).cast("long")) + F.coalesce(F.try_element_at("n", i), F.lit(0)))))
+    shade = F.transform(running, lambda c, i: F.least(F.rint((c + (i + 1) * F.col("over") / 256) * 255 / (F.col("th") * F.col("tw"))), F.lit(255.0)))
+    tables = found.select("k", "ty", "tx", shade.alias("shade"))
+
+    def around(at: str, tile: str) -> Column:
+        """The two tiles around a place, by their middles, with their shares."""
+        middle = (F.col(at) + 0.5) / F.col(tile) - 0.5
+        first = F.floor(middle)
+        second = middle - first
+        return F.array(*[F.struct(F.least(F.greatest(first + i, F.lit(0)), F.lit(tiles - 1)).cast("int").alias("t"), (second if i else 1 - second).alias("w")) for i in (0, 1)])
+
+    asks = sized.select("k", "y", "x", "v", F.explode(around("y", "th")).alias("r"), around("x", "tw").alias("cs")).select("k", "y", "x", "v", "r", F.explode("cs").alias("c"))
+    asks = asks.select("k", "y", "x", "v", F.col("r.t").alias("ty"), F.col("c.t").alias("tx"), (F.col("r.w") * F.col("c.w")).alias("w"))
+    told = asks.join(tables, ["k", "ty", "tx"]).groupBy("k", "y", "x").agg(F.sum(F.col("w") * F.col("shade")[F.col("v").cast("int")]).alias("s"))
+    return told.select("k", "y", "x", F.rint(F.round("s", 9)).cast("int").alias("v"))

@@ -56,21 +56,24 @@ def exact_quantiles(rows: DataFrame, value: str | Column, fractions: Sequence[fl
         open_ = ranges.where(wide)
         if open_.isEmpty():
             break
-        # [low, high] is certain to hold the rank; [lo, hi] inside it is tried
+        # [low, high] is certain to hold the rank; lo and hi inside it are tried, and so many equal values may lie at either that they count apart
         v = F.col("__v")
         state = [*keys, "fraction", "at", "rank", "below", "inside", "low", "high", "lo", "hi"]
-        inner = v.between(F.col("lo"), F.col("hi"))
+        zones = {"left": (v >= F.col("low")) & (v < F.col("lo")), "at_lo": v == F.col("lo"), "mid": (v > F.col("lo")) & (v < F.col("hi")), "at_hi": (v == F.col("hi")) & (F.col("lo") < F.col("hi")), "right": (v > F.col("hi")) & (v <= F.col("high"))}
         tried = joined(open_).groupBy(*state).agg(
-            F.count_if((v >= F.col("low")) & (v < F.col("lo"))).alias("left"), F.count_if(inner).alias("middle"), _sketch(F.when(inner, v)).alias("sketch"),
-            F.max(F.when((v >= F.col("low")) & (v < F.col("lo")), v)).alias("next_left"), F.min(F.when((v <= F.col("high")) & (v > F.col("hi")), v)).alias("next_right"))
-        first, last = F.col("below") + F.col("left"), F.col("below") + F.col("left") + F.col("middle")
-        is_left, is_right = F.col("rank") < first, F.col("rank") >= last
-        tried = tried.withColumns({"new_below": F.when(is_left, F.col("below")).when(is_right, last).otherwise(first), "new_inside": F.when(is_left, F.col("left")).when(is_right, F.col("inside") - F.col("left") - F.col("middle")).otherwise(F.col("middle")),
-                                   "new_low": F.when(is_left, F.col("low")).when(is_right, F.col("next_right")).otherwise(F.col("lo")), "new_high": F.when(is_left, F.col("next_left")).when(is_right, F.col("high")).otherwise(F.col("hi"))})
-        near = _narrowed(F.col("sketch"), F.col("rank") - F.col("new_below"), F.col("new_inside"))
-        missed = is_left | is_right
-        done = tried.select(*keys, "fraction", "at", "rank", F.col("new_below").alias("below"), F.col("new_inside").alias("inside"), F.col("new_low").alias("low"), F.col("new_high").alias("high"),
-                            F.when(missed, F.col("new_low")).otherwise(near[0]).alias("lo"), F.when(missed, F.col("new_high")).otherwise(near[1]).alias("hi"))
+            *[F.count_if(z).alias(name) for name, z in zones.items()], _sketch(F.when(zones["mid"], v)).alias("sketch"),
+            *[f(F.when(zones[name], v)).alias(f"{end}_{name}") for name in ("left", "mid", "right") for end, f in (("min", F.min), ("max", F.max))])
+        # the zone that holds the rank becomes the range
+        before, new = F.col("below"), {"below": F.lit(None), "inside": F.lit(None), "low": F.lit(None), "high": F.lit(None)}
+        ends = {"left": ("min_left", "max_left"), "at_lo": ("lo", "lo"), "mid": ("min_mid", "max_mid"), "at_hi": ("hi", "hi"), "right": ("min_right", "max_right")}
+        for name, (low, high) in ends.items():
+            here = (F.col("rank") >= before) & (F.col("rank") < before + F.col(name))
+            for target, value in (("below", before), ("inside", F.col(name)), ("low", F.col(low)), ("high", F.col(high))):
+                new[target] = F.when(here, value).otherwise(new[target])
+            before = before + F.col(name)
+        done = tried.select(*keys, "fraction", "at", "rank", *[c.alias(n) for n, c in new.items()], "sketch", F.when((F.col("rank") >= F.col("below") + F.col("left") + F.col("at_lo")) & (F.col("rank") < F.col("below") + F.col("left") + F.col("at_lo") + F.col("mid")), True).otherwise(False).alias("sketched"))
+        near = _narrowed(F.col("sketch"), F.col("rank") - F.col("below"), F.col("inside"))
+        done = done.select(*keys, "fraction", "at", "rank", "below", "inside", "low", "high", F.when(F.col("sketched"), near[0]).otherwise(F.col("low")).alias("lo"), F.when(F.col("sketched"), near[1]).otherwise(F.col("high")).alias("hi"))
         ranges = stored(ranges.where(~wide).unionByName(done), "ranges")
     else:
         raise RuntimeError("ranges did not narrow")

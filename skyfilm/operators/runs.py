@@ -44,14 +44,17 @@ def touching(runs: DataFrame, corners: bool = True) -> DataFrame:
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over edges (k, u, v) with u > v."""
+    """One large-star and one small-star step over edges (k, u, v) with u > v.
+
+    A node's neighbours, at most the runs of its picture, are sorted and spill; each step reads its edges once.
+    """
+    own = Window.partitionBy("k", "u")
     both = edges.unionByName(edges.select("k", F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("k", "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = both.where("v > u").join(least, ["k", "u"]).select("k", F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = large.groupBy("k", "u").agg(F.min("v").alias("m"))
-    small = large.join(least, ["k", "u"])
-    moved = small.where("v != m").select("k", F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("k", "u", F.col("m").alias("v"))).distinct()
+    large = both.withColumn("m", F.least(F.min("v").over(own), F.col("u"))).where("v > u").select("k", F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    small = large.withColumn("m", F.min("v").over(own))
+    # a neighbour that is not the least one hangs on it; the node itself does so once
+    moved = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return small.select("k", moved.alias("u"), F.col("m").alias("v")).distinct()
 
 
 def smallest_reached(nodes: DataFrame, edges: DataFrame) -> DataFrame:

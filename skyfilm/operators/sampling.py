@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,14 +40,21 @@ def numbers_first(column: str, last: str = "Blank") -> list[Column]:
     return [(F.col(column) == last).asc(), number.asc_nulls_last(), F.col(column).asc()]
 
 
+#: groups that one task may fold
+MOST_GROUPS = 20_000
+
+
 def greedy_group_split(df: DataFrame, group: str, shares: Sequence[tuple[str, float]] = (("train", 0.7), ("validation", 0.2), ("test", 0.1))) -> DataFrame:
     """df with split: whole groups, largest first, to the split that lacks most of its rows.
 
-    Only the group sizes, one row for each group, are folded in one task; the rows then meet their group's split.
+    Only the group sizes, one row for each group, are folded in one task, as each choice hangs on all before it; the rows then meet
+    their group's split.  More than MOST_GROUPS groups are an error: hash_split over the group splits those.
     A split that stays empty takes the smallest group of the one with most groups.
     """
     names = [n for n, _ in shares]
     sizes = df.groupBy(group).agg(F.count("*").alias("n"))
+    if sizes.limit(MOST_GROUPS + 1).count() > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups")
     items = sizes.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), F.col(group).alias("g")))).alias("items"), F.sum("n").alias("total"))
     want = F.array(*[F.lit(float(s)) * F.col("total") for _, s in shares])
     empty = F.array().cast(f"array<struct<g:{dict(df.dtypes)[group]},s:int>>")
@@ -68,3 +75,16 @@ def greedy_group_split(df: DataFrame, group: str, shares: Sequence[tuple[str, fl
     fixed = F.when((hungry >= 0) & (F.array_max("counts") > 1), F.transform("out", lambda o, i: F.struct(o["g"].alias("g"), F.when(i == moved, hungry).otherwise(o["s"]).alias("s")))).otherwise(F.col("out"))
     flat = plan.select(F.explode(fixed).alias("o")).select(F.col("o.g").alias(group), F.element_at(F.array(*[F.lit(n) for n in names]), F.col("o.s") + 1).alias("split"))
     return df.join(flat, group)
+
+
+def write_manifests(rows: DataFrame, split: str, order: Sequence[str], path: str) -> None:
+    """A folder of files for each split, each file sorted, and all rows together under overall, in the order of splits and rows."""
+    ordered = rows.repartitionByRange(split, *order).sortWithinPartitions(split, *order)
+    ordered.write.mode("overwrite").partitionBy(split).parquet(f"{path}/splits")
+    ordered.write.mode("overwrite").parquet(f"{path}/overall")
+
+
+def split_sample(boxes: DataFrame, split: str, key: str, each: int, seed: int = 0) -> DataFrame:
+    """The same number of rows of each split, first in the order of a hash; Spark keeps no more of a split than those before it shuffles."""
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return boxes.withColumn("__n", F.row_number().over(Window.partitionBy(split).orderBy(order, key))).where(F.col("__n") <= each).drop("__n")

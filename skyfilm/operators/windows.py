@@ -97,11 +97,11 @@ def accepted(points: Column, jump: float, after: float) -> Column:
     return F.aggregate(rest, start, lambda kept, p: F.when((F.abs(p["y"] - F.try_element_at(kept, F.lit(-1))["y"]) > jump) & (p["x"] > after), kept).otherwise(F.concat(kept, F.array(p))))
 
 
-def adjacent_mean(values: Column, n: int) -> Column:
-    """Mean difference of the first n neighbours."""
-    first = F.slice(values, 1, n)
-    gaps = F.zip_with(F.slice(first, F.lit(2), F.greatest(F.size(first) - 1, F.lit(0))), F.slice(first, F.lit(1), F.greatest(F.size(first) - 1, F.lit(0))), lambda b, a: b - a)
-    return F.when(F.size(gaps) > 0, F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g) / F.size(gaps))
+def adjacent_mean(rows: DataFrame, key: str, value: str, n: int) -> DataFrame:
+    """(key, mean): mean difference between neighbours among each key's n least values; Spark keeps no more of a key than those before it shuffles."""
+    first = rows.where(F.col(value).isNotNull()).select(key, value).withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(value))).where(F.col("__n") <= n)
+    ends = first.groupBy(key).agg(F.max(value).alias("b"), F.min(value).alias("a"), F.count("*").alias("c"))
+    return ends.select(key, ((F.col("b") - F.col("a")) / F.nullif(F.col("c") - 1, F.lit(0))).alias("mean"))
 
 
 def best_cluster(df: DataFrame, group: str, cluster: str, score: Sequence[Column]) -> DataFrame:

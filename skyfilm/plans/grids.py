@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import grids as R
-from ..functions import kernels as K
 from .registry import query, table
 
 # peaks of a roll: places derived from a customer's orders
@@ -90,23 +87,6 @@ def _(spark, sf):
     return read.groupBy("user_id", "field").agg(F.sum_distinct("weight").cast("long").alias("digit"))
 
 
-@query("im14_picture_grid")
-def _(spark, sf):
-    """Lines of every picture's own grid, from its pixels to the map of frequencies and depths."""
-    from .science import _images, pictures
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for k, img in _images(pdf):
-                dark = 255 - img
-                rows.append((k, K.grid_peaks(dark, 0).tolist(), K.exactly(1 - K.unit_range(np.median(dark, axis=0)), len(R.FREQUENCIES)).tolist(), K.grid_peaks(dark, 1).tolist()))
-            yield pd.DataFrame(rows, columns=["k", "found", "adjusted", "across"])
-
-    lines = pictures(spark, sf).mapInPandas(run, "k long, found array<int>, adjusted array<int>, across array<int>")
-    return lines.select("k", R.frequency_lines(F.col("found"), F.col("adjusted")).alias("frequencies"), R.depth_lines(F.col("across")).alias("depths"))
-
-
 # three readings of a line item: a box, sometimes missing or without area
 _SEQUENCE, _FAST, _FALLBACK = "l_linenumber >= 4", "l_partkey % 3 <> 0", "l_suppkey % 2 = 0"
 _READ_BOX = "CAST(l_partkey % 40 AS INT) AS x1, CAST(l_suppkey % 30 AS INT) AS y1, CAST(l_partkey % 40 + l_quantity - 5 AS INT) AS x2, CAST(l_suppkey % 30 + l_linenumber AS INT) AS y2"
@@ -126,20 +106,6 @@ def _(spark, sf):
     return b.select("*", chosen.alias("roi")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "roi.source", "roi.box.x1", "roi.reason")
 
 
-@query("im32_prepared")
-def _(spark, sf):
-    """Every picture's strip in two colours, with its level, edge rows and share, or why there is none."""
-    from ..functions import enhance as E
-    from .science import _images, pictures
-
-    def run(batches):
-        for pdf in batches:
-            done = [(k, E.prepared(img)[1]) for k, img in _images(pdf)]
-            yield pd.DataFrame([(k, d["status"], d["level"], d["edge_rows"], d["share"]) for k, d in done], columns=["k", "status", "level", "edge_rows", "share"])
-
-    return pictures(spark, sf).mapInPandas(run, "k long, status string, level double, edge_rows array<int>, share double")
-
-
 @query("dt10_sample_then_drop", "WITH s AS (SELECT doc_id FROM documents ORDER BY md5(concat('0:', cast(doc_id AS VARCHAR))) LIMIT 200) SELECT doc_id FROM s WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL)")
 def _(spark, sf):
     """200 documents to label, less those that have a label: fewer than asked for, as the sample is drawn first."""

@@ -8,6 +8,7 @@ from ..operators import layers as L
 from ..operators import peaks as PK
 from ..operators import pixels as PX
 from ..operators import runs as R
+from ..operators import strips as ST
 from .registry import query, table
 
 # a picture of each supplier: quantity against part number, brighter where more lines meet
@@ -28,12 +29,13 @@ def rolls(spark, sf):
     return p.withColumn("k", roll), PX.sizes(p).withColumn("k", roll)
 
 
-_PARTS = f"""{_PX}, r AS (SELECT k, y, min(x) AS a, max(x) AS b, y * 4294967296 + min(x) AS id FROM (SELECT *, x - row_number() OVER (PARTITION BY k, y ORDER BY x) AS g FROM px) GROUP BY k, y, g),
+_LABELS = """r AS (SELECT k, y, min(x) AS a, max(x) AS b, y * 4294967296 + min(x) AS id FROM (SELECT *, x - row_number() OVER (PARTITION BY k, y ORDER BY x) AS g FROM px) GROUP BY k, y, g),
     e AS (SELECT p.k, p.id AS u, q.id AS v FROM r p JOIN r q ON p.k = q.k AND abs(p.y - q.y) = 1 AND p.a <= q.b + 1 AND q.a <= p.b + 1),
     reach(k, n, m) AS (SELECT k, id, id FROM r UNION SELECT z.k, n, v FROM reach z JOIN e ON e.k = z.k AND e.u = m),
     lab AS (SELECT k, n, min(m) AS label FROM reach GROUP BY 1, 2),
     parts AS (SELECT r.k, label, sum(b - a + 1)::BIGINT AS area, min(a) AS "left", max(b) AS "right", min(y) AS top, max(y) AS bottom, sum((b - a + 1) * (a + b) // 2)::BIGINT AS sum_x, sum((b - a + 1) * y)::BIGINT AS sum_y
               FROM r JOIN lab ON lab.k = r.k AND n = id GROUP BY 1, 2)"""
+_PARTS = f"{_PX}, {_LABELS}"
 
 
 @query("im04_components", f"WITH RECURSIVE {_PARTS} SELECT k, label, area, \"left\", \"right\", top, bottom FROM parts WHERE area > 2 AND area < 60")
@@ -151,9 +153,9 @@ def _peaks_sql(profile: str, distance: int) -> str:
 _PROFILE = f"{_MEDIANS}, prof AS (SELECT k, i, CASE WHEN hi = lo THEN 1.0 ELSE 1.0::DOUBLE - (m - lo) / (hi - lo) END AS v FROM (SELECT *, min(m) OVER (PARTITION BY k) AS lo, max(m) OVER (PARTITION BY k) AS hi FROM med))"
 
 
-def _profiles(spark, sf):
+def _profiles(spark, sf, axis="x"):
     """Dark lines of the rolls' stacks stand high."""
-    m = PX.line_medians(_stack(spark, sf), "x")
+    m = PX.line_medians(_stack(spark, sf), axis)
     a = m.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("p")).select("k", F.transform("p", lambda s: s["m"]).alias("p"))
     return a.select("k", F.transform(PK.unit_range(F.col("p")), lambda v: 1 - v).alias("p"))
 
@@ -250,3 +252,177 @@ def _(spark, sf):
 def _(spark, sf):
     v = table(spark, sf, "lineitem").selectExpr("l_suppkey AS k", "CAST(l_quantity * l_linenumber AS DOUBLE) AS v")
     return L.two_layers(L.within_mads(v, ["k"], "v", 2.0), ["k"], "v").withColumn("cost", F.round("cost", 9))
+
+
+_DENSE = f"{_PX}, grid AS (SELECT k, y, unnest(range(width))::INT AS x, height, width FROM (SELECT *, unnest(range(height))::INT AS y FROM size)), dense AS (SELECT g.k, g.y, g.x, height, width, coalesce(v, 0) AS v FROM grid g LEFT JOIN px ON px.k = g.k AND px.y = g.y AND px.x = g.x)"
+
+
+_AROUND = "s.k = d.k AND s.y = d.y + a.o AND s.x = d.x + b.o GROUP BY ALL"
+
+
+@query("im08_cleaned_marks", f"""WITH {_STACK}, o AS (SELECT unnest(range(-2, 3))::INT AS o), i AS (SELECT unnest(range(-1, 2))::INT AS o), z AS (SELECT k, max(y) AS my, max(x) AS mx FROM stack GROUP BY 1),
+    blur AS (SELECT d.k, d.y, d.x, quantile_disc(s.v, 0.5) AS v FROM stack d JOIN z ON z.k = d.k, o a, o b, stack s WHERE s.k = d.k AND s.y = least(greatest(d.y + a.o, 0), my) AND s.x = least(greatest(d.x + b.o, 0), mx) GROUP BY ALL),
+    low AS (SELECT d.k, d.y, d.x, min(s.v) AS v FROM blur d, i a, i b, blur s WHERE {_AROUND}), high AS (SELECT d.k, d.y, d.x, max(s.v) AS v FROM low d, i a, i b, low s WHERE {_AROUND})
+    SELECT k, y, x, CAST(CASE WHEN v > 1500 THEN 255 ELSE 0 END AS INT) AS v FROM high""")
+def _(spark, sf):
+    return PX.cleaned_marks(_stack(spark, sf), 1500)
+
+
+@query("im10_turned", f"""WITH {_PX}, m AS (SELECT k, y, x, v, height, width, CASE WHEN k % 3 = 0 THEN width - 1 - x ELSE x END AS fx FROM px JOIN size USING (k))
+    SELECT k, CAST(CASE WHEN k % 2 = 0 THEN height - 1 - y ELSE y END AS INT) AS y, CAST(CASE WHEN k % 2 = 0 THEN width - 1 - fx ELSE fx END AS INT) AS x, v FROM m""")
+def _(spark, sf):
+    p = pixels(spark, sf)
+    return PX.turned(p, PX.sizes(p), F.col("k") % 3 == 0, F.col("k") % 2 == 0)
+
+
+_MASK = f"{_PX}, mask AS (SELECT k, y, x FROM px WHERE v >= 120 AND NOT (y BETWEEN 9 AND 11) AND NOT (x BETWEEN 29 AND 31))"
+
+
+@query("im20_trace", f"""WITH {_MASK}, n AS (SELECT *, unnest(range(0, height - least(10, height) + 1, 5)) AS top FROM size), w AS (SELECT *, unnest(range(0, width - least(10, width) + 1, 5)) AS "left" FROM n),
+    s AS (SELECT w.k, top, "left", height, width, count(m.y) AS total FROM w LEFT JOIN mask m ON m.k = w.k AND m.y >= top AND m.y < top + 10 AND m.x >= "left" AND m.x < "left" + 10 GROUP BY ALL),
+    f AS (SELECT s.k, top, "left" FROM s JOIN (SELECT k, count(*) AS a FROM mask GROUP BY 1) USING (k) WHERE total * height * width > 1.5 * a * least(10, height) * least(10, width))
+    SELECT DISTINCT m.k, y, x FROM mask m JOIN f ON f.k = m.k AND y >= top AND y < top + 10 AND x >= "left" AND x < "left" + 10""")
+def _(spark, sf):
+    """The echo trace: bright pixels off the grid lines, in parts that are denser than the picture."""
+    p = pixels(spark, sf)
+    return PX.dense_parts(PX.without_grid(p.where("v >= 120"), [10], [30], 3), PX.sizes(p), 10, 5, 1.5)
+
+
+@query("im31_bottom_strip", f"WITH {_PX} SELECT k, CAST(y - height + 20 AS INT) AS y, x, v FROM px JOIN size USING (k) WHERE height >= 20 AND y - height + 20 BETWEEN 2 AND 17")
+def _(spark, sf):
+    p = pixels(spark, sf)
+    return PX.bottom_strip(p, PX.sizes(p), 20, 2)
+
+
+@query("im34_foreground", f"""WITH {_PX}, t AS (SELECT k, height * width AS a, (SELECT count(*) FROM px WHERE px.k = size.k AND v >= 40 * (1 + size.k % 2)) AS w FROM size)
+    SELECT k, CASE WHEN w < a - w THEN 255 ELSE 0 END AS colour, CAST(least(w, a - w) AS BIGINT) AS pixels FROM t""")
+def _(spark, sf):
+    p = pixels(spark, sf)
+    binary = p.where(F.col("v") >= 40 * (1 + F.col("k") % 2)).withColumn("v", F.lit(255))
+    return PX.foreground(PX.level_counts(binary, PX.sizes(p)))
+
+
+@query("dt21_peak_places", f"WITH {_peaks_sql(_PROFILE, 5)} SELECT CAST(q.at_ AS INT) AS at_, count(*) AS n, round(avg(q.p), 9) AS mean FROM kept WHERE q.p >= 0.05 GROUP BY 1")
+def _(spark, sf):
+    """Where the rolls' grid lines fall, from which usual places are taken."""
+    found = _profiles(spark, sf).select("k", F.explode(PK.peaks(F.col("p"), 5)).alias("q")).where("q.prominence >= 0.05")
+    return found.groupBy(F.col("q.at").alias("at_")).agg(F.count("*").alias("n"), F.round(F.avg("q.prominence"), 9).alias("mean"))
+
+
+# margins as wide as what is left of these small pictures
+_SMALL = {"widest": 34, "window": (4, 20, 2), "least": (5, 3)}
+
+
+def _margin_window() -> str:
+    """The fullest window of margins that are not at the left."""
+    tall, wide, step = _SMALL["window"]
+    return f"""mw AS (SELECT *, least({tall}, h) AS tall, least({wide}, w) AS wide FROM mg WHERE side <> 'left' AND h > 0 AND w > 0), mt AS (SELECT *, unnest(range(0, h - tall + 1, {step})) AS t FROM mw), ml AS (SELECT *, unnest(range(0, w - wide + 1, {step})) AS l FROM mt),
+    ms AS (SELECT ml.k, t, l, tall, wide, coalesce(sum(v), 0) AS total FROM ml LEFT JOIN mp ON mp.k = ml.k AND my >= t AND my < t + tall AND mx >= l AND mx < l + wide GROUP BY ALL),
+    mb AS (SELECT k, t, t + tall AS b, l, l + wide AS r FROM ms WHERE total > 0 QUALIFY row_number() OVER (PARTITION BY k ORDER BY total DESC, t, l) = 1)"""
+
+
+@query("im11_trimmed_margins", f"""WITH {_AREA}, sd AS (SELECT a.k, height, width, "left", "right", top, bottom, CASE WHEN ok THEN CASE WHEN la >= greatest(ra, ta, ba) THEN 'left' WHEN ra >= greatest(ta, ba) THEN 'right' WHEN ta >= ba THEN 'top' ELSE 'bottom' END END AS side
+      FROM (SELECT *, "left" * height AS la, (width - "right") * height AS ra, top * width AS ta, (height - bottom) * width AS ba FROM area JOIN size USING (k)) a),
+    mg AS (SELECT k, side, CASE side WHEN 'bottom' THEN bottom ELSE 0 END AS y0, CASE side WHEN 'right' THEN "right" ELSE 0 END AS x0, CASE side WHEN 'top' THEN top WHEN 'bottom' THEN height - bottom ELSE height END AS h, CASE side WHEN 'left' THEN "left" WHEN 'right' THEN width - "right" ELSE width END AS w FROM sd WHERE side IS NOT NULL),
+    mp AS (SELECT k, y - y0 AS my, x - x0 AS mx, v FROM px JOIN mg USING (k) WHERE y >= y0 AND y < y0 + h AND x >= x0 AND x < x0 + w),
+    lp AS (SELECT mg.k, i.i, coalesce(sum(v), 0) AS s FROM mg JOIN (SELECT unnest(range(50)) AS i) i ON i.i < h LEFT JOIN mp ON mp.k = mg.k AND my = i.i WHERE side = 'left' AND w > 0 GROUP BY 1, 2),
+    le AS (SELECT *, min(s) OVER (PARTITION BY k) AS lo, max(s) OVER (PARTITION BY k) AS hi FROM lp),
+    lt AS (SELECT k, o, min(i) AS t, max(i) AS b FROM le, (SELECT unnest(range(0, 100, 10)) AS o) WHERE hi > lo AND (s - lo) * 100 > o * (hi - lo) GROUP BY 1, 2),
+    lb AS (SELECT k, t, b + 1 AS b, 0 AS l, w AS r FROM lt JOIN mg USING (k) WHERE b - t <= {_SMALL['widest']} QUALIFY row_number() OVER (PARTITION BY k ORDER BY o) = 1), {_margin_window()},
+    al AS (SELECT sd.k, sd.side, h, w, t, b, l, r, CASE WHEN sd.side IS NULL THEN 'no picture found' WHEN CASE WHEN sd.side = 'left' THEN w < {_SMALL['least'][0]} ELSE h < {_SMALL['least'][1]} END THEN 'margin too small' WHEN t IS NULL THEN 'margin without marks' END AS details
+           FROM sd LEFT JOIN mg USING (k) LEFT JOIN (SELECT * FROM lb UNION ALL SELECT * FROM mb) z ON z.k = sd.k)
+    SELECT k, side, CASE WHEN details IS NULL THEN t END::INT AS low, CASE WHEN details IS NULL THEN b END::INT AS high, CASE WHEN details IS NULL THEN l END::INT AS "left", CASE WHEN details IS NULL THEN r END::INT AS "right",
+           CASE WHEN side IS NULL THEN 'loss' WHEN details IS NOT NULL THEN 'outlier' ELSE 'label' END AS class, details FROM al""")
+def _(spark, sf):
+    """The label of every scan, or why it has none: exposed area, largest margin, trimmed margin, size limits."""
+    p = pixels(spark, sf)
+    size = PX.sizes(p)
+    return ST.trimmed_margins(p, size, PX.exposed_area(p, size, 4), **_SMALL)
+
+
+_STRIP = {"rows": 40, "line": 16, "padding": 1, "part": (1, 60)}
+_MASKED = f"""{_PX.replace("px AS", "all_px AS").replace("FROM px", "FROM all_px")}, own AS (SELECT k, {_STRIP['rows']} AS height, width FROM size WHERE height >= {_STRIP['rows']}),
+    st AS (SELECT k, y - size.height + {_STRIP['rows']} AS y, x, v FROM all_px JOIN size USING (k) WHERE size.height >= {_STRIP['rows']} AND y >= size.height - {_STRIP['rows']}),
+    sv AS (SELECT k, y, x, CAST(floor(v * 255 / max(v) OVER (PARTITION BY k)) AS INT) AS v FROM st),
+    gr AS (SELECT k, y, unnest(range(width))::INT AS x FROM (SELECT *, unnest(range(height))::INT AS y FROM own)), dn AS (SELECT gr.k, gr.y, gr.x, coalesce(v, 0) AS v FROM gr LEFT JOIN sv ON sv.k = gr.k AND sv.y = gr.y AND sv.x = gr.x),
+    h AS (SELECT k, v AS level, count(*) AS n FROM dn GROUP BY 1, 2), hc AS (SELECT *, sum(n) OVER w AS n0, sum(n * level) OVER w AS s0, sum(n) OVER u AS an, sum(n * level) OVER u AS s_ FROM h WINDOW w AS (PARTITION BY k ORDER BY level ROWS UNBOUNDED PRECEDING), u AS (PARTITION BY k)),
+    ot AS (SELECT k, CAST(floor(-max({{'s': n0::DOUBLE * (an - n0)::DOUBLE * (s0 / n0::DOUBLE - (s_ - s0) / (an - n0)::DOUBLE) * (s0 / n0::DOUBLE - (s_ - s0) / (an - n0)::DOUBLE), 'l': -level}}).l * 0.75) AS INT) AS level FROM hc WHERE n0 < an GROUP BY 1),
+    br AS (SELECT dn.k, y, x, v > level AS bright FROM dn JOIN ot USING (k)), ra AS (SELECT k, 2 * count(*) FILTER (bright) < count(*) AS rare FROM br GROUP BY 1), mk AS (SELECT k, y, x FROM br JOIN ra USING (k) WHERE bright = rare),
+    vt AS (SELECT k, y AS o, count(*) AS n FROM mk GROUP BY 1, 2 HAVING count(*) >= {_STRIP['line']}),
+    ln AS (SELECT * FROM vt a WHERE n > coalesce((SELECT max(n) FROM vt b WHERE b.k = a.k AND b.o BETWEEN a.o - 2 AND a.o - 1), 0) AND n >= coalesce((SELECT max(n) FROM vt b WHERE b.k = a.k AND b.o BETWEEN a.o + 1 AND a.o + 2), 0)),
+    ed AS (SELECT k, max(o) FILTER (o < {_STRIP['rows'] // 2}) AS above, min(o) FILTER (o >= {_STRIP['rows'] // 2}) AS below FROM ln GROUP BY 1),
+    px AS (SELECT mk.k, y, x FROM mk LEFT JOIN ed USING (k) WHERE (above IS NULL OR y > above + {_STRIP['padding']}) AND (below IS NULL OR y < below - {_STRIP['padding']}))"""
+_STRIPS = f"""{_MASKED}, {_LABELS}, kp AS (SELECT k, count(*) AS parts, sum(area)::BIGINT AS area FROM parts WHERE area > {_STRIP['part'][0]} AND area < {_STRIP['part'][1]} GROUP BY 1),
+    es AS (SELECT k, string_agg(o, ',' ORDER BY o) AS edge_rows FROM ln GROUP BY 1),
+    done AS (SELECT k, CASE WHEN height < {_STRIP['rows']} THEN 'too short' WHEN level IS NULL THEN 'one colour' WHEN parts IS NULL THEN 'empty' ELSE 'ok' END AS status, level, coalesce(edge_rows, '') AS edge_rows, coalesce(parts, 0) AS parts, coalesce(area, 0) AS area
+             FROM size LEFT JOIN ot USING (k) LEFT JOIN es USING (k) LEFT JOIN kp USING (k))"""
+
+
+def _strips(spark, sf):
+    p = pixels(spark, sf)
+    return ST.prepared_strips(p, PX.sizes(p), **_STRIP)
+
+
+@query("im32_prepared", f"WITH RECURSIVE {_STRIPS} SELECT * FROM done")
+def _(spark, sf):
+    return _strips(spark, sf)
+
+
+@query("im33_preparation_summary", f"WITH RECURSIVE {_STRIPS} SELECT status, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) AS pct FROM done GROUP BY 1")
+def _(spark, sf):
+    """A run over what an earlier run has not done, both put together and counted by status."""
+    from ..operators.joins import worklist
+    from ..operators.tables import stored
+
+    p = pixels(spark, sf)
+    first = stored(ST.prepared_strips(p.where("k % 3 = 0"), PX.sizes(p).where("k % 3 = 0"), **_STRIP), "strips")
+    rest = worklist(p, first, ["k"])
+    return ST.summary(first.unionByName(ST.prepared_strips(rest, PX.sizes(rest), **_STRIP)))
+
+
+@query("dt19_blank_outside", f"WITH {_MASKED} SELECT k, y, x FROM px")
+def _(spark, sf):
+    p = pixels(spark, sf)
+    size, rows = PX.sizes(p), _STRIP["rows"]
+    own = size.where(F.col("height") >= rows).select("k", F.lit(rows).alias("height"), "width")
+    mask, _ = ST.in_two_colours(ST.stretched(PX.bottom_strip(p, size, rows)), own)
+    return ST.blank_outside(mask, PX.long_lines(mask, [90], _STRIP["line"]), own, _STRIP["padding"]).select("k", "y", "x")
+
+
+@query("im36_tiles", f"""WITH {_PX}, z AS (SELECT k, height, width, greatest(1, CAST(floor(width * 64 / height) AS INT)) AS tw FROM size), t AS (SELECT *, unnest(CASE WHEN tw <= 40 THEN [0] ELSE list_append(range(0, tw - 40, 30), tw - 40) END)::INT AS start FROM z),
+    ty AS (SELECT *, unnest(range(64)) AS ty FROM t), g AS (SELECT *, unnest(range(start, least(start + 40, tw))) AS tx FROM ty)
+    SELECT g.k, start, ty::INT AS y, (tx - start)::INT AS x, v FROM g JOIN px ON px.k = g.k AND px.y = ty * height // 64 AND px.x = tx * width // tw""")
+def _(spark, sf):
+    p = pixels(spark, sf)
+    return ST.tiled(*ST.resized(p, PX.sizes(p), 64), 40, 10)
+
+
+@query("im14_picture_grid")
+def _(spark, sf):
+    """Lines of every roll's own grid, from its stack of pictures to the map of frequencies and depths."""
+    from ..functions import grids as GR
+
+    across = _profiles(spark, sf, "y").select("k", PK.prominent(PK.peaks(F.col("p"), 5), 0.1).alias("across"))
+    lines = _profiles(spark, sf).select("k", PK.prominent(PK.peaks(F.col("p"), 5), 0.1).alias("found"), PK.exactly(PK.peaks(F.col("p"), 30), len(GR.FREQUENCIES))["at"].alias("adjusted"))
+    return lines.join(across, "k").select("k", GR.frequency_lines(F.col("found"), F.col("adjusted")).alias("frequencies"), GR.depth_lines(F.col("across")).alias("depths"))
+
+
+_TILES = 4
+_EQUAL = f"""{_PX}, gr AS (SELECT k, height, width, y, unnest(range(width))::INT AS x FROM (SELECT *, unnest(range(height))::INT AS y FROM size)), dn AS (SELECT gr.*, coalesce(v, 0) AS v, ceil(height / {_TILES})::INT AS th, ceil(width / {_TILES})::INT AS tw FROM gr LEFT JOIN px ON px.k = gr.k AND px.y = gr.y AND px.x = gr.x),
+    mi AS (SELECT k, th, tw, v, (CASE WHEN a AND b THEN 2 * height - 1 - y WHEN a THEN 2 * height - 1 - y ELSE y END) AS y, (CASE WHEN b THEN 2 * width - 1 - x ELSE x END) AS x FROM dn, (SELECT unnest([false, true]) AS a), (SELECT unnest([false, true]) AS b)
+           WHERE (NOT a OR (2 * height - 1 - y >= height AND 2 * height - 1 - y < th * {_TILES})) AND (NOT b OR (2 * width - 1 - x >= width AND 2 * width - 1 - x < tw * {_TILES}))),
+    ct AS (SELECT k, th, tw, y // th AS ty, x // tw AS tx, v AS level, count(*) AS n FROM mi GROUP BY ALL),
+    cl AS (SELECT *, sum(greatest(n - greatest(floor(2.0 * th * tw / 256), 1), 0)) OVER (PARTITION BY k, ty, tx) AS over_, least(n, greatest(floor(2.0 * th * tw / 256), 1)) AS m FROM ct),
+    al AS (SELECT k, ty, tx, any_value(th) AS th, any_value(tw) AS tw, any_value(over_) AS over_ FROM cl GROUP BY 1, 2, 3), lv AS (SELECT al.*, l.level FROM al, (SELECT unnest(range(256))::INT AS level) l),
+    sh AS (SELECT lv.k, lv.ty, lv.tx, lv.level, least(round_even((sum(coalesce(m, 0)) OVER (PARTITION BY lv.k, lv.ty, lv.tx ORDER BY lv.level ROWS UNBOUNDED PRECEDING) + (lv.level + 1) * lv.over_ / 256) * 255 / (lv.th * lv.tw), 0), 255) AS shade
+           FROM lv LEFT JOIN cl ON cl.k = lv.k AND cl.ty = lv.ty AND cl.tx = lv.tx AND cl.level = lv.level),
+    md AS (SELECT *, (y + 0.5::DOUBLE) / th - 0.5::DOUBLE AS my, (x + 0.5::DOUBLE) / tw - 0.5::DOUBLE AS mx FROM dn),
+    ak AS (SELECT k, y, x, v, least(greatest(floor(my) + i, 0), {_TILES - 1}) AS ty, least(greatest(floor(mx) + j, 0), {_TILES - 1}) AS tx, (CASE i WHEN 1 THEN my - floor(my) ELSE 1 - (my - floor(my)) END) * (CASE j WHEN 1 THEN mx - floor(mx) ELSE 1 - (mx - floor(mx)) END) AS w
+           FROM md, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j))"""
+
+
+@query("im32_equalised", f"WITH {_EQUAL} SELECT ak.k, y, x, CAST(round_even(round(sum(w * shade), 9), 0) AS INT) AS v FROM ak JOIN sh ON sh.k = ak.k AND sh.ty = ak.ty AND sh.tx = ak.tx AND sh.level = ak.v GROUP BY ALL")
+def _(spark, sf):
+    p = pixels(spark, sf)
+    size = PX.sizes(p)
+    return PX.equalised(PX.dense(p, size), size, _TILES)

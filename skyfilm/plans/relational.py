@@ -10,6 +10,7 @@ from ..functions import timeq as Q
 from ..operators import aggs as A
 from ..operators import clean as C
 from ..operators import joins as J
+from ..operators import quantiles as QU
 from ..operators import sampling as S
 from ..operators import windows as W
 from ..sources import files as FS
@@ -315,6 +316,20 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", J.first_contained(F.col("p_name"), [("Red", "R"), ("small", "S"), ("ring", "G")]).alias("found"))
 
 
+_TEXTS = "SELECT p_partkey, concat_ws(' ', p_brand, p_type, p_name, 'of', lower(p_type)) AS text FROM part"
+
+
+@query("pf22_contained_names", f"""WITH t AS ({_TEXTS}), n AS (SELECT name, min(p) AS p FROM (SELECT p_name AS name, p_partkey AS p FROM part WHERE p_partkey < 60 UNION ALL SELECT string_split(p_name, ' ')[2], p_partkey FROM part UNION ALL SELECT p_type, p_partkey + 1000000 FROM part) GROUP BY 1)
+    SELECT p_partkey, arg_max(name, len(string_split(name, ' ')) * 100000000 - p) AS name FROM t JOIN n ON contains(' ' || lower(text) || ' ', ' ' || lower(name) || ' ') GROUP BY 1""")
+def _(spark, sf):
+    """The longest of many names that each text holds; Brand#7 is two words."""
+    part = table(spark, sf, "part")
+    names = part.where("p_partkey < 60").selectExpr("p_name AS name", "p_partkey AS p").union(part.selectExpr("split(p_name, ' ')[1]", "p_partkey")).union(part.selectExpr("p_type", "p_partkey + 1000000"))
+    names = names.groupBy("name").agg(F.min("p").alias("p"))
+    texts = part.selectExpr("p_partkey", "concat_ws(' ', p_brand, p_type, p_name, 'of', lower(p_type)) AS text")
+    return J.contained_names(texts, "p_partkey", "text", names, "name", "p").select("p_partkey", "name")
+
+
 @query("jn24_semi", "SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
 def _(spark, sf):
     n = table(spark, sf, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("s_nationkey"))
@@ -424,13 +439,13 @@ def _(spark, sf):
 
 @query("ag26_median_group", "SELECT c_mktsegment, round(median(c_acctbal), 4) AS m FROM customer GROUP BY 1")
 def _(spark, sf):
-    return table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.round(F.median("c_acctbal"), 4).alias("m"))
+    m = QU.medians(table(spark, sf, "customer"), "c_acctbal", ["c_mktsegment"], "m")
+    return m.select("c_mktsegment", F.round("m", 4).alias("m"))
 
 
 @query("ag27_confidence", "SELECT l_orderkey, round(avg(l_discount), 6) AS mean, min(l_discount) AS low, max(l_discount) AS high FROM lineitem GROUP BY 1")
 def _(spark, sf):
-    a = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_discount").alias("c"))
-    return a.select("l_orderkey", F.round(F.aggregate("c", F.lit(0.0), lambda s, x: s + x) / F.size("c"), 6).alias("mean"), F.array_min("c").alias("low"), F.array_max("c").alias("high"))
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.round(F.avg("l_discount"), 6).alias("mean"), F.min("l_discount").alias("low"), F.max("l_discount").alias("high"))
 
 
 @query("ag28_split_summary", "SELECT o_orderstatus AS split, count(*) AS n, count(DISTINCT o_custkey) AS groups, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) AS pct FROM orders GROUP BY 1")
@@ -446,11 +461,11 @@ def _(spark, sf):
     return A.data_dictionary(table(spark, sf, "customer"))
 
 
-@query("ag32_char_accuracy", """WITH p AS (SELECT a.item_id, substring(a.text, 1, 60) AS t, substring(b.text, 1, 50) AS r FROM benchmark a JOIN benchmark b ON b.item_id = a.item_id + 1),
-    c AS (SELECT item_id, t, r, unnest(range(1, 61)) AS i FROM p) SELECT item_id, round(sum((i <= length(t) AND i <= length(r) AND t[i] = r[i])::INT) / greatest(max(length(t)), max(length(r))), 6) AS accuracy, max(t) = max(r) AS exact FROM c GROUP BY 1""")
+@query("ag32_char_accuracy", """WITH p AS (SELECT a.item_id, a.text AS t, b.text AS r FROM benchmark a JOIN benchmark b ON b.item_id = a.item_id + 1),
+    c AS (SELECT item_id, t, r, unnest(range(1, greatest(length(t), length(r)) + 1)) AS i FROM p) SELECT item_id, round(sum((i <= length(t) AND i <= length(r) AND t[i] = r[i])::INT) / greatest(max(length(t)), max(length(r))), 6) AS accuracy, max(t) = max(r) AS exact FROM c GROUP BY 1""")
 def _(spark, sf):
     b = table(spark, sf, "benchmark")
-    pair = b.selectExpr("item_id", "substring(text, 1, 60) AS t").join(b.selectExpr("item_id - 1 AS item_id", "substring(text, 1, 50) AS r"), "item_id")
+    pair = b.selectExpr("item_id", "text AS t").join(b.selectExpr("item_id - 1 AS item_id", "text AS r"), "item_id")
     return pair.select("item_id", F.round(A.character_accuracy(F.col("t"), F.col("r")), 6).alias("accuracy"), (F.col("t") == F.col("r")).alias("exact"))
 
 
@@ -462,7 +477,8 @@ def _(spark, sf):
 @query("ag34_distance", "SELECT round(avg(sqrt(l_tax * l_tax + l_discount * l_discount)), 6) AS mean, round(median(sqrt(l_tax * l_tax + l_discount * l_discount)), 6) AS median FROM lineitem")
 def _(spark, sf):
     d = F.sqrt(F.col("l_tax") ** 2 + F.col("l_discount") ** 2)
-    return table(spark, sf, "lineitem").agg(F.round(F.avg(d), 6).alias("mean"), F.round(F.median(d), 6).alias("median"))
+    x = table(spark, sf, "lineitem").select(d.alias("d"))
+    return x.agg(F.round(F.avg("d"), 6).alias("mean")).join(QU.medians(x, "d")).select("mean", F.round("median", 6).alias("median"))
 
 
 @query("wn01_latest_log", "SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
@@ -529,8 +545,7 @@ def _(spark, sf):
 
 @query("wn13_adjacent_mean", "SELECT c_nationkey, round(avg(gap), 6) AS mean FROM (SELECT c_nationkey, row_number() OVER w AS n, c_acctbal - lag(c_acctbal) OVER w AS gap FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal)) WHERE n <= 5 GROUP BY 1")
 def _(spark, sf):
-    a = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_acctbal")).alias("v"))
-    return a.select("c_nationkey", F.round(W.adjacent_mean(F.col("v"), 5), 6).alias("mean"))
+    return W.adjacent_mean(table(spark, sf, "customer"), "c_nationkey", "c_acctbal", 5).withColumn("mean", F.round("mean", 6))
 
 
 @query("wn14_dominant_line", "WITH m AS (SELECT l_orderkey, median(l_quantity) AS q FROM lineitem GROUP BY 1), r AS (SELECT l.*, abs(l_quantity - q) <= 5 AS near FROM lineitem l JOIN m USING (l_orderkey)), a AS (SELECT *, bool_or(near) OVER (PARTITION BY l_orderkey) AS any_ FROM r) SELECT l_orderkey, l_partkey, l_quantity FROM a WHERE near OR NOT any_")
@@ -680,11 +695,11 @@ def _(spark, sf):
 QUAL = f"CASE {TAGS} WHEN 'Second' THEN 2 WHEN 'Minute' THEN 3 WHEN 'Hour' THEN 3 WHEN 'Day>365' THEN 4 WHEN 'Day<1' THEN 4 WHEN 'Year' THEN 5 ELSE 1 END"
 
 
-@query("fn12_outlier_quality", f"SELECT event_id, {QUAL} AS quality, CASE {QUAL} WHEN 1 THEN concat(strftime({TRUE_DAY}, '%Y-%m-%d'), ' ', lpad(cast(hour AS VARCHAR), 2, '0'), ':', lpad(cast(minute AS VARCHAR), 2, '0'), ':', lpad(cast(second AS VARCHAR), 2, '0')) WHEN 4 THEN concat(cast(year AS VARCHAR), '-00-00 00:00:00') ELSE 'Low certainty' END AS text FROM (SELECT event_id, year, day, coalesce(hour, 1) AS hour, coalesce(minute, 2) AS minute, coalesce(second, 3) AS second FROM (SELECT event_id, {TIME} FROM events)) WHERE ({QUAL}) IN (1, 4, 5)")
+@query("fn12_outlier_quality", f"SELECT event_id, {QUAL} AS quality, CASE {QUAL} WHEN 1 THEN concat(strftime({TRUE_DAY}, '%Y-%m-%d'), ' ', lpad(cast(hour AS VARCHAR), 2, '0'), ':', lpad(cast(minute AS VARCHAR), 2, '0'), ':', lpad(cast(second AS VARCHAR), 2, '0')) WHEN 2 THEN concat(strftime({TRUE_DAY}, '%Y-%m-%d'), ' ', lpad(cast(hour AS VARCHAR), 2, '0'), ':', lpad(cast(minute AS VARCHAR), 2, '0'), ':00') WHEN 3 THEN concat(strftime({TRUE_DAY}, '%Y-%m-%d'), ' ', lpad(cast(hour AS VARCHAR), 2, '0'), ':00:00') WHEN 4 THEN concat(cast(year AS VARCHAR), '-00-00 00:00:00') ELSE 'Low certainty' END AS text FROM (SELECT event_id, year, day, coalesce(hour, 1) AS hour, coalesce(minute, 2) AS minute, coalesce(second, 3) AS second FROM (SELECT event_id, {TIME} FROM events))")
 def _(spark, sf):
     t = times(spark, sf).fillna({"hour": 1, "minute": 2, "second": 3})
     parts = [F.col(c) for c in ("year", "day", "hour", "minute", "second")]
-    t = t.withColumn("quality", Q.outlier_quality(C.time_faults(*parts))).where(F.col("quality").isin(1, 4, 5))
+    t = t.withColumn("quality", Q.outlier_quality(C.time_faults(*parts)))
     return t.select("event_id", "quality", Q.rendered_time(*parts, F.col("quality")).alias("text"))
 
 
@@ -829,9 +844,9 @@ def _(spark, sf):
     SELECT l_suppkey, m, mad, count(*) FILTER (abs(l_quantity - m) > 1.5 * mad) AS far FROM lineitem JOIN m USING (l_suppkey) JOIN d USING (l_suppkey) GROUP BY 1, 2, 3""")
 def _(spark, sf):
     x = table(spark, sf, "lineitem").select("l_suppkey", "l_quantity")
-    x = x.join(x.groupBy("l_suppkey").agg(F.median("l_quantity").alias("m")), "l_suppkey")
+    x = x.join(QU.medians(x, "l_quantity", ["l_suppkey"], "m"), "l_suppkey")
     off = F.abs(F.col("l_quantity") - F.col("m"))
-    x = x.join(x.groupBy("l_suppkey").agg(F.median(off).alias("mad")), "l_suppkey")
+    x = x.join(QU.medians(x, off, ["l_suppkey"], "mad"), "l_suppkey")
     return x.groupBy("l_suppkey", "m", "mad").agg(F.count_if(off > 1.5 * F.col("mad")).alias("far"))
 
 
@@ -869,8 +884,9 @@ def _(spark, sf):
 
 @query("dt03_distribution", "SELECT round(avg(a), 6) AS mean, round(median(a), 6) AS median, round(stddev_samp(a), 6) AS sd, round(100.0::DOUBLE * count(*) FILTER (a < 1.2) / count(*), 2) AS narrow, round(100.0::DOUBLE * count(*) FILTER (a >= 3) / count(*), 2) AS wide FROM (SELECT 1 + l_discount * 30 AS a FROM lineitem)")
 def _(spark, sf):
-    a = 1 + F.col("l_discount") * 30
-    return table(spark, sf, "lineitem").agg(F.round(F.avg(a), 6).alias("mean"), F.round(F.median(a), 6).alias("median"), F.round(F.stddev_samp(a), 6).alias("sd"), A.percent(F.count_if(a < 1.2), F.count("*")).alias("narrow"), A.percent(F.count_if(a >= 3), F.count("*")).alias("wide"))
+    x = table(spark, sf, "lineitem").select((1 + F.col("l_discount") * 30).alias("a"))
+    out = x.agg(F.round(F.avg("a"), 6).alias("mean"), F.round(F.stddev_samp("a"), 6).alias("sd"), A.percent(F.count_if(F.col("a") < 1.2), F.count("*")).alias("narrow"), A.percent(F.count_if(F.col("a") >= 3), F.count("*")).alias("wide"))
+    return out.join(QU.medians(x, "a")).withColumn("median", F.round("median", 6))
 
 
 @query("dt05_valid_labels", "SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL AND trim(lower(CASE WHEN toxic = 0 THEN ' Completed' ELSE 'abandoned' END)) = 'completed'")

@@ -1,13 +1,10 @@
-"""Queries that run kernels, models, streams and whole archive pipelines."""
+"""Queries that run models, streams and whole archive pipelines."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..functions import kernels as K
 from ..functions import orbit
 from ..operators import windows as W
 from . import archive
@@ -15,38 +12,6 @@ from .registry import query, table
 from .relational import BOX, BOXES
 
 
-def pictures(spark, sf):
-    """A small picture of each supplier's line items: part by supplier position against size, as bytes."""
-
-    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
-        img = np.full((120, 160), 20, np.uint8)
-        img[10:110, 30:150] = 90
-        x, y = 30 + pdf["l_partkey"].to_numpy() % 116, 10 + (pdf["l_quantity"].to_numpy() * 2).astype(int) % 96
-        for a, b in zip(x, y, strict=True):
-            img[b : b + 4, a : a + 4] = 250
-        return pd.DataFrame({"k": pdf["l_suppkey"].iloc[:1], "height": [120], "width": [160], "data": [img.tobytes()]})
-
-    return table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_quantity").groupBy("l_suppkey").applyInPandas(draw, "k long, height int, width int, data binary")
-
-
-def _images(pdf: pd.DataFrame):
-    for k, h, w, d in zip(pdf["k"], pdf["height"], pdf["width"], pdf["data"], strict=True):
-        yield k, np.frombuffer(d, np.uint8).reshape(h, w)
-
-
-@query("im20_trace")
-def _(spark, sf):
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for k, img in _images(pdf):
-                p = K.trace(255 - img, [10, 110], [30, 150])
-                rows.append((k, len(p), float(p[:, 1].mean()) if len(p) else None, K.overexposed_share(img), K.otsu(img), K.noise(img)["laplacian"]))
-            yield pd.DataFrame(rows, columns=["k", "points", "mean_y", "overexposed", "level", "noise"])
-
-    return pictures(spark, sf).mapInPandas(run, "k long, points int, mean_y double, overexposed double, level int, noise double")
-
-
 NMS_SQL = f"""WITH RECURSIVE b AS (SELECT l_orderkey AS o, l_partkey AS p, l_linenumber AS l, l_discount AS s, {BOX}, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_discount DESC, l_linenumber, l_partkey, x1, y1, x2, y2) AS i FROM lineitem),
     r(o, i, kept) AS (SELECT DISTINCT o, 0::BIGINT, []::STRUCT(x1 INT, y1 INT, x2 INT, y2 INT, p BIGINT, l INT, s DOUBLE)[] FROM b
         UNION ALL
@@ -65,16 +30,6 @@ def _(spark, sf):
     return kept.select("l_orderkey", "k.l_partkey", "k.l_linenumber", (-F.col("k.worst")).alias("l_discount"))
 
 
-@query("im26_curve_fit")
-def _(spark, sf):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        d, c, r = K.polynomial_fit(pdf["x"].to_numpy(), pdf["y"].to_numpy(), 4)
-        return pd.DataFrame({"k": pdf["k"].iloc[:1], "degree": [d], "residual": [r]})
-
-    x = table(spark, sf, "lineitem").selectExpr("l_suppkey AS k", "l_quantity AS x", "l_extendedprice / 1000 AS y")
-    return x.groupBy("k").applyInPandas(run, "k long, degree int, residual double")
-
-
 ACCEPTED_SQL = """WITH RECURSIVE p AS (SELECT l_partkey, l_quantity AS x, l_extendedprice / 1000 AS y, row_number() OVER (PARTITION BY l_partkey ORDER BY l_quantity, l_extendedprice / 1000) AS i, count(*) OVER (PARTITION BY l_partkey) AS n FROM lineitem),
     r AS (SELECT l_partkey, i, n, y AS last, 1 AS kept FROM p WHERE i = 1
         UNION ALL
@@ -89,15 +44,29 @@ def _(spark, sf):
     return g.select("l_partkey", F.size("p").alias("n"), F.size(W.accepted(F.col("p"), 30.0, 10.0)).alias("kept"))
 
 
+def elbow(costs: dict[int, float]) -> int:
+    """The number of clusters whose cost lies furthest below the line from the first to the last."""
+    ks = sorted(costs)
+    fall = (costs[ks[0]] - costs[ks[-1]]) / max(ks[-1] - ks[0], 1)
+    return max(ks, key=lambda k: (costs[ks[0]] - fall * (k - ks[0]) - costs[k], -k))
+
+
 @query("ml01_kmeans")
 def _(spark, sf):
+    """Vectors in as many clusters as the elbow of the costs of 1 to 10 says; costs are one number each."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
     e = table(spark, sf, "embeddings").where("embedding IS NOT NULL").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("raw"))
     scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(e).transform(e)
-    return KMeans(k=6, seed=42).fit(scaled).transform(scaled).select("vec_id", F.col("prediction").alias("cluster"))
+    # one cluster has its centre at 0, as the vectors are scaled
+    alone = scaled.agg(F.sum(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x * x))).first()[0] or 0.0
+    models = {k: KMeans(k=k, seed=42, maxIter=10).fit(scaled) for k in range(2, 11)}
+    best = elbow({1: alone} | {k: m.summary.trainingCost for k, m in models.items()})
+    if best == 1:
+        return scaled.select("vec_id", F.lit(0).alias("cluster"), F.lit(1).alias("clusters"))
+    return models[best].transform(scaled).select("vec_id", F.col("prediction").alias("cluster"), F.lit(best).alias("clusters"))
 
 
 LINE1 = "1 00424U 62049A   24001.50000000  .00000000  00000-0  00000-0 0  0000"
@@ -130,7 +99,7 @@ RESERVED_SQL = f"""WITH l AS (SELECT user_id, list_sort(list({{'ts': ts, 'status
              WHEN x.status = 'abandoned' THEN {{'ts': x.ts, 'status': 'free'}}
              WHEN a.status = 'reserved' AND x.ts - a.ts > INTERVAL 24 HOUR THEN {{'ts': a.ts, 'status': 'free'}}
              ELSE a END) AS s FROM l)
-    SELECT user_id::VARCHAR AS path, s.status AS status FROM f"""
+    SELECT user_id::VARCHAR AS path, CASE WHEN s.status = 'reserved' AND s.ts + INTERVAL 24 HOUR < (SELECT max(ts) - INTERVAL 1 HOUR FROM events) THEN 'free' ELSE s.status END AS status FROM f"""
 
 
 @query("ss04_reservations", RESERVED_SQL)
@@ -143,6 +112,38 @@ def _(spark, sf):
     return drain(reservations(log), "update", ["path"])
 
 
+@query("ss05_resume", "SELECT event_id, event_type FROM events")
+def _(spark, sf):
+    """A stream drained twice into one folder: the second run finds nothing left to do."""
+    from ..streaming.streams import arriving_files, drain, shared_folder
+
+    schema, folder = table(spark, sf, "events").schema, shared_folder(spark, "resumed")
+    for _ in range(2):
+        out = drain(arriving_files(spark, f"{sf}/events.parquet*", schema).select("event_id", "event_type"), folder=folder)
+    return out
+
+
+@query("ss06_saved_once", "SELECT event_id, event_type FROM events")
+def _(spark, sf):
+    """Events of which every one arrives twice, saved once each."""
+    from ..streaming.streams import arriving_files, drain, saved_once
+
+    stream = arriving_files(spark, f"{sf}/events.parquet*", table(spark, sf, "events").schema)
+    twice = stream.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+    return drain(saved_once(twice, ["event_id"], "ts").select("event_id", "event_type"))
+
+
+@query("ss07_skip_existing", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS run FROM documents")
+def _(spark, sf):
+    """A second run over all documents does only what the first one left."""
+    from ..operators.joins import worklist
+    from ..operators.tables import stored
+
+    docs = table(spark, sf, "documents").select("doc_id")
+    done = stored(docs.where("doc_id % 3 = 0").withColumn("run", F.lit(1)), "outputs")
+    return done.unionByName(worklist(docs, done, ["doc_id"]).withColumn("run", F.lit(2)))
+
+
 query("p1_master", archive.MASTER_SQL)(archive.master_from_events)
 query("flagship", archive.MASTER_SQL)(archive.master_from_events)
 query("p2_availability", archive.AVAILABILITY_SQL)(archive.availability_from_events)

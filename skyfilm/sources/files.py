@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +69,22 @@ def images(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("image").option("recursiveFileLookup", True).option("dropInvalid", True).load(root).select(F.col("image.origin").alias("path"), "image.height", "image.width", "image.nChannels", "image.data")
 
 
+def pixel_table(pictures: DataFrame) -> DataFrame:
+    """(path, height, width, y, x, v) of the pixels above 0 of decoded pictures, colours by luma; a batch of rows for each picture."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                a = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["nChannels"])
+                # Spark's order of colours is blue, green, red
+                grey = a[:, :, 0] if r["nChannels"] == 1 else np.round(a[:, :, :3].astype(float) @ np.array([0.114, 0.587, 0.299])).astype(np.uint8)
+                y, x = (p.astype(np.int32) for p in np.nonzero(grey))
+                same = [pa.array(np.full(len(y), r[c], np.int32)) for c in ("height", "width")]
+                yield pa.RecordBatch.from_arrays([pa.array([r["path"]] * len(y), pa.string()), *same, pa.array(y), pa.array(x), pa.array(grey[y, x].astype(np.int32))], ["path", "height", "width", "y", "x", "v"])
+
+    return pictures.select("path", "height", "width", "nChannels", "data").mapInArrow(run, "path string, height int, width int, y int, x int, v int")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str, encoding: str = "UTF-8", nulls: str | None = None, header: bool = True) -> DataFrame:
     """Delimited text with a declared schema; many files at once, with the file of each row.
 
@@ -105,10 +123,28 @@ def write_boxes(boxes: DataFrame, path: str) -> None:
 
 
 def write_traces(points: DataFrame, path: str) -> None:
-    """Long table of points, a folder for each directory."""
-    points.repartition("directory").write.mode("overwrite").partitionBy("directory").parquet(path)
+    """Long table of points (directory, ..., x, y), a folder for each directory; rows of a large directory go to several files."""
+    points.write.mode("overwrite").partitionBy("directory").parquet(path)
+
+
+def read_traces(spark: SparkSession, path: str, schema: T.StructType | str, directories: Sequence[str] = ()) -> DataFrame:
+    """Points of all or some directories; only the folders of those are read."""
+    points = spark.read.schema(schema).parquet(path)
+    return points.where(F.col("directory").isin(*directories)) if directories else points
+
+
+def append_once(new: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """Append the rows whose key is not in the delimited files yet, the first time as well, each file with its header; returns the table."""
+    spark = new.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    fresh = new.join(spark.read.schema(new.schema).option("header", True).csv(path).select(*keys), list(keys), "left_anti") if there else new
+    fresh.write.mode("append").option("header", True).csv(path)
+    return spark.read.schema(new.schema).option("header", True).csv(path)
 
 
-def append_once(new: DataFrame, existing: DataFrame, keys: Sequence[str], path: str) -> None:
-    """Append rows whose key is not there yet."""
-    new.join(existing.select(*keys), list(keys), "left_anti").write.mode("append").option("header", True).csv(path)
+def scaled_to_bytes(pixels: DataFrame, key: str, value: str) -> DataFrame:
+    """Pixels of any depth with the value of each picture's range spread over 0 to 255, rounded down; 0 for pictures of one value."""
+    ends = pixels.groupBy(key).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    spread = F.when(F.col("__high") > F.col("__low"), F.floor((F.col(value) - F.col("__low")) * 255 / (F.col("__high") - F.col("__low")))).otherwise(0)
+    return pixels.join(ends, key).withColumn(value, spread.cast("int")).drop("__low", "__high")

@@ -65,32 +65,43 @@ def sessions(events: DataFrame, time: str, key: str, gap: str, late: str = "1 ho
 FINAL = ("completed", "skipped")
 
 
-def reservations(log: DataFrame, key: str = "path", hours: float = 24.0) -> DataFrame:
-    """Status of each item of a reservation log(key, status, ts) after each batch.
+def reservations(log: DataFrame, key: str = "path", hours: float = 24.0, late: str = "1 hour") -> DataFrame:
+    """Status of each item of a reservation log(key, status, ts) after each batch that changes or frees it.
 
-    An item is free again after being abandoned, or when a reservation has stood longer than the limit at the
-    time of a later event; final states stay.
+    An item is free again after being abandoned, or when a reservation has stood for longer than the limit: at a later event of the item, or,
+    without any, once the watermark, which trails the newest event by late, has passed it.  Final states stay.
     """
+    limit = hours * 3600
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         status, since = state.get if state.exists else ("free", 0.0)
         for pdf in batches:
-            for row in pdf.sort_values(["ts", "status"]).itertuples():
-                now = row.ts.timestamp()
-                if status == "reserved" and now - since > hours * 3600:
+            for at, event in sorted(zip(pdf["ts"].map(pd.Timestamp.timestamp), pdf["status"], strict=True)):
+                if status == "reserved" and at - since > limit:
                     status = "free"
                 if status in FINAL:
                     continue
-                if row.status == "reserved" and status == "free":
-                    status, since = "reserved", now
-                elif row.status in FINAL:
-                    status, since = row.status, now
-                elif row.status == "abandoned":
-                    status, since = "free", now
+                if event == "reserved" and status == "free":
+                    status, since = "reserved", at
+                elif event in FINAL:
+                    status, since = event, at
+                elif event == "abandoned":
+                    status, since = "free", at
+        ends = int((since + limit) * 1000)
+        if status == "reserved" and ends < state.getCurrentWatermarkMs():
+            status = "free"
         state.update((status, since))
+        if status == "reserved":
+            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({key: [k[0]], "status": [status]})
 
-    return log.groupBy(key).applyInPandasWithState(step, f"{key} string, status string", "status string, since double", "update", GroupStateTimeout.NoTimeout)
+    timed = log.withWatermark("ts", late)
+    return timed.groupBy(key).applyInPandasWithState(step, f"{key} string, status string", "status string, since double", "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def saved_once(rows: DataFrame, keys: Sequence[str], time: str, late: str = "1 hour") -> DataFrame:
+    """A stream without rows whose key came before within the time that late rows may take."""
+    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
 
 
 def reservation_state(log: DataFrame, key: str, as_of: str, hours: float = 24.0) -> DataFrame:

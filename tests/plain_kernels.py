@@ -1,4 +1,4 @@
-"""Image kernels on 2-D uint8 arrays, in numpy; all return None or an empty result instead of raising on poor input."""
+"""Plain array code on single pictures, which plans over pixels are held against."""
 
 from __future__ import annotations
 

@@ -1,10 +1,10 @@
-"""Preparation of scanned text strips, in numpy: contrast, two colours, long lines, outer space and crops."""
+"""Plain array code that plans over pixels are held against: contrast, two colours, long lines, outer space and crops."""
 
 from __future__ import annotations
 
 import numpy as np
 
-from .kernels import components, otsu
+from tests.plain_kernels import components, otsu
 
 
 def equalised(img: np.ndarray, tiles: int = 8, clip: float = 2.0) -> np.ndarray:

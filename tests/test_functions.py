@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyfilm.functions import geometry as G
-from skyfilm.functions import kernels as K
+from tests import plain_kernels as K
 from skyfilm.functions import orbit, timeq
 from skyfilm.functions import parse as P
 from skyfilm.operators import clean as C
@@ -155,8 +155,8 @@ def test_scan_tree(spark, tmp_path):
     assert {(r.directory, r.subdirectory, r.images) for r in files.inventory(tree).collect()} == {("R1", "a_1", 2), ("R2", "b", 1)}
     kept, skipped = files.pruned(tree, ["b"])
     assert kept.count() == 2 and skipped.count() == 1
-    r = files.images(spark, str(tmp_path)).where("path LIKE '%z.png'").first()
-    assert (r.height, r.width, K.grey(r.data, r.height, r.width, r.nChannels).max()) == (4, 6, 7)
+    pixels = files.pixel_table(files.images(spark, str(tmp_path)).where("path LIKE '%z.png'")).collect()
+    assert {(r.height, r.width, r.v) for r in pixels} == {(4, 6, 7)} and sorted((r.y, r.x) for r in pixels) == [(y, x) for y in range(4) for x in range(6)]
 
 
 def test_text_sources(spark, tmp_path):

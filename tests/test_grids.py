@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyfilm.functions import enhance as E
+from tests import plain_strips as E
 from skyfilm.functions import grids as R
 
 
