@@ -219,6 +219,11 @@ def decoded(pieces: list[bytes], ids: np.ndarray) -> bytes:
     return b"".join([b"".join([pieces[i] for i in ids[k : k + _BLOCK].tolist()]) for k in range(0, len(ids), _BLOCK)])
 
 
+def text_of(pieces: list[bytes], ids: bytes) -> str:
+    """The text of packed ids, with the library's sign for bytes that are none."""
+    return decoded(pieces, np.frombuffer(ids, "<u4")).decode("utf-8", "replace")
+
+
 def _is_stable(text: str, p: int) -> bool:
     return p <= 0 or p >= len(text) or (text[p] == " " and p + 1 < len(text) and text[p - 1].isalnum() and text[p + 1].isalnum())
 
@@ -272,8 +277,8 @@ class Joiner:
         return np.concatenate([*out, ids[done:]])
 
 
-def _assemble(tokenizer: str, ranks: str | None, pattern: str | None) -> Callable[[pa.Table], pa.Table]:
-    """A unit's documents from their own chunks and the shared ones."""
+def _assemble(tokenizer: str, ranks: str | None, pattern: str | None, with_text: bool) -> Callable[[pa.Table], pa.Table]:
+    """A unit's documents from their own chunks and the shared ones, and the texts that their ids stand for."""
 
     def run(table: pa.Table) -> pa.Table:
         joiner = Joiner(tokenizer, ranks, pattern)
@@ -302,13 +307,14 @@ def _assemble(tokenizer: str, ranks: str | None, pattern: str | None) -> Callabl
                 whole = joiner.join(own_parts, firm[at : at + n]) if not all(firm[at : at + n]) else np.concatenate(own_parts) if n else ids[:0]
                 out.append(whole.astype("<u4").tobytes())
                 at += n
-        return pa.table({"doc_id": pa.array(np.concatenate(docs), mask=np.concatenate(missing).astype(bool)), "ids": pa.array(out, pa.binary())})
+        table = pa.table({"doc_id": pa.array(np.concatenate(docs), mask=np.concatenate(missing).astype(bool)), "ids": pa.array(out, pa.binary())})
+        return table.append_column("text", pa.array([text_of(joiner.pieces, raw) for raw in out], pa.string())) if with_text else table
 
     return run
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, unit: int = UNIT, bucket: int = BUCKET) -> DataFrame:
-    """One row for each row of docs(doc_id, text): doc_id and ids, its token ids as little-endian unsigned 32-bit integers.
+def encode_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, unit: int = UNIT, bucket: int = BUCKET, with_text: bool = False) -> DataFrame:
+    """One row for each row of docs(doc_id, text): doc_id and ids, its token ids as little-endian unsigned 32-bit integers; with_text adds what decode_documents does.
 
     Null texts count as empty and have no ids.  Rows that repeat give a row each, from one unit; an empty table gives none; other columns are
     not looked at.  Units and buckets follow the size of the texts, so each holds about as much text at any size of the corpus; a chunk that most
@@ -323,7 +329,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None,
     sent = texts.select("unit", "text").mapInArrow(_ask(buckets, shared), _ROW).repartition(buckets, "to")
     told = sent.groupBy("to").applyInArrow(_encode(tokenizer, ranks, pattern), _ROW)
     own = texts.mapInArrow(_own(shared, tokenizer, ranks, pattern), _ROW)
-    return told.union(own).repartition(units, "to").groupBy("to").applyInArrow(_assemble(tokenizer, ranks, pattern), "doc_id long, ids binary")
+    return told.union(own).repartition(units, "to").groupBy("to").applyInArrow(_assemble(tokenizer, ranks, pattern, with_text), "doc_id long, ids binary" + ", text string" * with_text)
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -332,7 +338,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = token_bytes(tokenizer)
         for batch in sized(batches, "ids"):
-            texts = [decoded(pieces, np.frombuffer(raw.as_py(), "<u4")).decode("utf-8", "replace") for raw in batch.column("ids")]
+            texts = [text_of(pieces, raw.as_py()) for raw in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")

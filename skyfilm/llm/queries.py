@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from .chunk_codec import decode_documents, encode_documents
+from .chunk_codec import encode_documents
 from .collocations import COVERED, FIRST, LEAST, collocations
 from .hpy_lm import score_texts
 from .line_dedup import LEAST_PAGES, RATIO, dedup_lines
@@ -80,9 +80,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_chunk_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
-    encoded = encode_documents(_documents(spark, sf_dir, "doc_id", "text"), tokenizer, ranks, public_tokenizers.PATTERN)
+    # decoded where it is encoded, so that no second Python worker stands beside the first
+    coded = encode_documents(_documents(spark, sf_dir, "doc_id", "text"), tokenizer, ranks, public_tokenizers.PATTERN, with_text=True)
     n_tokens = (F.octet_length("ids") / 4).cast("long")
-    return decode_documents(encoded, tokenizer).select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    return coded.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
