@@ -104,6 +104,20 @@ def adjacent_mean(rows: DataFrame, key: str, value: str, n: int) -> DataFrame:
     return ends.select(key, ((F.col("b") - F.col("a")) / F.nullif(F.col("c") - 1, F.lit(0))).alias("mean"))
 
 
+def resampled(points: DataFrame, key: str, x: str, y: str, low: float = 0.0, high: float = 14.0, step: float = 0.01) -> DataFrame:
+    """(key, x, y): the points that are nearest to a place of the grid low, low + step, ..., high, the left one of two equally near ones, each once.
+
+    A point is nearest to the places between the middles to its neighbours, so it stays if one of them is a grid's; of points with equal x the one with the least y counts.
+    """
+    first = points.where(F.col(x).isNotNull()).groupBy(key, F.col(x).cast("double").alias(x)).agg(F.min(y).alias(y))
+    order = Window.partitionBy(key).orderBy(x)
+    before, after = (F.lag(x).over(order) + F.col(x)) / 2, (F.lead(x).over(order) + F.col(x)) / 2
+    # the first place beyond the left middle, and the last one up to the right middle
+    start = F.greatest(F.coalesce(F.floor((before - low) / step) + 1, F.lit(0)), F.lit(0))
+    end = F.least(F.coalesce(F.floor((after - low) / step), F.lit(int(round((high - low) / step)))), F.lit(int(round((high - low) / step))))
+    return first.withColumns({"__a": start, "__b": end}).where("__a <= __b").drop("__a", "__b")
+
+
 def best_cluster(df: DataFrame, group: str, cluster: str, score: Sequence[Column]) -> DataFrame:
     """Each group's cluster with the greatest score, compared part by part; the smaller cluster of equals."""
     return df.groupBy(group).agg(F.max_by(F.col(cluster), F.struct(*[s.alias(f"s{i}") for i, s in enumerate(score)], (-F.col(cluster)).alias("c"))).alias(cluster))

@@ -169,7 +169,8 @@ def _(spark, sf):
 @query("im13_exact_peaks", f"""WITH {_peaks_sql(_PROFILE, 3)}, now AS (SELECT k, count(*) FILTER (q.p >= 0.1) AS now FROM kept GROUP BY 1),
     tried AS (SELECT k, s, 0.1::DOUBLE + s * 0.01::DOUBLE AS t, count(*) FILTER (q.p >= 0.1::DOUBLE + s * 0.01::DOUBLE) AS c FROM kept, (SELECT unnest(range(-9, 1001)) AS s) GROUP BY 1, 2),
     pick AS (SELECT k, t, c FROM tried JOIN now USING (k) WHERE CASE WHEN now > 5 THEN s > 0 AND (c <= 5 OR s = 1000) WHEN now < 5 THEN s < 0 AND (c >= 5 OR s = -9) ELSE s = 0 END QUALIFY row_number() OVER (PARTITION BY k ORDER BY abs(s)) = 1)
-    SELECT k, round(t, 9) AS least, c = 5 AS hit, array_to_string(list(CAST(q.at_ AS INT) ORDER BY q.at_) FILTER (q.p >= t), ',') AS places FROM kept JOIN pick USING (k) GROUP BY k, t, c""")
+    SELECT k, round(t, 9) AS least, c = 5 AS hit, array_to_string(list(CAST(q.at_ AS INT) ORDER BY q.at_) FILTER (q.p >= t), ',') AS places FROM kept JOIN pick USING (k) GROUP BY k, t, c
+    UNION ALL SELECT DISTINCT k, 0.01, false, '' FROM prof WHERE k NOT IN (SELECT k FROM kept)""")
 def _(spark, sf):
     e = _profiles(spark, sf).select("k", PK.peaks(F.col("p"), 3).alias("f")).select("k", PK.exactly(F.col("f"), 5).alias("e"))
     return e.select("k", F.round("e.least", 9).alias("least"), "e.hit", F.array_join("e.at", ",").alias("places"))

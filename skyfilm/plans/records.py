@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggs as A
 from ..operators import sampling as S
+from ..operators import windows as W
 from ..sources import files as FS
 from ..streaming.streams import shared_folder
 from .registry import query, table
@@ -100,3 +101,29 @@ def _(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("split"))
     some = S.split_sample(rows, "split", "o_orderkey", 50)
     return some.withColumn("index", F.row_number().over(Window.partitionBy("split").orderBy("o_orderkey")) - 1)
+
+
+@query("im27_resampled", """WITH p AS (SELECT l_partkey AS k, l_quantity AS x, min(l_extendedprice) AS y FROM lineitem GROUP BY 1, 2), g AS (SELECT unnest(range(0, 51, 3))::DOUBLE AS g)
+    SELECT DISTINCT k, x, y FROM (SELECT k, x, y, g FROM p, g QUALIFY row_number() OVER (PARTITION BY k, g ORDER BY abs(x - g), x) = 1)""")
+def _(spark, sf):
+    p = table(spark, sf, "lineitem").selectExpr("l_partkey AS k", "l_quantity AS x", "l_extendedprice AS y")
+    return W.resampled(p, "k", "x", "y", 0.0, 48.0, 3.0)
+
+
+@query("sc08_delimited", "SELECT c_custkey, c_name || ' é' AS c_name, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS c_acctbal FROM customer")
+def _(spark, sf):
+    """Many delimited files in a western encoding, with a declared schema and a text for null."""
+    c = table(spark, sf, "customer").selectExpr("c_custkey", "c_name || ' é' AS c_name", "IF(c_custkey % 7 <> 0, c_acctbal, NULL) AS c_acctbal")
+    path = shared_folder(spark, "delimited")
+    c.repartition(5).write.option("header", True).option("nullValue", "NA").option("encoding", "ISO-8859-1").csv(path)
+    return FS.read_table(spark, path, c.schema, "cp1252", "NA").drop("source_file")
+
+
+@query("sc09_spaced", "SELECT s_suppkey::VARCHAR AS id, s_nationkey::VARCHAR AS nation FROM supplier")
+def _(spark, sf):
+    """Files with a preamble and a header over fields that spaces part."""
+    rows = table(spark, sf, "supplier").selectExpr("concat(s_suppkey, '   ', s_nationkey) AS value")
+    path = shared_folder(spark, "spaced")
+    preamble = rows.limit(1).selectExpr("explode(array('these lines say where it is from', 'ID NATION', '')) AS value")
+    preamble.unionByName(rows).write.text(path)
+    return FS.read_spaced(spark, path, ["id", "nation"])
