@@ -196,6 +196,30 @@ def test_mixing_edges(spark):
     assert mixing.mix_sources(df.where("doc_id < 0")).count() == 0
     with pytest.raises(ValueError):
         mixing.mix_sources(df, {"a": 1, "b": 0.0000001})
+    with pytest.raises(ValueError):
+        mixing.mix_sources(spark.range(mixing.LONGEST_PERIOD + 1).selectExpr("id AS doc_id", "cast(id AS string) AS source"))
+
+
+def test_mixing_many_sources(spark):
+    slots = spark.range(50_000).selectExpr("cast(id AS string) AS source", "id % 3 + 1 AS q")
+    got = mixing.period_schedule(slots)
+    row = got.selectExpr("count(*) AS n", "count(DISTINCT slot) AS slots", "sum(q) AS q", "bool_and(release <= slot AND slot < deadline) AS fair").first()
+    assert row.n == row.slots == 50_000 * 2 - 1 and row.fair
+
+
+def test_mixing_equal_rows(spark):
+    """Rows that repeat are spread by their count; each row keeps the rank that numbering all rows by their hash gives, up to equal ones."""
+    df = spark.range(40_000).selectExpr("CASE WHEN id < 30000 THEN 7 ELSE id END AS doc_id", "CASE WHEN id < 36000 THEN 'big' ELSE 'small' END AS source", "'same' AS text")
+    got = mixing.mix_sources(df).collect()
+    kinds = lambda rows: Counter((r.doc_id, r.source) for r in rows)
+    assert kinds(got) == kinds(df.collect()) and len({r.mix_position for r in got}) == 40_000
+    order = F.md5(F.concat(F.lit("17 "), F.to_json(F.struct("doc_id", "source", "text"))))
+    want = defaultdict(list)
+    for r in df.select("doc_id", "source", order.alias("h")).collect():
+        want[r.source].append((r.h, r.doc_id))
+    for s, rows in want.items():
+        assert [r.doc_id for r in sorted((g for g in got if g.source == s), key=lambda g: g.source_rank)] == [d for _, d in sorted(rows)]
+        assert sorted(g.source_rank for g in got if g.source == s) == list(range(len(rows)))
 
 
 # ---- line dedup
