@@ -28,4 +28,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["flagship"](spark, sf_dir)
 
 
-from . import curves, grids, pictures, records, relational, science  # noqa: E402, F401  they register their queries
+from . import curves, grids, orbits, pictures, records, relational, science  # noqa: E402, F401  they register their queries

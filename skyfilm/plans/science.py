@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..functions import orbit
 from ..operators import windows as W
 from . import archive
 from .registry import query, table
@@ -69,17 +68,6 @@ def _(spark, sf):
     return models[best].transform(scaled).select("vec_id", F.col("prediction").alias("cluster"), F.lit(best).alias("clusters"))
 
 
-LINE1 = "1 00424U 62049A   24001.50000000  .00000000  00000-0  00000-0 0  0000"
-LINE2 = "2 00424  80.4600 120.0000 0023000  40.0000 320.0000 13.67000000 00000"
-
-
-@query("or01_orbit_check")
-def _(spark, sf):
-    e = table(spark, sf, "events").selectExpr("event_id", "unix_micros(CAST(ts AS TIMESTAMP)) / 1e6 AS s", "CAST(user_id % 120 - 60 AS DOUBLE) AS lat", "CAST(event_id % 360 - 180 AS DOUBLE) AS lon", "CAST(event_id % 6 AS INT) AS q")
-    o = orbit.orbit_check(F.lit(LINE1), F.lit(LINE2), "s", "lat", "lon", "q")
-    return e.select("event_id", "q", o.alias("o")).select("event_id", "q", "o.*")
-
-
 @query("ss_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(spark, sf):
     from ..streaming.streams import arriving_files, drain, windowed_counts

@@ -1,16 +1,8 @@
-"""Where a satellite was: two-line elements, secular J2 motion, and its place in a station's sky.
-
-Positions follow mean elements with the secular drift that the Earth's oblateness causes and the stated
-drag term, as in the published simplified perturbation theory without its short-period terms; that is good to tens of kilometres
-near the epoch, which is what tells whether a satellite stood above a station's horizon.
-"""
+"""Plain array code for orbits, one reading at a time, that the plans of skyfilm.operators.orbits are held against."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # fixed values: Earth in kilometres and radians, WGS-72 as used with element sets
 MU, RADIUS, J2, FLAT = 398600.8, 6378.135, 1.082616e-3, 1 / 298.26
@@ -105,26 +97,3 @@ def passes(e: dict, begin: float, end: float, lat: float, lon: float, least: flo
             out.append(("rise" if rising else "set", float(a)))
     top = np.flatnonzero((alt[1:-1] > alt[:-2]) & (alt[1:-1] >= alt[2:]) & (alt[1:-1] >= least)) + 1
     return sorted(out + [("culminate", float(t[i])) for i in top], key=lambda x: x[1])
-
-
-CHECKED = T.StructType(
-    [T.StructField(n, T.DoubleType()) for n in ("sat_lat", "sat_lon", "sat_height", "station_alt", "station_distance")]
-    + [T.StructField("flag", T.IntegerType()), T.StructField("events", T.ArrayType(T.StringType())), T.StructField("event_seconds", T.ArrayType(T.DoubleType()))]
-)
-
-
-@F.pandas_udf(CHECKED)
-def orbit_check(line1: pd.Series, line2: pd.Series, seconds: pd.Series, lat: pd.Series, lon: pd.Series, quality: pd.Series) -> pd.DataFrame:
-    """flag 1 below the horizon; qualities above 3 of a table that gives no window get zeros and flag 1."""
-    rows = []
-    for a, b, s, la, lo, q in zip(line1, line2, seconds, lat, lon, quality, strict=True):
-        if not isinstance(a, str) or pd.isna(s) or pd.isna(la) or pd.isna(lo) or pd.isna(q) or q > 4:
-            rows.append((0.0, 0.0, 0.0, 0.0, 0.0, 1, [], []))
-            continue
-        e, at = parse_elements(a, b), np.array([float(s)])
-        xyz = position(e, at)
-        (plat,), (plon,), (h,) = ground_point(xyz, at)
-        (alt,), (far,) = seen_from(xyz, at, np.array([la]), np.array([lo]))
-        found = passes(e, s + WINDOWS[int(q)][0] * 86400, s + WINDOWS[int(q)][1] * 86400, la, lo) if int(q) in WINDOWS else []
-        rows.append((plat, plon, h, alt, far, int(alt <= 0), [n for n, _ in found], [t for _, t in found]))
-    return pd.DataFrame(rows, columns=["sat_lat", "sat_lon", "sat_height", "station_alt", "station_distance", "flag", "events", "event_seconds"])

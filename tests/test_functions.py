@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from skyfilm.functions import geometry as G
 from tests import plain_kernels as K
-from skyfilm.functions import orbit, timeq
+from tests import plain_orbit as orbit
+from skyfilm.functions import timeq
 from skyfilm.functions import parse as P
 from skyfilm.operators import clean as C
 from skyfilm.operators import joins as J
@@ -95,7 +96,7 @@ def test_suppression_and_fits():
 
 
 def test_orbit_is_plausible():
-    from skyfilm.plans.science import LINE1, LINE2
+    from skyfilm.plans.orbits import LINE1, LINE2
 
     e = orbit.parse_elements(LINE1, LINE2)
     t = e["epoch"] + np.arange(0, 86400, 60.0)
