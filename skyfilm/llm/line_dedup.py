@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 RATIO = 0.05
 LEAST_PAGES = 5
-SALTS = 16
+#: pages of one host that meet one copy of its boilerplate
+PAGES_A_TASK = 1024
+#: hosts that are dealt to several tasks, those with most pages
+SPLIT_HOSTS = 1024
 
 
 def _host(host: str):
@@ -46,13 +49,18 @@ def dedup_lines(pages: DataFrame, host: str = "source", text: str = "text", rati
     ones are replaced, all others are kept whatever their names.
 
     Only lines' hashes are shuffled and counted, a row for each page and distinct line.  The few lines over
-    the ratio, fewer for each host than its lines a page divided by the ratio, then meet the pages; each host's
-    pages are dealt to several tasks, row by row, so that copies of one text are dealt too.
+    the ratio, fewer for each host than its lines a page divided by the ratio, then meet the pages; a host's
+    pages are dealt row by row, so that copies of one text are dealt too, to one task for every ``PAGES_A_TASK`` of them.  That holds for the
+    ``SPLIT_HOSTS`` hosts with most pages; any other has at most one in so many of all pages and is one task.
     """
     kept = [c for c in pages.columns if c not in ("n_lines", "n_dropped_lines")]
-    drop = boilerplate_lines(pages, host, text, ratio, least_pages, copies_once).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    sizes = pages.groupBy(_host(host).alias("host")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "host").limit(SPLIT_HOSTS)
+    split = F.broadcast(sizes.select("host", F.ceil(F.col("n") / PAGES_A_TASK).cast("int").alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
+    drop = boilerplate_lines(pages, host, text, ratio, least_pages, copies_once).join(split, "host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
     # columns of pages travel as one, so that no name of theirs meets one of ours
-    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), _host(host).alias("host"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), _host(host).alias("host"), F.monotonically_increasing_id().alias("id"))
+    rows = rows.join(split, "host", "left").withColumn("salt", F.pmod("id", salts).cast("int")).drop("id", "salts")
     rows = rows.join(drop, ["host", "salt"], "left")
     whole = F.col("row")[text]
     lines = F.split(whole, "\n")

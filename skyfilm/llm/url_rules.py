@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SALTS = 32
+#: points of one part that a task sweeps, where the part has no more marks than that
+POINTS_A_TASK = 1024
+#: parts that are dealt to several tasks, those with most points
+SPLIT_PARTS = 1024
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -41,18 +44,25 @@ def rules_frame(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFr
     return table.toDF("rule", "verdict", "rule_host", "rule_path")
 
 
-def sweep(marks: DataFrame, points: DataFrame, salts: int) -> DataFrame:
+def sweep(marks: DataFrame, points: DataFrame, points_a_task: int) -> DataFrame:
     """points(part, at, carry) with stack: the marks(part, at) of their part that their ``at`` starts with, innermost last.
 
-    Points of a part are dealt to ``salts`` tasks, each with that part's marks.  Points with nothing around them are left out.
+    Points of a part are dealt to tasks by a hash, each with that part's marks: one task for every ``points_a_task`` points, or as many
+    points as the part has marks if those are more, so that marks are never copied to more rows than there are points.  The
+    ``SPLIT_PARTS`` parts with most points are dealt so; any other holds at most one in so many of all points and is one
+    task.  Points with nothing around them are left out.
     """
+    sizes = points.groupBy("part").agg(F.count("*").alias("points")).join(marks.groupBy("part").agg(F.count("*").alias("marks")), "part")
+    split = F.ceil(F.col("points") / F.greatest(F.lit(points_a_task), F.col("marks"))).cast("int")
+    split = F.broadcast(sizes.orderBy(F.desc("points"), "part").limit(SPLIT_PARTS).select("part", split.alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
     ends = F.explode(F.sequence(F.lit(1), F.length("at")))
     starts = marks.select("part", "at", ends.alias("n")).withColumn("outer", F.expr("substring(at, 1, n)")).select("part", "at", "outer")
     starts = starts.union(marks.where("at = ''").selectExpr("part", "at", "''")).union(marks.where("at != ''").selectExpr("part", "at", "''"))
     stacks = starts.join(marks.select("part", F.col("at").alias("outer")), ["part", "outer"])
     stacks = stacks.groupBy("part", "at").agg(F.transform(F.array_sort(F.collect_set(F.struct(F.length("outer").alias("n"), "outer"))), lambda s: s["outer"]).alias("stack"))
-    stacks = stacks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    points = points.withColumn("salt", F.pmod(F.xxhash64("at", "carry"), F.lit(salts)).cast("int"))
+    stacks = stacks.join(split, "part", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    points = points.join(split, "part", "left").withColumn("salt", F.pmod(F.xxhash64("at", "carry"), salts).cast("int"))
     merged = stacks.select("part", "salt", "at", F.lit(0).alias("kind"), F.lit(None).cast(points.schema["carry"].dataType).alias("carry"), "stack").unionByName(
         points.select("part", "salt", "at", F.lit(1).alias("kind"), "carry", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack"))
     )
@@ -61,7 +71,7 @@ def sweep(marks: DataFrame, points: DataFrame, salts: int) -> DataFrame:
     return merged.withColumn("passed", passed).where("kind = 1 AND passed IS NOT NULL").select("part", "at", "carry", around.alias("stack")).where("size(stack) > 0")
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts: int = SALTS) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", points_a_task: int = POINTS_A_TASK) -> DataFrame:
     """pages with host, path, rule and verdict for the column url.
 
     rules: rule, verdict, rule_host, rule_path.  A rule fits its host and all subdomains if the path
@@ -82,9 +92,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts
     urls = pages.where("host != ''").select("host", "path").distinct()
     rule_hosts = rules.select(F.col("part").alias("at")).distinct().select(top.alias("part"), "at")
     hosts = urls.select("host").distinct().select(reversed_host(F.col("host")).alias("at"), F.col("host").alias("carry")).select(top.alias("part"), "at", "carry")
-    around = sweep(rule_hosts, hosts, salts).select(F.col("carry").alias("host"), F.explode("stack").alias("part"))
+    around = sweep(rule_hosts, hosts, points_a_task).select(F.col("carry").alias("host"), F.explode("stack").alias("part"))
 
-    found = sweep(rules.select("part", "at"), urls.join(around, "host").select("part", F.col("path").alias("at"), F.col("host").alias("carry")), salts)
+    found = sweep(rules.select("part", "at"), urls.join(around, "host").select("part", F.col("path").alias("at"), F.col("host").alias("carry")), points_a_task)
     found = found.select("part", F.element_at("stack", -1).alias("inner"), F.col("carry").alias("host"), F.col("at").alias("path"))
     best = found.join(rules.withColumnRenamed("at", "inner"), ["part", "inner"])
     best = best.groupBy("host", "path").agg(F.max_by("r", F.struct(F.length("r.rule"), F.length("part"), F.col("r.verdict") == "block")).alias("hit"))

@@ -138,7 +138,7 @@ def test_urls(spark):
     rules = [*URL_RULES, ("a.b.c.com/x/", "block"), ("com/", "allow"), ("b.c.com/x/y", "block"), ("example.com/en/77", "block")]
     urls = [None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/7?q=1", "http://example.com/en/77#a", "http://x.example.net/de/8/", "http://example.net/de/7", "http://myexample.org/es/", "ftp://a.b.c.com/x/y/z", "http://b.c.com/x/yes", "http://com/en/", "http://com", "http://É.com/en/ü", "http://a:80/en/", "http://a.com//en/", "x://y://com/en/", "http://" + "a." * 3000 + "com/en/1", "http://example.com?x/en/7", "http://example.com/\n/en/"] * 2
     df = spark.createDataFrame([(i, u, "clash", 1, 2, "z", "w") for i, u in enumerate(urls)], "page_id long, url string, rule string, hit int, at int, row string, part string")
-    got = url_rules.judge_urls(df, url_rules.rules_frame(spark, rules), salts=3)
+    got = url_rules.judge_urls(df, url_rules.rules_frame(spark, rules), points_a_task=2)
     want = [(i, *plain_judge(u, rules)) for i, u in enumerate(urls)]
     assert sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got.collect()) == want
     assert url_rules.judge_urls(df.where("page_id < 0"), url_rules.rules_frame(spark, rules)).count() == 0
@@ -225,7 +225,10 @@ def test_mixing_equal_rows(spark):
 # ---- line dedup
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("pages_a_task,hosts", [(1024, 1024), (7, 1024), (3, 1)])
+def test_line_dedup(spark, monkeypatch, pages_a_task, hosts):
+    monkeypatch.setattr(line_dedup, "PAGES_A_TASK", pages_a_task)
+    monkeypatch.setattr(line_dedup, "SPLIT_HOSTS", hosts)
     rng = np.random.default_rng(5)
     rows = []
     for i in range(200):
