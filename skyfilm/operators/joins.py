@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: names of at most so many bytes in all, counted first, are broadcast; a row takes some more than its text
+BROADCAST_BYTES, NAME_BYTES = 8 << 20, 64
+
+
 def era_of(year: Column) -> Column:
     """Which station list holds: to 1963, 1964, from 1965."""
     return F.when(year <= 1963, "early").when(year == 1964, "middle").when(year >= 1965, "late")
@@ -95,11 +99,15 @@ def contained_names(texts: DataFrame, key: str, text: str, names: DataFrame, nam
 
     The longest name wins, of equally long ones that with the smallest order; or always the smallest order.  Every run of words up to
     the length of the longest name is looked up in the table of names, which may have any size: one equi-join, whatever the number of names.
+    Names of at most ``BROADCAST_BYTES`` in all are broadcast; beside more of them, runs and names are sorted.  Runs are never broadcast: from the
+    files of the texts Spark cannot tell how many there are.
     """
     listed = names.withColumn("__w", _words(F.col(name))).where(F.size("__w") > 0).withColumn("__gram", F.array_join("__w", " ")).withColumn("__n", F.size("__w"))
     rest = [c for c in names.columns]
     listed = listed.groupBy("__gram", "__n").agg(F.min_by(F.struct(*rest), order).alias("__name"), F.min(order).alias("__order"))
-    most = listed.agg(F.max("__n")).first()[0] or 0
+    most, held_bytes = listed.agg(F.max("__n"), F.sum(NAME_BYTES + F.octet_length("__gram") + F.octet_length(F.col("__name").cast("string")))).first()
+    most = most or 0
+    listed = listed.hint("broadcast" if (held_bytes or 0) <= BROADCAST_BYTES else "merge")
     lengths = F.sequence(F.lit(1), F.least(F.lit(most), F.size("__w")))
     grams = F.flatten(F.transform(lengths, lambda k: F.transform(F.sequence(F.lit(1), F.size("__w") - k + 1), lambda i: F.array_join(F.slice("__w", i, k), " "))))
     held = texts.select(F.col(key), _words(F.col(text)).alias("__w")).where((F.size("__w") > 0) & F.lit(most > 0))
