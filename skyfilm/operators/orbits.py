@@ -21,6 +21,10 @@ E2 = FLAT * (2 - FLAT)
 TURN = 2 * math.pi
 # fixed values: the window, in days around a reading, that its time quality asks to search; others are not searched
 WINDOWS = {1: (-0.010416, 0.010416), 3: (0.0, 0.041667), 4: (0.0, 1.0)}
+#: steps of a block of times whose middle tells whether the satellite can come high enough, and the eccentricity above which all blocks are searched
+BLOCK, ROUND = 8, 0.7
+#: how fast the Earth turns, degrees a day, and how far geodetic and geocentric verticals may differ, degrees
+EARTH_RATE, PLUMB = 360.98564736629, 0.2
 #: qualities above this have no time to look up
 WORST_QUALITY = 4
 NEWTON, LATITUDE_STEPS = 8, 6
@@ -130,11 +134,27 @@ def orbit_check(df: DataFrame, line1: str, line2: str, seconds: str, lat: str, l
     return out.select(*own, *values, F.when(usable & (F.col("station_alt") > 0), 0).otherwise(1).alias("flag"))
 
 
+def _reach(dt: Column, span: float, least: float) -> Column:
+    """Kilometres beyond which a satellite of ``with_elements``, dt seconds from its epoch, cannot come to an altitude within a span of seconds.
+
+    At that altitude its distance follows from its greatest radius and the least one of the Earth; within the span, distance changes by no more
+    than both speeds' bounds.
+    """
+    e = F.col("__ecc")
+    far = F.col("__a") * (1 + e)
+    low, sine, cosine = RADIUS * (1 - FLAT), math.sin(math.radians(least - PLUMB)), math.cos(math.radians(least - PLUMB))
+    visible = F.sqrt(F.greatest(F.lit(0.0), far * far - (low * cosine) ** 2)) - low * sine
+    mean_rate = F.abs("__anom_rate") + 2 * F.abs("__drag") * TURN * (dt + span) / 86400**2
+    speed = F.col("__a") * mean_rate / (1 - e) + far * (F.abs("__node_rate") + F.abs("__peri_rate")) + RADIUS * math.radians(EARTH_RATE) / 86400
+    return visible + speed * span
+
+
 def passes(df: DataFrame, key: str, line1: str, line2: str, seconds: str, lat: str, lon: str, quality: str, least: float = 15.0, step: float = 60.0) -> DataFrame:
     """(key, event, event_seconds): rise and set at an altitude, and culminations above it, in the window of each reading's quality.
 
     key tells readings apart.  Each reading becomes a grid of times, ``step`` seconds apart, compared with their neighbours; a step in which the
-    altitude crosses ``least`` is looked at again at parts of a second, of which the last before the crossing counts.  Readings are dealt by
+    altitude crosses ``least`` is looked at again at parts of a second, of which the last before the crossing counts.  Blocks of ``BLOCK`` steps are left out where the
+    satellite is too far at their middle to come to ``least`` within the block or a step beside it, by bounds of its speed, so no event is lost.  Readings are dealt by
     key first and with the session's number of partitions, as one of them is up to 1,441 times: grids stay in their task.
     """
     spark = df.sparkSession
@@ -150,7 +170,14 @@ def passes(df: DataFrame, key: str, line1: str, line2: str, seconds: str, lat: s
         # as rows of an array of one: a filter behind it would else be moved down to the scan, with all of the orbit written out in it
         return with_sky(with_position(points, "__t"), lat, lon).select(*kept, F.explode(F.array("station_alt")).alias("__alt"))
 
-    grid = readings.withColumn("__i", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil((F.col("__to") - F.col("__from")) / step))))
+    last = F.ceil((F.col("__to") - F.col("__from")) / step)
+    blocks = readings.withColumn("__last", last).withColumn("__b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("__last") / BLOCK))))
+    blocks = blocks.withColumn("__t", F.col(seconds) + F.col("__from") + (F.col("__b") * BLOCK + (BLOCK - 1) / 2) * step)
+    kept = [*readings.columns, "__last", "__b"]
+    # as rows of an array of one, for the same reason as above
+    near = with_sky(with_position(blocks, "__t"), lat, lon).select(*kept, "__t", F.explode(F.array("station_distance")).alias("__far"))
+    near = near.where(~((F.col("__ecc") < ROUND) & (F.col("__far") > _reach(F.abs(F.col("__t") - F.col("__epoch")), (BLOCK + 1) / 2 * step, least)))).drop("__t", "__far")
+    grid = near.withColumn("__i", F.explode(F.sequence(F.col("__b") * BLOCK, F.least("__last", F.col("__b") * BLOCK + BLOCK - 1)))).drop("__last", "__b")
     grid = grid.withColumn("__t", F.col(seconds) + F.col("__from") + F.col("__i") * step)
     own = [c for c in grid.columns if c not in ("__from", "__to", quality)]
     w = Window.partitionBy(key).orderBy("__i")

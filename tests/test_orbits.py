@@ -60,3 +60,12 @@ def test_grids_stay_in_their_task(spark):
     plan = O.passes(df, "id", *ARGS)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 3 and "Python" not in plan
     assert O.passes(df.where("id < 0"), "id", *ARGS).count() == 0 and O.orbit_check(df.where(F.lit(False)), *ARGS).count() == 0
+
+
+def test_blocks_out_of_reach_are_left_out(spark, monkeypatch):
+    """Few times of a day are worth a look, and none that matters is lost."""
+    _, df = readings(spark)
+    few = sorted(O.passes(df, "id", *ARGS).collect())
+    assert "__far" in O.passes(df, "id", *ARGS)._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(O, "ROUND", 0.0)
+    assert few and few == sorted(O.passes(df, "id", *ARGS).collect())
