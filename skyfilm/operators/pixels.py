@@ -18,19 +18,24 @@ def sizes(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("k").agg((F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
 
 
+def _filled(every: DataFrame, rows: DataFrame, by: Sequence[str], value: Column) -> DataFrame:
+    """A row for each of ``every``, with an aggregate v of its rows, 0 without any: one aggregation, so tables dealt by picture stay where they are."""
+    both = every.select(*by, F.lit(None).cast(rows.schema["v"].dataType).alias("v"), F.lit(True).alias("wanted")).unionByName(rows.select(*by, "v", F.lit(False).alias("wanted")))
+    return both.groupBy(*by).agg(F.coalesce(value, F.lit(0)).alias("v"), F.max("wanted").alias("wanted")).where("wanted").drop("wanted")
+
+
 def dense(pixels: DataFrame, size: DataFrame) -> DataFrame:
     """Every pixel of the pictures, 0 where none was."""
     rows = size.select("k", "width", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y"))
     grid = rows.select("k", "y", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("x"))
-    return grid.join(pixels.select("k", "y", "x", "v"), ["k", "y", "x"], "left").select("k", "y", "x", F.coalesce("v", F.lit(0)).alias("v"))
+    return _filled(grid, pixels, ["k", "y", "x"], F.max("v"))
 
 
 def line_sums(pixels: DataFrame, size: DataFrame, axis: str) -> DataFrame:
     """(k, i, s): sums of all columns (axis x) or rows (axis y), also of empty ones."""
     length = {"x": "width", "y": "height"}[axis]
     every = size.select("k", F.explode(F.sequence(F.lit(0), F.col(length) - 1)).alias("i"))
-    sums = pixels.groupBy("k", F.col(axis).alias("i")).agg(F.sum("v").alias("s"))
-    return every.join(sums, ["k", "i"], "left").select("k", "i", F.coalesce("s", F.lit(0)).alias("s"))
+    return _filled(every, pixels.select("k", F.col(axis).alias("i"), "v"), ["k", "i"], F.sum("v")).withColumnRenamed("v", "s")
 
 
 def bright_limits(sums: DataFrame, beyond: int = -1) -> DataFrame:
@@ -139,13 +144,18 @@ def dense_parts(mask: DataFrame, size: DataFrame, side: int = 100, step: int = 2
     marks = mask.select("k", "y", "x").distinct()
     sums = window_sums(dense(marks.withColumn("v", F.lit(1)), size), size, side, side, step)
     whole = marks.groupBy("k").agg(F.count("*").alias("all")).join(size, "k")
-    full = sums.join(whole, "k").where(F.col("total") * F.col("height") * F.col("width") > F.lit(times) * F.col("all") * F.col("tall") * F.col("wide")).select("k", "top", "left", "tall", "wide")
-    # a pixel asks the windows that may hold it, each of which is a key
-    back = F.sequence(F.lit(0), F.lit(-(-side // step)))
-    asks = marks.select("k", "y", "x", F.explode(F.transform(back, lambda i: F.floor(F.col("y") / step) * step - i * step)).alias("top"))
-    asks = asks.select("k", "y", "x", "top", F.explode(F.transform(back, lambda i: F.floor(F.col("x") / step) * step - i * step)).alias("left")).where("top >= 0 AND left >= 0")
-    held = asks.join(full, ["k", "top", "left"]).where((F.col("y") < F.col("top") + F.col("tall")) & (F.col("x") < F.col("left") + F.col("wide")))
-    return held.select("k", "y", "x").distinct()
+    fuller = F.col("total") * F.col("height") * F.col("width") > F.lit(times) * F.col("all") * F.col("tall") * F.col("wide")
+    full = sums.join(whole, "k").select("k", "top", "left", "tall", "wide", "width", fuller.alias("full"))
+    # windows stand in reading order, so a pixel finds those that may hold it by their number
+    line = F.floor((F.col("width") - F.col("wide")) / step) + 1
+    told = full.groupBy("k", "tall", "wide", line.alias("line")).agg(F.transform(F.array_sort(F.collect_list(F.struct("top", "left", "full"))), lambda w: w["full"]).alias("full"))
+    held = F.lit(False)
+    for i in range(-(-side // step)):
+        for j in range(-(-side // step)):
+            down, across = F.floor(F.col("y") / step) - i, F.floor(F.col("x") / step) - j
+            fits = (down >= 0) & (across >= 0) & (across < F.col("line")) & (F.col("y") < down * step + F.col("tall")) & (F.col("x") < across * step + F.col("wide"))
+            held = held | F.coalesce(fits & F.get("full", (down * F.col("line") + across).cast("int")), F.lit(False))
+    return marks.join(told, "k").where(held).select("k", "y", "x")
 
 
 def without_grid(pixels: DataFrame, rows: Sequence[int], columns: Sequence[int], thickness: int = 5) -> DataFrame:
@@ -250,9 +260,17 @@ def long_lines(pixels: DataFrame, angles: Sequence[int], least: int, near: int =
 
 def without_lines(pixels: DataFrame, lines: DataFrame, angles: Sequence[int], thickness: int = 0) -> DataFrame:
     """Pixels that lie on no line, nor within thickness of one."""
-    wide = lines.select("k", "angle", F.explode(F.sequence(F.col("offset") - thickness, F.col("offset") + thickness)).alias("offset")).distinct()
-    on = line_votes(pixels, angles).join(wide, ["k", "angle", "offset"], "left_semi").select("k", "y", "x").distinct()
-    return pixels.join(on, ["k", "y", "x"], "left_anti")
+    # for each direction of a picture, which offsets between its first and last line are on one, looked up by number
+    wide = lines.groupBy("k", "angle").agg((F.min("offset") - thickness).alias("low"), (F.max("offset") + thickness).alias("high"), F.collect_set("offset").alias("at"))
+    far = F.sequence(F.lit(-thickness), F.lit(thickness))
+    on = F.map_from_entries(F.transform(F.array_distinct(F.flatten(F.transform("at", lambda o: F.transform(far, lambda d: o + d)))), lambda o: F.struct(o, F.lit(True))))
+    wide = wide.withColumn("on", on).select("k", "angle", "low", F.transform(F.sequence("low", "high"), lambda o: F.coalesce(F.try_element_at("on", o), F.lit(False))).alias("on"))
+    told = wide.groupBy("k").agg(*[F.first(F.when(F.col("angle") == a, F.struct("low", "on")), ignorenulls=True).alias(f"__{i}") for i, a in enumerate(angles)])
+    held = F.lit(False)
+    for i, (_, c, s) in enumerate(directions(angles)):
+        at = F.floor((F.col("x") * c + F.col("y") * s + _UNIT // 2) / _UNIT) - F.col(f"__{i}.low")
+        held = held | F.coalesce(F.get(f"__{i}.on", at.cast("int")), F.lit(False))
+    return pixels.join(told, "k", "left").where(~held).select(*pixels.columns)
 
 
 def level_counts(pixels: DataFrame, size: DataFrame, levels: int = 256) -> DataFrame:
@@ -264,10 +282,6 @@ def level_counts(pixels: DataFrame, size: DataFrame, levels: int = 256) -> DataF
     return counts.unionByName(dark).unionByName(every).groupBy("k", "level").agg(F.sum("n").alias("n"))
 
 
-def _first_best(rows: DataFrame, score: Column, name: str) -> DataFrame:
-    return rows.where(score.isNotNull()).groupBy("k").agg(F.max_by("level", F.struct(score, -F.col("level"))).alias(name))
-
-
 def thresholds(counts: DataFrame) -> DataFrame:
     """(k, otsu, yen, triangle, isodata, median) from counts of levels (k, level, n); pixels above a threshold are bright.
 
@@ -278,7 +292,8 @@ def thresholds(counts: DataFrame) -> DataFrame:
     to = Window.partitionBy("k").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("k")
     n, level = F.col("n"), F.col("level")
-    c = counts.select("k", "level", "n", F.sum("n").over(to).alias("n0"), F.sum(n * level).over(to).alias("s0"), F.sum(n * n).over(to).alias("q0"), F.sum("n").over(whole).alias("all_n"), F.sum(n * level).over(whole).alias("all_s"), F.sum(n * n).over(whole).alias("all_q"), F.max("n").over(whole).alias("most"))
+    c = counts.select("k", "level", "n", F.sum("n").over(to).alias("n0"), F.sum(n * level).over(to).alias("s0"), F.sum(n * n).over(to).alias("q0"), F.sum("n").over(whole).alias("all_n"), F.sum(n * level).over(whole).alias("all_s"), F.sum(n * n).over(whole).alias("all_q"), F.max(F.when(n > 0, F.struct("n", (-level).alias("l")))).over(whole).alias("most"), F.min(F.when(n > 0, level)).over(whole).alias("first"), F.max(F.when(n > 0, level)).over(whole).alias("last"))
+    c = c.withColumns({"peak": -F.col("most.l"), "top": F.col("most.n")})
     n0, n1 = F.col("n0").cast("double"), (F.col("all_n") - F.col("n0")).cast("double")
     both = (n0 > 0) & (n1 > 0)
     m0, m1 = F.col("s0") / n0, (F.col("all_s") - F.col("s0")) / n1
@@ -287,16 +302,13 @@ def thresholds(counts: DataFrame) -> DataFrame:
     yen = F.when((q0 > 0) & (q1 > 0) & both, n0 * n1 * n0 * n1 / (q0 * q1))
     iso = F.when(both & (level >= F.floor((m0 + m1) / 2)), -level)
     half = F.when(F.col("n0") * 2 >= F.col("all_n"), -level)
-    ends = counts.where("n > 0").groupBy("k").agg(F.min("level").alias("first"), F.max("level").alias("last"), F.max_by("level", F.struct("n", -level)).alias("peak"), F.max("n").alias("top"))
     # distance from the line between the peak and the empty end, in whole numbers and without its constant factor
     longer = F.col("peak") - F.col("first") >= F.col("last") - F.col("peak")
     end = F.when(longer, F.col("first") - 1).otherwise(F.col("last") + 1)
-    below = F.col("top") * F.abs(level - end) - n * F.abs(F.col("peak") - end)
     inside = F.when(longer, level.between(F.col("first"), F.col("peak"))).otherwise(level.between(F.col("peak"), F.col("last")))
-    out = _first_best(c, otsu, "otsu")
-    for more in (_first_best(c, yen, "yen"), _first_best(counts.join(ends, "k").where(inside).withColumn("below", below), F.col("below"), "triangle"), _first_best(c, iso, "isodata"), _first_best(c, half, "median")):
-        out = out.join(more, "k", "full")
-    return out
+    below = F.when(inside, F.col("top") * F.abs(level - end) - n * F.abs(F.col("peak") - end))
+    measures = {"otsu": otsu, "yen": yen, "triangle": below, "isodata": iso, "median": half}
+    return c.groupBy("k").agg(*[F.max_by("level", F.when(score.isNotNull(), F.struct(score, -level))).alias(name) for name, score in measures.items()])
 
 
 _LAPLACE = [(dy, dx, (1, -2, 1)[dy + 1] * (1, -2, 1)[dx + 1]) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
@@ -329,19 +341,25 @@ def equalised(picture: DataFrame, size: DataFrame, tiles: int = 8, clip: float =
     most = F.greatest(F.floor(clip * F.col("th") * F.col("tw") / 256), F.lit(1))
     shared = Window.partitionBy("k", "ty", "tx")
     counts = counts.withColumns({"over": F.sum(F.greatest(F.col("n") - most, F.lit(0))).over(shared), "n": F.least("n", most)})
-    found = counts.groupBy("k", "ty", "tx", "th", "tw", "over").agg(F.map_from_entries(F.collect_list(F.struct("level", "n"))).alias("n"))
-    running = F.aggregate(F.sequence(F.lit(0), F.lit(255)), F.array().cast("array<long>"), lambda sums, i: F.concat(sums, F.array(F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0).cast("long")) + F.coalesce(F.try_element_at("n", i), F.lit(0)))))
+    # the running sum stands until the next level that is there; none is below the first
+    levels = shared.orderBy("level")
+    counts = counts.withColumns({"sum": F.sum("n").over(levels), "until": F.lead("level", 1, 256).over(levels)})
+    stands = F.array_repeat("sum", F.col("until") - F.col("level"))
+    found = counts.groupBy("k", "ty", "tx", "th", "tw", "over").agg(F.min("level").alias("first"), F.array_sort(F.collect_list(F.struct("level", stands.alias("sums")))).alias("sums"))
+    running = F.concat(F.array_repeat(F.lit(0).cast("long"), F.col("first")), F.flatten(F.transform("sums", lambda s: s["sums"])))
     shade = F.transform(running, lambda c, i: F.least(F.rint((c + (i + 1) * F.col("over") / 256) * 255 / (F.col("th") * F.col("tw"))), F.lit(255.0)))
-    tables = found.select("k", "ty", "tx", shade.alias("shade"))
+    # a picture's tables stand side by side, so that a pixel finds its four by their numbers
+    every_tile = found.select("k", (F.col("ty") * tiles + F.col("tx")).alias("tile"), shade.alias("shade"))
+    tables = every_tile.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("tile", "shade"))).alias("of")).select("k", F.transform(F.sequence(F.lit(0), F.lit(tiles * tiles - 1)), lambda t: F.try_element_at("of", t)).alias("shades"))
 
-    def around(at: str, tile: str) -> Column:
+    def around(at: str, tile: str) -> list[tuple[Column, Column]]:
         """The two tiles around a place, by their middles, with their shares."""
         middle = (F.col(at) + 0.5) / F.col(tile) - 0.5
-        first = F.floor(middle)
-        second = middle - first
-        return F.array(*[F.struct(F.least(F.greatest(first + i, F.lit(0)), F.lit(tiles - 1)).cast("int").alias("t"), (second if i else 1 - second).alias("w")) for i in (0, 1)])
-
-    asks = sized.select("k", "y", "x", "v", F.explode(around("y", "th")).alias("r"), around("x", "tw").alias("cs")).select("k", "y", "x", "v", "r", F.explode("cs").alias("c"))
-    asks = asks.select("k", "y", "x", "v", F.col("r.t").alias("ty"), F.col("c.t").alias("tx"), (F.col("r.w") * F.col("c.w")).alias("w"))
-    told = asks.join(tables, ["k", "ty", "tx"]).groupBy("k", "y", "x").agg(F.sum(F.col("w") * F.col("shade")[F.col("v").cast("int")]).alias("s"))
-    return told.select("k", "y", "x", F.rint(F.round("s", 9)).cast("int").alias("v"))
+        second = middle - F.floor(middle)
+        return [(F.least(F.greatest(F.floor(middle) + i, F.lit(0)), F.lit(tiles - 1)).cast("int"), second if i else 1 - second) for i in (0, 1)]
+
+    told = F.lit(0.0)
+    for ty, wy in around("y", "th"):
+        for tx, wx in around("x", "tw"):
+            told = told + F.coalesce(wy * wx * F.get(F.get("shades", ty * tiles + tx), F.col("v").cast("int")), F.lit(0.0))
+    return sized.join(tables, "k").select("k", "y", "x", F.rint(F.round(told, 9)).cast("int").alias("v"))

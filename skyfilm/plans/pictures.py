@@ -9,6 +9,7 @@ from ..operators import peaks as PK
 from ..operators import pixels as PX
 from ..operators import runs as R
 from ..operators import strips as ST
+from ..operators.tables import dealt
 from .registry import query, table
 
 # a picture of each supplier: quantity against part number, brighter where more lines meet
@@ -19,7 +20,7 @@ _ROLL_PX = _PX.replace("px AS", "own AS").replace("size AS", "own_size AS").repl
 
 
 def pixels(spark, sf):
-    return table(spark, sf, "lineitem").selectExpr(*_PIXEL).groupBy("k", "y", "x").agg(F.least(F.lit(255), F.sum("light")).cast("int").alias("v"))
+    return dealt(table(spark, sf, "lineitem").selectExpr(*_PIXEL)).groupBy("k", "y", "x").agg(F.least(F.lit(255), F.sum("light")).cast("int").alias("v"))
 
 
 def rolls(spark, sf):

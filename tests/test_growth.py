@@ -1,8 +1,13 @@
 """Plans whose work grows with the tables: what is broadcast, how rows are dealt, and that no step expands in one place."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from skyfilm.operators import joins as J
+from skyfilm.operators import tables
+from skyfilm.plans import registry
 
 
 def plan(df):
@@ -19,3 +24,27 @@ def test_runs_of_words_are_not_broadcast(spark, tmp_path):
     assert "BroadcastExchange" not in plan(many)
     for df in (found, many):
         assert {r["k"]: r["name"] for r in df.collect()} == {k: f"red ring {k % 7}" for k in range(40)}
+
+
+def test_rows_are_dealt_by_key_to_tasks_of_one_size(spark, monkeypatch):
+    rows = spark.range(9000).selectExpr("id % 500 AS k", "id AS x")
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 1000)
+    monkeypatch.setattr(tables, "MOST_OF_KEY", 100)
+    assert tables.dealt(rows).rdd.getNumPartitions() == 9 and tables.dealt(rows.limit(900)).rdd.getNumPartitions() == 8
+    hot = rows.unionByName(spark.range(200).selectExpr("7 AS k", "id AS x"))
+    assert "Exchange" not in plan(tables.dealt(hot)) and tables.dealt(rows.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["im35_long_lines", "im35_without_lines", "im32_equalised", "dt20_thresholds", "im24_noise", "im20_trace", "im07_densest_window"])
+def test_steps_over_pictures_leave_them_in_their_task(spark, monkeypatch, name):
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 1000)
+    exchanges = re.findall(r"Exchange (\S+partitioning\([^)]*\))", plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001")))
+    assert exchanges and all(re.fullmatch(r"hashpartitioning\(k#\d+L, \d+\)", e) for e in exchanges), exchanges
+
+
+@pytest.mark.parametrize("name", ["im35_without_lines", "im32_equalised", "im20_trace", "im04_components"])
+def test_pictures_of_too_many_pixels_give_the_same(spark, monkeypatch, name):
+    """Where a key is hot its lines and places are dealt, with the same rows."""
+    whole = registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    monkeypatch.setattr(tables, "MOST_OF_KEY", 10)
+    assert sorted(registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()) == sorted(whole)
