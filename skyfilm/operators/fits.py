@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import dealt, stored
+
 #: a pivot below this leaves a polynomial undetermined
 LEAST_PIVOT = 1e-9
 
@@ -86,24 +88,24 @@ def curve_fits(points: DataFrame, highest: int = 9, rounds: int = 2, lines: tupl
     """(k, family, residual, best): sums of squared residuals of every curve through the points (k, x, y) of each group, and the least.
 
     Families are poly1 to poly<highest> and the lines' names, the earlier of equals is best.  Curves that the points leave undetermined, or that are not defined at
-    all of them, have no row.  Of a line's rounds the best counts.
+    all of them, have no row.  Of a line's rounds the best counts.  What a round finds, a row for each group, is stored, so a task holds the points of one round.
     """
-    points = points.select("k", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    points = dealt(points.select("k", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL"))
     capacity = points.groupBy("k").agg((F.max("y") * HEADROOM).alias("m"))
-    state = polynomials(points, highest).join(capacity, "k")
+    state = stored(polynomials(points, highest).join(capacity, "k"), "state")
     sums = []
     for line in lines:
         u, w = F.expr(line.u), F.expr(line.straight)
         ok = u.isNotNull() & w.isNotNull()
         u, w = F.when(ok, u), F.when(ok, w)
         sums += [F.sum(e).alias(f"{line.name}_{name}") for name, e in (("uu", u * u), ("u", u), ("uw", u * w), ("w", w))] + [F.sum(ok.cast("double")).alias(f"{line.name}_n")]
-    first = points.join(capacity, "k").groupBy("k").agg(*sums)
+    first = points.join(state.select("k", "m"), "k").groupBy("k").agg(*sums)
     start = []
     for line in lines:
         uu, u, n, uw, w = (F.col(f"{line.name}_{c}") for c in ("uu", "u", "n", "uw", "w"))
         a, b = _solve_two(uu, u, n, uw, w)
         start += [a.alias(f"{line.name}_a"), b.alias(f"{line.name}_b"), F.lit(None).cast("double").alias(f"{line.name}_best")]
-    state = state.join(first.select("k", *start), "k")
+    state = stored(state.join(first.select("k", *start), "k"), "state")
     for round_ in range(rounds + 1):
         sums = []
         for line in lines:
@@ -124,7 +126,7 @@ def curve_fits(points: DataFrame, highest: int = 9, rounds: int = 2, lines: tupl
             da, db = _solve_two(col("uu"), col("u"), col("n"), col("ur"), col("r"))
             new += [(col("a") + da).alias(f"{line.name}_a"), (col("b") + db).alias(f"{line.name}_b"), F.least(col("best"), sse).alias(f"{line.name}_best")]
         residuals = [f"poly{d}" for d in range(1, highest + 1)]
-        state = state.join(found, "k").select("k", *kept, *new, *([] if round_ else residuals))
+        state = stored(state.join(found, "k").select("k", *kept, *new, *([] if round_ else residuals)), "state")
     families = [f"poly{d}" for d in range(1, highest + 1)] + [line.name for line in lines]
     values = [F.col(f"poly{d}") for d in range(1, highest + 1)] + [F.col(f"{line.name}_best") for line in lines]
     rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("family"), v.alias("residual")) for i, (f, v) in enumerate(zip(families, values, strict=True))])
