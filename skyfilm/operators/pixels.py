@@ -287,6 +287,16 @@ def thresholds(counts: DataFrame) -> DataFrame:
 
     otsu: greatest variance between both sides; yen: greatest correlation of both sides' squared shares; triangle: furthest
     below the line from the peak to the longer tail's end; isodata: first level not below the mean of both sides' means, rounded down; median: first level with half of the
+def otsu_score(counts: DataFrame) -> DataFrame:
+    """Counts of levels (k, level, n) with the variance between both sides of each level as score, null where a side is empty."""
+    to, whole = Window.partitionBy("k").orderBy("level").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("k")
+    n, s = F.col("n"), F.col("n") * F.col("level")
+    c = counts.withColumns({"n0": F.sum(n).over(to), "s0": F.sum(s).over(to), "all_n": F.sum(n).over(whole), "all_s": F.sum(s).over(whole)})
+    n0, n1 = F.col("n0").cast("double"), (F.col("all_n") - F.col("n0")).cast("double")
+    m0, m1 = F.col("s0") / n0, (F.col("all_s") - F.col("s0")) / n1
+    return c.withColumn("score", F.when((n0 > 0) & (n1 > 0), n0 * n1 * (m0 - m1) * (m0 - m1))).select(*counts.columns, "score")
+
+
     pixels at or below it.  Of equal levels the first counts; a measure that no level has gives null.
     """
     to = Window.partitionBy("k").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)

@@ -9,7 +9,7 @@ from ..operators import peaks as PK
 from ..operators import pixels as PX
 from ..operators import runs as R
 from ..operators import strips as ST
-from ..operators.tables import dealt
+from ..operators.tables import dealt, stored
 from .registry import query, table
 
 # a picture of each supplier: quantity against part number, brighter where more lines meet
@@ -23,6 +23,11 @@ def pixels(spark, sf):
     return dealt(table(spark, sf, "lineitem").selectExpr(*_PIXEL)).groupBy("k", "y", "x").agg(F.least(F.lit(255), F.sum("light")).cast("int").alias("v"))
 
 
+def sized(spark, sf):
+    """Pixels, and sizes as a stored table, which the line items tell without their sums."""
+    return pixels(spark, sf), stored(PX.sizes(table(spark, sf, "lineitem").selectExpr(*_PIXEL)), "sizes")
+
+
 def rolls(spark, sf):
     """Pixels and sizes of the pictures of each roll."""
     p = pixels(spark, sf)
@@ -361,8 +366,7 @@ _STRIPS = f"""{_MASKED}, {_LABELS}, kp AS (SELECT k, count(*) AS parts, sum(area
 
 
 def _strips(spark, sf):
-    p = pixels(spark, sf)
-    return ST.prepared_strips(p, PX.sizes(p), **_STRIP)
+    return ST.prepared_strips(*sized(spark, sf), **_STRIP)
 
 
 @query("im32_prepared", f"WITH RECURSIVE {_STRIPS} SELECT * FROM done")

@@ -48,3 +48,40 @@ def test_pictures_of_too_many_pixels_give_the_same(spark, monkeypatch, name):
     whole = registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
     monkeypatch.setattr(tables, "MOST_OF_KEY", 10)
     assert sorted(registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()) == sorted(whole)
+
+
+_HOLDS = re.compile(r"(?:\* ?\(?\d*\)? ?|[-+] )(Sort|SortMergeJoin|HashAggregate|ObjectHashAggregate|SortAggregate|Window)\b")
+
+
+@pytest.mark.parametrize("name, most", [("im32_prepared", 24), ("dt19_blank_outside", 15), ("im36_tiles", 9), ("im26_curve_fit", 15), ("im11_trimmed_margins", 20)])
+def test_no_plan_holds_many_steps_at_once(spark, monkeypatch, name, most):
+    """Every sort and aggregation of a task keeps its memory until the task ends, so plans of many steps are cut by tables of a row for each picture."""
+    from skyfilm.operators import fits, pixels, runs, strips
+    from skyfilm.plans import pictures
+
+    plans, whole = [], tables.stored
+
+    def stored(rows, label):
+        plans.append(plan(rows))
+        return whole(rows, label)
+
+    for module in (fits, pixels, runs, strips, pictures):
+        monkeypatch.setattr(module, "stored", stored, raising=False)
+    plans.append(plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001")))
+    held = [len(_HOLDS.findall(p)) for p in plans]
+    assert max(held) <= most, held
+
+
+def test_pictures_of_a_dark_foreground_are_parted_as_others_are(spark):
+    """Only those whose dark side is rarer are filled up; ties are dark, one colour and no pixels have no level."""
+    from skyfilm.operators import pixels as PX
+    from skyfilm.operators import strips as ST
+
+    pictures = {1: [[9, 9, 0], [9, 9, 9]], 2: [[3, 0, 0], [0, 0, 6]], 3: [[5, 0], [5, 0]], 4: [[7, 7], [7, 7]], 5: [[0, 0], [0, 0]]}
+    rows = [(k, y, x, v) for k, p in pictures.items() for y, line in enumerate(p) for x, v in enumerate(line) if v]
+    t = spark.createDataFrame(rows, "k long, y int, x int, v int")
+    size = spark.createDataFrame([(k, len(p), len(p[0])) for k, p in pictures.items()], "k long, height int, width int")
+    mask, levels = ST.in_two_colours(t, size, 0.75, stretch=True)
+    assert sorted((r.k, r.y, r.x) for r in mask.collect()) == [(1, 0, 2), (2, 0, 0), (2, 1, 2), (3, 0, 1), (3, 1, 1)]
+    by_all = PX.thresholds(PX.level_counts(ST.stretched(t), size)).selectExpr("k", "CAST(floor(otsu * 0.75) AS INT) AS level")
+    assert sorted(levels.collect()) == sorted(by_all.collect()) and {r.k for r in levels.where("level IS NULL").collect()} == {4, 5}
