@@ -378,12 +378,11 @@ def _(spark, sf):
 def _(spark, sf):
     """A run over what an earlier run has not done, both put together and counted by status."""
     from ..operators.joins import worklist
-    from ..operators.tables import stored
 
-    p = pixels(spark, sf)
-    first = stored(ST.prepared_strips(p.where("k % 3 = 0"), PX.sizes(p).where("k % 3 = 0"), **_STRIP), "strips")
+    p, size = sized(spark, sf)
+    first = stored(ST.prepared_strips(p.where("k % 3 = 0"), size.where("k % 3 = 0"), **_STRIP), "strips")
     rest = worklist(p, first, ["k"])
-    return ST.summary(first.unionByName(ST.prepared_strips(rest, PX.sizes(rest), **_STRIP)))
+    return ST.summary(first.unionByName(ST.prepared_strips(rest, worklist(size, first, ["k"]), **_STRIP)))
 
 
 @query("dt19_blank_outside", f"WITH {_MASKED} SELECT k, y, x FROM px")
