@@ -387,11 +387,8 @@ def _(spark, sf):
 
 @query("dt19_blank_outside", f"WITH {_MASKED} SELECT k, y, x FROM px")
 def _(spark, sf):
-    p = pixels(spark, sf)
-    size, rows = PX.sizes(p), _STRIP["rows"]
-    own = size.where(F.col("height") >= rows).select("k", F.lit(rows).alias("height"), "width")
-    mask, _ = ST.in_two_colours(ST.stretched(PX.bottom_strip(p, size, rows)), own)
-    return ST.blank_outside(mask, PX.long_lines(mask, [90], _STRIP["line"]), own, _STRIP["padding"]).select("k", "y", "x")
+    mask, lines, _, own = ST.strip_marks(*sized(spark, sf), _STRIP["rows"], line=_STRIP["line"])
+    return ST.blank_outside(mask, lines, own, _STRIP["padding"]).select("k", "y", "x")
 
 
 @query("im36_tiles", f"""WITH {_PX}, z AS (SELECT k, height, width, greatest(1, CAST(floor(width * 64 / height) AS INT)) AS tw FROM size), t AS (SELECT *, unnest(CASE WHEN tw <= 40 THEN [0] ELSE list_append(range(0, tw - 40, 30), tw - 40) END)::INT AS start FROM z),
