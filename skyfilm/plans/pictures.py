@@ -395,8 +395,7 @@ def _(spark, sf):
     ty AS (SELECT *, unnest(range(64)) AS ty FROM t), g AS (SELECT *, unnest(range(start, least(start + 40, tw))) AS tx FROM ty)
     SELECT g.k, start, ty::INT AS y, (tx - start)::INT AS x, v FROM g JOIN px ON px.k = g.k AND px.y = ty * height // 64 AND px.x = tx * width // tw""")
 def _(spark, sf):
-    p = pixels(spark, sf)
-    return ST.tiled(*ST.resized(p, PX.sizes(p), 64), 40, 10)
+    return ST.tiled(*ST.resized(*sized(spark, sf), 64), 40, 10)
 
 
 @query("im14_picture_grid")
