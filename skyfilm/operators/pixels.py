@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 
 def sizes(pixels: DataFrame) -> DataFrame:
     """(k, height, width) up to the outermost pixel that is there."""
@@ -43,15 +45,17 @@ def bright_limits(sums: DataFrame, beyond: int = -1) -> DataFrame:
 
     A line is above the mean of all lines scaled to their range if n times its sum is above the sum of all, which whole numbers tell exactly.
     """
-    whole = sums.groupBy("k").agg(F.sum("s").alias("all"), F.count("*").alias("n")).where("all > 0")
-    above = sums.join(whole, "k").where((F.col("s") * F.col("n") > F.col("all")) & (F.col("i") > beyond))
+    whole = Window.partitionBy("k")
+    told = sums.withColumns({"all": F.sum("s").over(whole), "n": F.count("*").over(whole)})
+    above = told.where((F.col("all") > 0) & (F.col("s") * F.col("n") > F.col("all")) & (F.col("i") > beyond))
     return above.groupBy("k").agg(F.min("i").alias("low"), F.max("i").alias("high"))
 
 
 def exposed_area(pixels: DataFrame, size: DataFrame, start: int = 15) -> DataFrame:
     """(k, left, right, top, bottom, class, details): the exposed picture's limits, or class loss and why; right and bottom are no longer inside."""
-    columns = bright_limits(line_sums(pixels, size, "x"), start).select("k", F.col("low").alias("left"), F.col("high").alias("right"))
-    rows = bright_limits(line_sums(pixels, size, "y")).select("k", F.col("low").alias("top"), F.col("high").alias("bottom"))
+    # one after the other, so that no task holds the steps of both
+    columns = stored(bright_limits(line_sums(pixels, size, "x"), start).select("k", F.col("low").alias("left"), F.col("high").alias("right")), "columns")
+    rows = stored(bright_limits(line_sums(pixels, size, "y")).select("k", F.col("low").alias("top"), F.col("high").alias("bottom")), "rows")
     found = size.select("k").join(columns, "k", "left").join(rows, "k", "left")
     ok = F.coalesce((F.col("left") < F.col("right")) & (F.col("top") < F.col("bottom")), F.lit(False))
     limits = [F.when(ok, F.col(c)).alias(c) for c in ("left", "right", "top", "bottom")]
@@ -75,9 +79,10 @@ def grouped_limits(sums: DataFrame, group: int = 10, cut: int = 20) -> DataFrame
 
 def narrowed_limits(sums: DataFrame, widest: int = 300, step: int = 10) -> DataFrame:
     """(k, low, high, offset): lines above a share of the range of sums, the first of 0, step, ... per cent at which they span no more than widest."""
-    ends = sums.groupBy("k").agg(F.min("s").alias("least"), F.max("s").alias("most")).where("most > least")
+    whole = Window.partitionBy("k")
+    ends = sums.withColumns({"least": F.min("s").over(whole), "most": F.max("s").over(whole)}).where("most > least")
     share = (F.col("s") - F.col("least")) * 100 > F.col("offset") * (F.col("most") - F.col("least"))
-    tried = sums.join(ends, "k").withColumn("offset", F.explode(F.array(*[F.lit(o) for o in range(0, 100, step)]))).where(share)
+    tried = ends.withColumn("offset", F.explode(F.array(*[F.lit(o) for o in range(0, 100, step)]))).where(share)
     spans = tried.groupBy("k", "offset").agg(F.min("i").alias("low"), F.max("i").alias("high")).where(F.col("high") - F.col("low") <= widest)
     return spans.groupBy("k").agg(F.min(F.struct("offset", "low", "high")).alias("b")).select("k", "b.low", "b.high", "b.offset")
 
@@ -282,11 +287,6 @@ def level_counts(pixels: DataFrame, size: DataFrame, levels: int = 256) -> DataF
     return counts.unionByName(dark).unionByName(every).groupBy("k", "level").agg(F.sum("n").alias("n"))
 
 
-def thresholds(counts: DataFrame) -> DataFrame:
-    """(k, otsu, yen, triangle, isodata, median) from counts of levels (k, level, n); pixels above a threshold are bright.
-
-    otsu: greatest variance between both sides; yen: greatest correlation of both sides' squared shares; triangle: furthest
-    below the line from the peak to the longer tail's end; isodata: first level not below the mean of both sides' means, rounded down; median: first level with half of the
 def otsu_score(counts: DataFrame) -> DataFrame:
     """Counts of levels (k, level, n) with the variance between both sides of each level as score, null where a side is empty."""
     to, whole = Window.partitionBy("k").orderBy("level").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("k")
@@ -297,6 +297,11 @@ def otsu_score(counts: DataFrame) -> DataFrame:
     return c.withColumn("score", F.when((n0 > 0) & (n1 > 0), n0 * n1 * (m0 - m1) * (m0 - m1))).select(*counts.columns, "score")
 
 
+def thresholds(counts: DataFrame) -> DataFrame:
+    """(k, otsu, yen, triangle, isodata, median) from counts of levels (k, level, n); pixels above a threshold are bright.
+
+    otsu: greatest variance between both sides; yen: greatest correlation of both sides' squared shares; triangle: furthest
+    below the line from the peak to the longer tail's end; isodata: first level not below the mean of both sides' means, rounded down; median: first level with half of the
     pixels at or below it.  Of equal levels the first counts; a measure that no level has gives null.
     """
     to = Window.partitionBy("k").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
