@@ -18,7 +18,7 @@ from skyfilm.llm.line_dedup import dedup_lines
 from skyfilm.llm.mixing import mix_sources
 from skyfilm.llm.ngram_join import keep_one_of_each
 from skyfilm.llm.packing import pack_documents
-from skyfilm.llm.scratch import Scratch, numbered
+from skyfilm.llm.scratch import Scratch, numbered, small_batches
 from skyfilm.llm.toxicity import fit_lexicon, score_toxicity
 
 COLUMNS = ("doc_id", "text", "source")
@@ -26,6 +26,7 @@ COLUMNS = ("doc_id", "text", "source")
 
 def _aside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The stage over docs with all columns but doc_id, text and source set aside under one name, and put back behind it."""
+    small_batches(docs.sparkSession)
     others = [c for c in docs.columns if c not in COLUMNS]
     out = stage(docs.select(*COLUMNS, F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")) if others else docs.select(*COLUMNS))
     return out.select(*[F.col("others")[c].alias(c) if c in others else F.col(c) for c in docs.columns])
@@ -33,6 +34,7 @@ def _aside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFram
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half; null and empty texts score as clean."""
+    small_batches(spark)
     lexicon = fit_lexicon(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _aside(docs, lambda d: score_toxicity(d, lexicon).where("predicted = 0"))
 
@@ -67,6 +69,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Sequences follow the files' order, the mixture.  Null and empty texts are one piece, the end id.
     """
+    small_batches(spark)
     return pack_documents(numbered(docs.select("doc_id", "text"), "position"), public_tokenizers.path("word_bpe_49k.json"), position="position")
 
 

@@ -640,3 +640,30 @@ def test_packing_follows_the_mixture(spark, tmp_path):
         runs[r.sequence_id >> 32].append(r.doc_id % 10 == 0)
     assert sorted(runs) == [0, 1, 2, 3, 4] and [len(runs[k]) for k in range(5)] == [2048] * 4 + [9000 - 4 * 2048]
     assert abs(np.mean(runs[0]) - 0.25) < 0.02  # weights are the roots of 8100 and 900; raw, it is 0.1
+
+
+def test_pipeline_hands_texts_to_python_in_small_batches(spark):
+    import corpus_pipeline
+    import pyarrow as pa
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 1000) AS text", "'a' AS source")
+    before = spark.conf.get(key)
+    try:
+        for stage in (corpus_pipeline.drop_boilerplate, corpus_pipeline.pack):
+            spark.conf.set(key, "64m")
+            if stage is corpus_pipeline.drop_boilerplate:
+                stage(spark, docs, SF)
+            else:
+                stage(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+            found = docs.mapInArrow(held, "n long, bytes long").agg(F.sum("n").alias("n"), F.max("bytes").alias("most")).first()
+            assert found.n == 2000 and found.most < 5 << 20
+            spark.conf.set(key, "1m")
+            corpus_pipeline._aside(docs, lambda d: d)
+            assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
