@@ -51,7 +51,7 @@ def test_pictures_of_too_many_pixels_give_the_same(spark, monkeypatch, name):
 
 
 @pytest.mark.parametrize("broadcast", ["10m", "-1"])
-@pytest.mark.parametrize("name", ["im16_centroids"])
+@pytest.mark.parametrize("name", ["im16_centroids", "im40_mark_sequence"])
 def test_parts_of_many_tasks_are_joined_with_what_follows_from_them(spark, monkeypatch, name, broadcast):
     """The second use of the parts reads the exchanges of the first, and runs still meet their labels."""
     whole = registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
