@@ -393,6 +393,29 @@ def test_gibbs_scans_reach_the_exact_posterior(most):
         assert abs(np.mean(seen) - exact_tables(c, d, strength, parent)) < 0.02
 
 
+def test_all_customers_of_frequent_dishes_move_in_a_scan(monkeypatch):
+    """Where each customer has a table of its own, a scan brings most of them together; a part of the dishes is in memory at a time."""
+    monkeypatch.setattr(seating, "HELD", 30000, raising=False)
+    rng, c = np.random.default_rng(4), np.repeat([3000, 65, 9000], 30)
+    in_group = c.copy()
+    used, sizes = seating.reseat(c, c, seating.first_sizes(c, c), np.arange(90), in_group, np.full(90, 0.1), 0.5, 1.0, rng)
+    assert (np.add.reduceat(sizes, np.cumsum(used) - used) == c).all() and sizes.min() > 0 and (used == in_group).all()
+    assert (used.reshape(3, 30).mean(axis=1) < 0.7 * c.reshape(3, 30)[:, 0]).all()
+
+
+@pytest.mark.parametrize("c, d, strength, parent", [(70, 0.6, 1.0, 0.3), (100, 0.4, 5.0, 0.02)])
+def test_blocks_of_customers_reach_the_exact_posterior(c, d, strength, parent):
+    rng, customers = np.random.default_rng(5), np.full(1000, c)
+    used = np.full(1000, 4)
+    sizes, tables, seen = seating.first_sizes(customers, used), used.copy(), []
+    for scan in range(90):
+        used, sizes = seating.reseat_blocks(customers, used, sizes, np.arange(1000), tables, np.full(1000, parent), d, strength, rng)
+        if scan > 40:
+            seen.append(used.mean())
+    assert (np.add.reduceat(sizes, np.cumsum(used) - used) == c).all() and (tables == used).all() and sizes.min() > 0
+    assert abs(np.mean(seen) / exact_tables(c, d, strength, parent) - 1) < 0.03
+
+
 def literal_scan(rows, parent, discount, strength, rng):
     """One customer after another leaves and sits down again; rows: (restaurant, dish) to a list of table sizes."""
     for (u, w), own in rows.items():
