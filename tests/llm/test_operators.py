@@ -460,6 +460,20 @@ def test_root_follows_its_customers():
     assert sizes.min() > 0 and (np.bincount(np.repeat(np.arange(500), used), weights=sizes, minlength=500) == wanted).all()
 
 
+def test_root_follows_many_customers_as_one_by_one(monkeypatch):
+    """More moves than go one by one, up from none and from some, and down: as many tables and as large ones."""
+    c, wanted, found = np.repeat([0, 5, 300, 400], 600), np.repeat([200, 300, 20, 399], 600), []
+    for most in (64, 1000):
+        monkeypatch.setattr(seating, "RESEATED", most)
+        rng = np.random.default_rng(7)
+        used = seating.first_tables(c, 0.5, 0.5, rng)
+        used, sizes = seating.follow(c, used, seating.first_sizes(c, used), wanted, 0.5, 0.5, rng)
+        dish = np.repeat(np.arange(len(c)), used)
+        assert sizes.min() > 0 and (np.bincount(dish, weights=sizes, minlength=len(c)) == wanted).all()
+        found.append([x.reshape(4, 600).mean(axis=1) for x in (used, np.bincount(dish, weights=sizes**2.0) / wanted**2)])
+    assert np.allclose(*found, rtol=0.06), found
+
+
 def test_likelihoods_and_log_gamma():
     x = np.array([0.02, 0.5, 1, 3.3, 1000, 1e9])
     assert np.allclose(seating.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-10, atol=1e-9)
